@@ -58,13 +58,12 @@ def event_log(spark: SparkSession, sf_dir: str, profile: bool = True) -> DataFra
         "length": F.when(song, F.col("value")),
     }
     if profile:
+        # two plain left joins: each right side is broadcast or not by its own file size
+        people = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
         nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-        people = (
-            table(spark, sf_dir, "customer")
-            .join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-            .select("c_custkey", "c_mktsegment", "n_name", "n_regionkey")
+        events = events.join(people, user == F.col("c_custkey"), "left").join(
+            nations, F.col("c_nationkey") == F.col("n_nationkey"), "left"
         )
-        events = events.join(people, user == F.col("c_custkey"), "left")
         segment = F.col("c_mktsegment")
         fields |= {
             "gender": F.when(k >= 98, None)
