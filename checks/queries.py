@@ -75,7 +75,7 @@ def _activity(spark, d):
 
 
 def _customer_ages(spark, d):
-    age = days_until(F.lit("2024-02-01").cast("date"), event_day("registration"))
+    age = days_until(F.expr("date'2024-02-01'"), event_day("registration"))
     return _full(spark, d).select("userId", age.alias("days_till_as_of")).distinct()
 
 

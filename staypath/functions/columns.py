@@ -1,6 +1,7 @@
-"""Column expressions over log fields; all native, so they stay inside generated code."""
+"""Column expressions over log fields; all native, so they stay inside generated code.
 
-from decimal import Decimal
+Arguments are SQL text: a column name or any expression. Results are columns.
+"""
 
 from pyspark.sql import Column, functions as F
 
@@ -13,83 +14,79 @@ FILLER = "like"
 BLANKS = r"(?U)[\s\x1c-\x1f]+"
 
 
-def ratio(part: Column, whole: Column) -> Column:
+def ratio(part: str, whole: str, name: str) -> Column:
     """``part / whole`` as double, null where ``whole`` is zero or null."""
-    return F.try_divide(part.cast("double"), whole.cast("double"))
+    return F.expr(f"try_divide(double({part}), double({whole})) as {name}")
 
 
-def event_day(millis) -> Column:
-    """Calendar day of an epoch-ms column in the session time zone."""
-    return F.to_date(F.timestamp_millis(millis))
+def day_sql(millis: str) -> str:
+    return f"to_date(timestamp_millis({millis}))"
 
 
-def day_text(millis) -> Column:
-    """The same day as ``yyyy-MM-dd`` text."""
-    return F.date_format(F.timestamp_millis(millis), "yyyy-MM-dd")
+def event_day(millis: str) -> Column:
+    """Calendar day of an epoch-ms column in the session time zone."""
+    return F.expr(day_sql(millis))
 
 
-def day_start_millis(day: Column) -> Column:
-    """Epoch ms at which a date begins in the session time zone."""
-    return F.unix_millis(day.cast("timestamp"))
+def day_text(millis: str) -> Column:
+    """The same day as ``yyyy-MM-dd`` text."""
+    return F.expr(f"date_format(timestamp_millis({millis}), 'yyyy-MM-dd')")
 
 
-def day_part(millis) -> Column:
+def day_part(millis: str) -> Column:
     """One of four day parts; an hour belongs to the part it closes (6:59 is still ``1am ~ 6am``)."""
-    hour = F.hour(F.timestamp_millis(millis))
-    return (
-        F.when(hour.isNull(), F.lit(None))
-        .when(hour.between(1, 6), DAY_PARTS[0])
-        .when(hour.between(7, 12), DAY_PARTS[1])
-        .when(hour.between(13, 18), DAY_PARTS[2])
-        .otherwise(DAY_PARTS[3])
-    )
+    hour = f"hour(timestamp_millis({millis}))"
+    return F.expr(f"""
+        case when {hour} is null then null
+             when {hour} between 1 and 6 then '{DAY_PARTS[0]}'
+             when {hour} between 7 and 12 then '{DAY_PARTS[1]}'
+             when {hour} between 13 and 18 then '{DAY_PARTS[2]}'
+             else '{DAY_PARTS[3]}' end""")
 
 
-def days_until(as_of, day) -> Column:
+def days_until(as_of: Column, day: Column | str) -> Column:
     """Whole days from ``day`` to an explicit ``as_of`` date."""
     return F.datediff(as_of, day)
 
 
-def agent_tokens(agent) -> Column:
+def agent_tokens(agent: str) -> Column:
     """Product names in a user agent, without versions and bracketed remarks."""
-    plain = F.replace(F.regexp_replace(agent, BRACKETED, ""), F.lit('"'), F.lit(""))
-    words = F.filter(F.split(plain, BLANKS), lambda w: (w != "") & (w != FILLER))
-    return F.transform(words, lambda w: F.substring_index(w, "/", 1))
+    plain = f"""replace(regexp_replace({agent}, r'{BRACKETED}', ''), '"', '')"""
+    words = f"filter(split({plain}, r'{BLANKS}'), w -> w <> '' and w <> '{FILLER}')"
+    return F.expr(f"transform({words}, w -> substring_index(w, '/', 1))")
 
 
-def state_codes(location) -> Column:
+def state_codes(location: str) -> Column:
     """Sorted distinct state codes between the first and second comma; null without a comma."""
-    codes = F.split(F.get(F.split(location, ","), F.lit(1)), "-")
-    return F.sort_array(F.array_distinct(F.transform(codes, lambda c: F.replace(c, F.lit(" "), F.lit("")))))
+    codes = f"split(get(split({location}, ','), 1), '-')"
+    return F.expr(f"sort_array(array_distinct(transform({codes}, c -> replace(c, ' ', ''))))")
 
 
-def song_title(artist="artist", song="song") -> Column:
+def song_title(artist: str = "artist", song: str = "song") -> Column:
     """``artist - song``, null if either part is null."""
-    return F.concat(F.col(artist), F.lit(" - "), F.col(song))
+    return F.expr(f"concat({artist}, ' - ', {song})")
 
 
-def length_sum(length: Column, decimals: int | None) -> Column:
-    """Sum of play lengths.
+def length_sql(length: str, decimals: int | None) -> str:
+    """A play length as it is summed.
 
-    Doubles by default. With ``decimals`` lengths are added as whole numbers of 10^-decimals
-    seconds, so the sum does not depend on row order; shares of such sums need no scaling back.
+    Doubles by default. With ``decimals`` lengths count as whole numbers of 10^-decimals seconds,
+    so a sum does not depend on row order; shares of such sums need no scaling back.
     """
-    if decimals is None:
-        return F.sum(length)
-    return F.sum(F.round(length * 10**decimals).cast("bigint"))
+    return length if decimals is None else f"bigint(round({length} * {10**decimals}))"
 
 
-def recency(time: Column, item: Column, flags: Column) -> Column:
+def recency_sql(time: str, item: str, flags: str) -> str:
     """Sort key of an event, newest largest, with a flag number 0..3 in its low end.
 
     A decimal keeps ``max`` of the key in a hash aggregate; a struct would force a sort of the log.
     Missing times sort below all others, missing item numbers below item 0.
     """
-    when = F.coalesce(time, F.lit(-(10**17))).cast("decimal(18,0)")
-    low = F.coalesce(item + 1, F.lit(0)).cast("decimal(19,0)") * 4 + flags.cast("decimal(1,0)")
-    return when * F.lit(Decimal(10**20)) + low
+    when = f"cast(coalesce({time}, {-10**17}) as decimal(18, 0))"
+    low = f"cast(coalesce({item} + 1, 0) as decimal(19, 0)) * 4 + cast({flags} as decimal(1, 0))"
+    return f"{when} * {10**20} + {low}"
 
 
-def recency_flags(key: Column) -> Column:
-    """The flag number stored by :func:`recency`."""
-    return F.pmod(key, F.lit(4).cast("decimal(38,0)")).cast("int")
+def recency_flags_sql(key: str) -> str:
+    """The flag number stored by :func:`recency_sql`."""
+    return f"int(pmod({key}, cast(4 as decimal(38, 0))))"

@@ -1,7 +1,7 @@
 """ROC and precision/recall tables, area under ROC, importances and grid reports."""
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from staypath.functions.columns import ratio
 
@@ -16,9 +16,9 @@ def score_bins(scored: DataFrame, score: str = "score", label: str = "label", bi
 
     All that follows works on this table, so the running totals never see single rows.
     """
-    slot = F.least(F.floor(F.col(score) * bins), F.lit(bins - 1).cast("bigint")).cast("int")
-    return scored.where(F.col(score).isNotNull()).groupBy(slot.alias("bin")).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
+    slot = F.expr(f"int(least(floor({score} * {bins}), {bins - 1})) as bin")
+    return scored.where(f"{score} is not null").groupBy(slot).agg(
+        F.expr(f"count_if({label} = 1) as pos"), F.expr(f"count_if({label} <> 1) as neg")
     )
 
 
@@ -34,34 +34,28 @@ def running_totals(binned: DataFrame) -> DataFrame:
 
 
 def roc_curve(scored: DataFrame, score: str = "score", label: str = "label", bins: int = 1000) -> DataFrame:
-    """``threshold, fpr, tpr`` per occupied bin; the curve starts at (0, 0)."""
+    """``threshold, fpr, tpr`` per occupied bin; the start (0, 0) is not listed."""
     return running_totals(score_bins(scored, score, label, bins)).select(
-        (F.col("bin") / F.lit(float(bins))).alias("threshold"),
-        ratio(F.col("fp"), F.col("all_neg")).alias("fpr"),
-        ratio(F.col("tp"), F.col("all_pos")).alias("tpr"),
+        F.expr(f"bin / double({bins}) as threshold"),
+        ratio("fp", "all_neg", "fpr"),
+        ratio("tp", "all_pos", "tpr"),
     )
 
 
 def pr_curve(scored: DataFrame, score: str = "score", label: str = "label", bins: int = 1000) -> DataFrame:
     """``threshold, recall, precision`` per occupied bin."""
     return running_totals(score_bins(scored, score, label, bins)).select(
-        (F.col("bin") / F.lit(float(bins))).alias("threshold"),
-        ratio(F.col("tp"), F.col("all_pos")).alias("recall"),
-        ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
+        F.expr(f"bin / double({bins}) as threshold"),
+        ratio("tp", "all_pos", "recall"),
+        ratio("tp", "tp + fp", "precision"),
     )
 
 
 def area_under_roc(scored: DataFrame, score: str = "score", label: str = "label", bins: int = 1000) -> DataFrame:
     """One row ``auc``: trapezoids under :func:`roc_curve`, added up in whole numbers."""
-    def whole(name: str) -> Column:
-        return F.col(name).cast("decimal(19,0)")
-
+    doubled = "sum(cast(neg as decimal(19, 0)) * (cast(tp as decimal(19, 0)) * 2 - pos))"
     rows = running_totals(score_bins(scored, score, label, bins))
-    doubled = F.sum((whole("neg") * (whole("tp") * 2 - whole("pos"))).cast("decimal(38,0)"))
-    return rows.agg(
-        ratio(doubled, F.max(whole("all_pos")).cast("double") * F.max(whole("all_neg")).cast("double") * 2)
-        .alias("auc")
-    )
+    return rows.agg(ratio(doubled, "double(max(all_pos)) * double(max(all_neg)) * 2", "auc"))
 
 
 def importance_table(spark: SparkSession, model, names: list[str]) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from staypath.model.evaluate import churn_score, pr_curve, roc_curve
 from staypath.model.prepare import SPLIT_SEED, train_test
-from staypath.model.sampling import uniform
+from staypath.model.sampling import uniform_sql
 
 
 def gbt(features_col: str = "features", **params) -> GBTClassifier:
@@ -126,7 +126,7 @@ def tune(
             parallelism=parallelism,
         )
         if not copies_apart:
-            train = train.withColumn("fold", F.floor(uniform(key, fold_seed) * folds).cast("int"))
+            train = train.withColumn("fold", F.expr(f"int(floor({uniform_sql(key, fold_seed)} * {folds}))"))
             search = search.setFoldCol("fold")
         train = train.persist(StorageLevel.MEMORY_AND_DISK)
         try:

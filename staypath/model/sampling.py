@@ -6,13 +6,12 @@ a training set stays the same when an executor is lost or the cluster size chang
 
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 
-def uniform(key: str, seed: int) -> Column:
+def uniform_sql(key: str, seed: int) -> str:
     """Draw in [0, 1) from 52 bits of a hash of ``key`` and ``seed``."""
-    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
-    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(2**52)
+    return f"(double(conv(substring(md5(concat(string({key}), ':{seed}')), 1, 13), 16, 10)) / double({2**52}))"
 
 
 def poisson_steps(rate: float) -> list[float]:
@@ -27,14 +26,13 @@ def poisson_steps(rate: float) -> list[float]:
         term *= rate / k
 
 
-def copies_with_replacement(key: str, rate: float, seed: int) -> Column:
+def copies_with_replacement(draw: str, rate: float) -> str:
     """How often a row is drawn when sampling with replacement at ``rate`` (Poisson)."""
-    draw = uniform(key, seed)
-    return sum((F.when(draw >= step, 1).otherwise(0) for step in poisson_steps(rate)), F.lit(0))
+    return " + ".join(f"int({draw} >= double('{step!r}'))" for step in poisson_steps(rate))
 
 
-def copies_without_replacement(key: str, fraction: float, seed: int) -> Column:
-    return F.when(uniform(key, seed) < fraction, 1).otherwise(0)
+def copies_without_replacement(draw: str, fraction: float) -> str:
+    return f"int({draw} < double('{fraction!r}'))"
 
 
 def resample(
@@ -56,16 +54,18 @@ def resample(
     def untouched(rate):
         return jitter == 0 and rate == 1
 
-    minority = F.lit(1) if untouched(minority_multiplier) else \
-        copies_with_replacement(key, minority_multiplier + jitter, seed)
-    majority = F.lit(1) if untouched(majority_fraction) else \
-        copies_without_replacement(key, majority_fraction - jitter, seed)
-    copies = F.when(F.col(label_col) == minority_tag, minority).when(F.col(label_col) != minority_tag, majority)
-    drawn = df.withColumn("_copies", copies).where("_copies > 0")
-    return drawn.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).drop("_copies", "_copy")
+    minority = "1" if untouched(minority_multiplier) else \
+        copies_with_replacement("_draw", minority_multiplier + jitter)
+    majority = "1" if untouched(majority_fraction) else \
+        copies_without_replacement("_draw", majority_fraction - jitter)
+    copies = F.expr(
+        f"case when {label_col} = {minority_tag} then {minority} when {label_col} <> {minority_tag} then {majority} end"
+    )
+    drawn = df.withColumn("_draw", F.expr(uniform_sql(key, seed))).withColumn("_copies", copies).where("_copies > 0")
+    return drawn.withColumn("_copy", F.expr("explode(sequence(1, _copies))")).drop("_draw", "_copies", "_copy")
 
 
 def split(df: DataFrame, train_share: float = 0.7, *, key: str = "userId", seed: int = 100):
     """Train and test rows; the draw is the same rule in every class, so each is split alike."""
-    draw = uniform(key, seed)
-    return df.where(draw < train_share), df.where(draw >= train_share)
+    in_train = f"{uniform_sql(key, seed)} < double('{train_share!r}')"
+    return df.where(in_train), df.where(f"not ({in_train})")

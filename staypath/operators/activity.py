@@ -4,14 +4,20 @@ import datetime
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from staypath.functions.columns import (
-    day_part, day_start_millis, days_until, event_day, recency, song_title,
-)
-from staypath.schema import CANCEL_PAGE, LOGGED_IN, PAID, CHURN_PAGES, PLAY_PAGE
+from staypath.functions.columns import day_part, day_sql, days_until, event_day, recency_sql, song_title
+from staypath.schema import CANCEL_PAGE, CHURN_PAGES, LOGGED_IN, PAID, PLAY_PAGE
+
+# a played song with a known title; a paid event; an event that counts as churn if it is the last
+IS_PLAY = f"singer_song is not null and page = '{PLAY_PAGE}'"
+IS_PAID = f"coalesce(level = '{PAID}', false)"
+IS_CHURN = "coalesce(page in ({}), false)".format(", ".join(f"'{page}'" for page in CHURN_PAGES))
+
+# recency of an activity row carrying its paid (2) and churn-page (1) flags
+RECENCY = recency_sql("time", "itemInSession", f"(int({IS_PAID}) * 2 + int({IS_CHURN}))")
 
 
 def logged_in(log: DataFrame) -> DataFrame:
-    return log.where(F.col("auth") == LOGGED_IN)
+    return log.where(f"auth = '{LOGGED_IN}'")
 
 
 def newest_day(log: DataFrame, as_of: datetime.date | str | None = None) -> Column:
@@ -21,7 +27,7 @@ def newest_day(log: DataFrame, as_of: datetime.date | str | None = None) -> Colu
     """
     if as_of is not None:
         return F.lit(as_of).cast("date")
-    return logged_in(log).agg(event_day(F.max("ts"))).scalar()
+    return logged_in(log).agg(event_day("max(ts)")).scalar()
 
 
 def in_window(
@@ -32,17 +38,17 @@ def in_window(
 ) -> DataFrame:
     """Rows at least ``min_days`` and at most ``max_days`` before the newest day, both inclusive.
 
-    Compares the raw ``ts`` with bounds, so that the scan can skip row groups.
+    Compares the raw ``ts`` with the first moment of a day, so that the scan can skip row groups.
     """
-    if as_of is None:
-        newest = event_day(F.max("ts"))
-        bound = lambda back: logged_in(log).agg(day_start_millis(F.date_sub(newest, back))).scalar()
-    else:
-        bound = lambda back: day_start_millis(F.date_sub(newest_day(log, as_of), back))
+    def day_start(days_back: int) -> Column:
+        newest = day_sql("max(ts)") if as_of is None else f"date'{as_of}'"
+        start = F.expr(f"unix_millis(timestamp(date_sub({newest}, {days_back})))")
+        return logged_in(log).agg(start).scalar() if as_of is None else start
+
     if max_days is not None:
-        log = log.where(F.col("ts") >= bound(max_days))
+        log = log.where(F.col("ts") >= day_start(max_days))
     if min_days is not None:
-        log = log.where(F.col("ts") < bound(min_days - 1))
+        log = log.where(F.col("ts") < day_start(min_days - 1))
     return log
 
 
@@ -53,14 +59,13 @@ def activity(
     as_of: datetime.date | str | None = None,
 ) -> DataFrame:
     """Logged-in events of the window with their derived columns."""
-    day, joined = event_day("ts"), event_day("registration")
-    return logged_in(in_window(log, max_days, min_days, as_of)).select(
+    rows = logged_in(in_window(log, max_days, min_days, as_of)).select(
         "userId",
         "registration",
-        joined.alias("registration_date"),
+        event_day("registration").alias("registration_date"),
         "level",
-        F.col("ts").alias("time"),
-        day.alias("event_date"),
+        F.expr("ts as time"),
+        event_day("ts").alias("event_date"),
         day_part("ts").alias("time_in_the_day"),
         "sessionId",
         "itemInSession",
@@ -68,28 +73,11 @@ def activity(
         "artist",
         song_title().alias("singer_song"),
         "length",
-        days_until(day, joined).alias("days_since_registration"),
-        days_until(newest_day(log, as_of), day).alias("days_before_today"),
     )
-
-
-def is_play() -> Column:
-    """A played song with a known title."""
-    return F.col("singer_song").isNotNull() & (F.col("page") == PLAY_PAGE)
-
-
-def is_paid() -> Column:
-    return F.coalesce(F.col("level") == PAID, F.lit(False))
-
-
-def is_churn_page() -> Column:
-    return F.coalesce(F.col("page").isin(CHURN_PAGES), F.lit(False))
-
-
-def latest_key() -> Column:
-    """Recency of an activity row carrying its paid (2) and churn-page (1) flags."""
-    flags = is_paid().cast("int") * 2 + is_churn_page().cast("int")
-    return recency(F.col("time"), F.col("itemInSession"), flags)
+    return rows.withColumns({
+        "days_since_registration": days_until("event_date", "registration_date"),
+        "days_before_today": days_until(newest_day(log, as_of), "event_date"),
+    })
 
 
 def events_before_last(events: DataFrame, page: str = CANCEL_PAGE) -> DataFrame:
@@ -99,26 +87,30 @@ def events_before_last(events: DataFrame, page: str = CANCEL_PAGE) -> DataFrame:
     count before any shuffle and spread out again at the end, and only rows that tie for latest
     meet in one window group; all others are scattered over ``spread``.
     """
-    events = events.where(F.col("userId").isNotNull())
+    events = events.where("userId is not null")
     columns = events.columns
-    latest = events.groupBy("userId").agg(F.max(latest_key()).alias("latest"))
+    latest = events.groupBy("userId").agg(F.expr(f"max({RECENCY}) as latest"))
     folded = (
         events.where(F.col("page") == page)
         .groupBy(*columns)
-        .agg(F.count("*").alias("copies"))
+        .agg(F.expr("count(*) as copies"))
         .join(latest, "userId")
-        .withColumn("ties", latest_key() == F.col("latest"))
-        .withColumn("spread", F.when(F.col("ties"), F.lit(None)).otherwise(F.xxhash64(*columns)))
+        .withColumn("ties", F.expr(f"{RECENCY} = latest"))
+        .withColumn("spread", F.expr(f"case when not ties then xxhash64({', '.join(columns)}) end"))
     )
     first = Window.partitionBy("userId", "spread").orderBy(*columns)
-    dropped = (F.col("ties") & (F.row_number().over(first) == 1)).cast("int")
-    left = folded.withColumn("copies", F.col("copies") - dropped).where("copies > 0")
-    return repeat_rows(left, "copies").select(*columns)
+    left = folded.withColumn("position", F.row_number().over(first)).withColumn(
+        "copies", F.expr("copies - int(ties and position = 1)")
+    )
+    return repeat_rows(left.where("copies > 0"), "copies").select(*columns)
 
 
 def repeat_rows(df: DataFrame, copies: str, chunk: int = 10_000) -> DataFrame:
-    """Each row ``copies`` times (``copies`` >= 1); large counts are cut into chunks and spread over tasks."""
-    chunks = df.withColumn("_part", F.explode(F.sequence(F.lit(0), F.floor((F.col(copies) - 1) / chunk))))
-    size = F.least(F.lit(chunk).cast("bigint"), F.col(copies) - F.col("_part") * chunk)
-    scattered = chunks.repartition(*[F.col(c) for c in df.columns], F.col("_part"))
-    return scattered.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), size))).drop("_part", "_copy")
+    """Each row ``copies`` times (``copies`` >= 1); counts above ``chunk`` are spread over tasks."""
+    chunks = df.withColumn("_part", F.expr(f"explode(sequence(0, ({copies} - 1) div {chunk}))"))
+    size = f"least({chunk}, {copies} - _part * {chunk})"
+    return (
+        chunks.repartition(*df.columns, "_part")
+        .withColumn("_copy", F.expr(f"explode(sequence(1, {size}))"))
+        .drop("_part", "_copy")
+    )

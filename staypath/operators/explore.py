@@ -11,9 +11,9 @@ def dataset_summary(log: DataFrame) -> DataFrame:
     """Rows, rows without a user id, and distinct users (no id counts as one), in one pass."""
     per_user = log.groupBy("userId").agg(F.count("*").alias("n"))
     return per_user.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
-        F.coalesce(F.sum(F.when(F.col("userId").isNull(), F.col("n"))), F.lit(0)).alias("null_user_rows"),
-        F.count("*").alias("users"),
+        F.expr("coalesce(sum(n), 0) as n_rows"),
+        F.expr("coalesce(sum(case when userId is null then n end), 0) as null_user_rows"),
+        F.expr("count(*) as users"),
     )
 
 
@@ -39,7 +39,7 @@ def max_days_back(events: DataFrame) -> DataFrame:
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Nulls per column, one row."""
     columns = df.columns if columns is None else columns
-    return df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in columns])
+    return df.agg(*[F.expr(f"count_if(`{c}` is null) as `{c}`") for c in columns])
 
 
 def rows_with_null(df: DataFrame, column: str) -> DataFrame:
@@ -54,13 +54,12 @@ def events_of_user(log: DataFrame, user: str) -> DataFrame:
 def column_means(df: DataFrame, columns: Sequence[str] | None = None, decimals: int = 2) -> DataFrame:
     """Rounded mean of each column but ``userId``, one row."""
     columns = [c for c in df.columns if c != "userId"] if columns is None else columns
-    return df.agg(*[F.round(F.avg(f"`{c}`"), decimals).alias(c) for c in columns])
+    return df.agg(*[F.expr(f"round(avg(`{c}`), {decimals}) as `{c}`") for c in columns])
 
 
 def means_by(df: DataFrame, key: str, columns: Sequence[str], decimals: int | None = None) -> DataFrame:
     """Mean of each column per value of ``key``."""
-    def mean(c):
-        average = F.avg(f"`{c}`")
-        return average if decimals is None else F.round(average, decimals)
-
-    return df.groupBy(key).agg(*[mean(c).alias(f"mean_{c}") for c in columns])
+    form = "avg(`{c}`)" if decimals is None else "round(avg(`{c}`), {d})"
+    return df.groupBy(key).agg(*[
+        F.expr(form.format(c=c, d=decimals) + f" as `mean_{c}`") for c in columns
+    ])

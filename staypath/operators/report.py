@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from staypath.functions.columns import ratio
 from staypath.operators.explore import null_counts
@@ -11,8 +11,8 @@ from staypath.schema import HISTOGRAM_COLUMNS, HOUR_COLUMNS
 MS_PER_HOUR = 1000 * 60 * 60
 
 
-def to_hours(millis) -> Column:
-    return F.col(millis) / MS_PER_HOUR if isinstance(millis, str) else millis / MS_PER_HOUR
+def hours_sql(millis: str) -> str:
+    return f"{millis} / {MS_PER_HOUR}"
 
 
 def feature_histogram(
@@ -28,57 +28,46 @@ def feature_histogram(
     column.
     """
     columns = list(columns)
-    values = features.select(*[
-        (to_hours(c) if c in hour_columns else F.col(c)).cast("double").alias(c) for c in columns
+    values = features.selectExpr(*[
+        f"double({hours_sql(c) if c in hour_columns else c}) as {c}" for c in columns
     ])
-    span = values.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("lo", F.min), ("hi", F.max))])
-    flat = F.col("lo") == F.col("hi")
+    span = values.agg(*[F.expr(f"{f}({c}) as {f}_{c}") for c in columns for f in ("min", "max")])
+    entries = ", ".join(f"named_struct('feature', '{c}', 'lo', min_{c}, 'hi', max_{c})" for c in columns)
     ranges = (
-        span.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("feature"), F.col(f"lo_{c}").alias("lo"), F.col(f"hi_{c}").alias("hi"))
-            for c in columns
-        ])).alias("r"))
-        .select("r.*")
-        .where(F.col("lo").isNotNull())
-        .select(
-            "feature",
-            F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-            F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
-        )
+        span.selectExpr(f"inline(array({entries}))")
+        .where("lo is not null")
+        .selectExpr("feature", "if(lo = hi, lo - 0.5D, lo) as lo", "if(lo = hi, hi + 0.5D, hi) as hi")
     )
-    long = values.unpivot([], columns, "feature", "value").where(F.col("value").isNotNull())
-    position = F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins) + 1
+    long = values.unpivot([], columns, "feature", "value").where("value is not null")
     counted = (
         long.join(F.broadcast(ranges), "feature")  # one row per requested column
-        .groupBy("feature", F.least(position, F.lit(bins).cast("bigint")).cast("int").alias("bin"))
-        .agg(F.count("*").alias("n"))
+        .groupBy("feature", F.expr(f"int(least(floor((value - lo) / (hi - lo) * {bins}) + 1, {bins})) as bin"))
+        .agg(F.expr("count(*) as n"))
     )
-    step = (F.col("hi") - F.col("lo")) / bins
-    frame = ranges.select(
-        "feature", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"), "lo", "hi"
-    )
-    return frame.join(counted, ["feature", "bin"], "left").select(
+    frame = ranges.selectExpr("feature", f"explode(sequence(1, {bins})) as bin", "lo", "hi")
+    return frame.join(counted, ["feature", "bin"], "left").selectExpr(
         "feature",
         "bin",
-        (F.col("lo") + step * (F.col("bin") - 1)).alias("lower"),
-        F.when(F.col("bin") == bins, F.col("hi")).otherwise(F.col("lo") + step * F.col("bin")).alias("upper"),
-        F.coalesce("n", F.lit(0)).alias("n"),
+        f"lo + (hi - lo) / {bins} * (bin - 1) as lower",
+        f"if(bin = {bins}, hi, lo + (hi - lo) / {bins} * bin) as upper",
+        "coalesce(n, 0) as n",
     )
 
 
 def columns_with_nulls(features: DataFrame) -> DataFrame:
     """Number of columns that hold any null."""
     counts = null_counts(features)
-    with_nulls = sum((F.col(f"`{c}`") > 0).cast("int") for c in counts.columns)
-    return counts.select(with_nulls.alias("columns_with_nulls"))
+    with_nulls = " + ".join(f"int(`{c}` > 0)" for c in counts.columns)
+    return counts.selectExpr(f"{with_nulls} as columns_with_nulls")
 
 
 def threshold_shares(features: DataFrame) -> DataFrame:
     """Shares of all users past four activity thresholds."""
+    # The four thresholds.
     rules = {
-        "active_over_10_days": F.col("active_days") > 10,
-        "over_1_session_per_day": F.col("sessions_per_day") > 1,
-        "over_3_hours_per_day": to_hours("time_per_day") > 3,
-        "always_paid": F.col("perc_paid_days") == 1,
+        "active_over_10_days": "active_days > 10",
+        "over_1_session_per_day": "sessions_per_day > 1",
+        "over_3_hours_per_day": f"{hours_sql('time_per_day')} > 3",
+        "always_paid": "perc_paid_days = 1",
     }
-    return features.agg(*[ratio(F.count_if(rule), F.count("*")).alias(name) for name, rule in rules.items()])
+    return features.agg(*[ratio(f"count_if({rule})", "count(*)", name) for name, rule in rules.items()])

@@ -1,9 +1,9 @@
 """Songs and artists per user: variety, concentration and popularity."""
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from staypath.functions.columns import length_sum, ratio
-from staypath.operators.activity import is_play
+from staypath.functions.columns import length_sql, ratio
+from staypath.operators.activity import IS_PLAY
 
 # grouping_id of the two roll-ups below: a set bit marks a key that is rolled away
 BY_SONG, BY_ARTIST = 1, 2
@@ -16,41 +16,30 @@ def content_features(events: DataFrame, length_decimals: int | None = None) -> D
     """
     user, song, artist = F.col("userId"), F.col("singer_song"), F.col("artist")
     heard = (
-        events.where(user.isNotNull())
-        .withColumn("played", F.when(is_play(), F.col("length")))
-        .withColumn("plays", F.when(is_play(), 1))
+        events.where("userId is not null")
+        .select("userId", "singer_song", "artist", "length", F.expr(f"{IS_PLAY} as played"))
         .groupingSets([[user, song], [user, artist]], user, song, artist)
         .agg(
-            F.grouping_id().alias("kind"),
-            length_sum(F.col("length"), length_decimals).alias("time"),
-            length_sum(F.col("played"), length_decimals).alias("play_time"),
-            F.count("plays").alias("plays"),
+            F.expr("grouping_id() as kind"),
+            F.expr(f"sum({length_sql('length', length_decimals)}) as time"),
+            F.expr(f"sum(case when played then {length_sql('length', length_decimals)} end) as play_time"),
+            F.expr("count_if(played) as plays"),
         )
     )
-
-    def of_song(column: Column) -> Column:
-        return F.when(F.col("kind") == BY_SONG, column)
-
-    def of_artist(column: Column) -> Column:
-        return F.when(F.col("kind") == BY_ARTIST, column)
-
-    song_time = of_song(F.col("time"))
-    artist_time = F.when((F.col("kind") == BY_ARTIST) & (F.col("plays") > 0), F.col("play_time"))
+    song_time = f"case when kind = {BY_SONG} then time end"
+    artist_time = f"case when kind = {BY_ARTIST} and plays > 0 then play_time end"
     return heard.groupBy("userId").agg(
-        F.count(of_song(song)).alias("unique_songs"),
-        F.count(of_artist(artist)).alias("unique_artists"),
-        ratio(F.max(song_time), F.sum(song_time)).alias("max_song_perc"),
-        ratio(F.max(artist_time), F.sum(artist_time)).alias("max_artist_perc"),
+        F.expr(f"count(case when kind = {BY_SONG} then singer_song end) as unique_songs"),
+        F.expr(f"count(case when kind = {BY_ARTIST} then artist end) as unique_artists"),
+        ratio(f"max({song_time})", f"sum({song_time})", "max_song_perc"),
+        ratio(f"max({artist_time})", f"sum({artist_time})", "max_artist_perc"),
     )
 
 
 def song_plays(events: DataFrame) -> DataFrame:
     """Plays per (user, song)."""
-    return (
-        events.where(F.col("userId").isNotNull() & is_play())
-        .groupBy("userId", "singer_song")
-        .agg(F.count("*").alias("plays"))
-    )
+    plays = events.where(f"userId is not null and {IS_PLAY}")
+    return plays.groupBy("userId", "singer_song").agg(F.expr("count(*) as plays"))
 
 
 def listeners_per_song(plays: DataFrame) -> DataFrame:
@@ -59,7 +48,7 @@ def listeners_per_song(plays: DataFrame) -> DataFrame:
     Counting ``plays > 0`` rather than rows keeps this branch's input equal to the one joined in
     :func:`popular_song_share`, so Spark shuffles the (user, song) rows once for both.
     """
-    return plays.groupBy("singer_song").agg(F.count_if(F.col("plays") > 0).alias("listeners"))
+    return plays.groupBy("singer_song").agg(F.expr("count_if(plays > 0) as listeners"))
 
 
 def song_popularity(events: DataFrame) -> DataFrame:
@@ -76,13 +65,13 @@ def popularity_bar(popularity: DataFrame, relative_error: float | None = None) -
     if relative_error is not None:
         accuracy = max(1, round(1 / relative_error))
         return popularity.agg(F.percentile_approx("listeners", 0.5, accuracy).alias("bar"))
-    per_count = popularity.groupBy("listeners").agg(F.count("*").alias("songs"))
+    per_count = popularity.groupBy("listeners").agg(F.expr("count(*) as songs"))
     up_to = Window.orderBy("listeners").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    every = Window.orderBy("listeners").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    every = up_to.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ranked = per_count.select(
         "listeners", F.sum("songs").over(up_to).alias("below"), F.sum("songs").over(every).alias("total")
     )
-    return ranked.where(F.col("below") * 2 >= F.col("total")).agg(F.min("listeners").alias("bar"))
+    return ranked.where("below * 2 >= total").agg(F.expr("min(listeners) as bar"))
 
 
 def popular_songs(popularity: DataFrame, relative_error: float | None = None) -> DataFrame:
@@ -103,7 +92,5 @@ def popular_song_share(events: DataFrame, relative_error: float | None = None) -
     return (
         plays.join(popular, "singer_song", "left")
         .groupBy("userId")
-        .agg(ratio(
-            F.coalesce(F.sum(F.when(F.col("popular"), F.col("plays"))), F.lit(0)), F.sum("plays")
-        ).alias("perc_popular_songs"))
+        .agg(ratio("sum(case when popular then plays else 0 end)", "sum(plays)", "perc_popular_songs"))
     )

@@ -2,7 +2,7 @@
 
 import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from staypath.functions.columns import ratio
 from staypath.operators.activity import activity
@@ -74,5 +74,5 @@ def feature_table(
     )
     table = static.join(dynamic, "userId", "outer")
     if active_day_share:
-        table = table.withColumn("active_day_share", ratio(F.col("active_days"), F.col("customer_age")))
+        table = table.select("*", ratio("active_days", "customer_age", "active_day_share"))
     return table

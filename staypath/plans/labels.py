@@ -4,8 +4,8 @@ import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
-from staypath.functions.columns import ratio, recency_flags
-from staypath.operators.activity import activity, events_before_last, latest_key
+from staypath.functions.columns import ratio, recency_flags_sql
+from staypath.operators.activity import RECENCY, activity, events_before_last
 from staypath.schema import LABEL
 
 
@@ -16,19 +16,19 @@ def churn_label(log: DataFrame, max_days: int | None = None, as_of: datetime.dat
     """
     latest = (
         activity(log, max_days=max_days, as_of=as_of)
-        .where(F.col("userId").isNotNull())
+        .where("userId is not null")
         .groupBy("userId")
-        .agg(F.max(latest_key()).alias("latest"))
+        .agg(F.expr(f"max({RECENCY}) as latest"))
     )
-    return latest.select("userId", F.pmod(recency_flags(F.col("latest")), F.lit(2)).alias(LABEL))
+    return latest.select("userId", F.expr(f"{recency_flags_sql('latest')} % 2 as {LABEL}"))
 
 
 def churn_rate(labels: DataFrame) -> DataFrame:
     """Churned users, all users and their ratio."""
     return labels.agg(
-        F.coalesce(F.sum(LABEL), F.lit(0)).alias("churned_users"),
-        F.count("*").alias("users"),
-        ratio(F.sum(LABEL), F.count("*")).alias("churn_rate"),
+        F.expr(f"coalesce(sum({LABEL}), 0) as churned_users"),
+        F.expr("count(*) as users"),
+        ratio(f"sum({LABEL})", "count(*)", "churn_rate"),
     )
 
 

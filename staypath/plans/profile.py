@@ -19,15 +19,15 @@ def listed_values(log: DataFrame, source: str) -> DataFrame:
     Distinct source texts come first, so each text is taken apart once per user, not once per event.
     """
     name, parse = LISTS[source]
-    texts = log.where(F.col("userId").isNotNull()).select("userId", source).distinct()
-    return texts.select("userId", F.explode(parse(F.col(source))).alias(name)).distinct()
+    texts = log.where("userId is not null").select("userId", source).distinct()
+    return texts.select("userId", F.explode(parse(source)).alias(name)).distinct()
 
 
 def list_vocabulary(log: DataFrame, source: str, max_values: int = 10_000) -> list[str]:
     """Values of ``source`` anywhere in the log; one job over its distinct texts."""
     name, parse = LISTS[source]
-    texts = log.where(F.col("userId").isNotNull()).select(source).distinct()
-    return vocabulary(texts.select(F.explode(parse(F.col(source))).alias(name)), name, max_values)
+    texts = log.where("userId is not null").select(source).distinct()
+    return vocabulary(texts.select(F.explode(parse(source)).alias(name)), name, max_values)
 
 
 def list_one_hot(log: DataFrame, source: str, values: list[str] | None = None) -> DataFrame:
@@ -55,28 +55,24 @@ def static_features(
         wanted["location"] = list_vocabulary(log, "location") if states is True else states
 
     folded = (
-        log.where(F.col("userId").isNotNull())
+        log.where("userId is not null")
         .groupBy("userId", *wanted)
         .agg(
-            F.max(F.coalesce(F.col("gender") == FEMALE, F.lit(False)).cast("int")).alias("female"),
-            F.min("registration").alias("registration"),
+            F.expr(f"max(int(coalesce(gender = '{FEMALE}', false))) as female"),
+            F.expr("min(registration) as registration"),
         )
     )
     indicators = []
     for source, values in wanted.items():
         name, parse = LISTS[source]
-        listed = f"{name}_list"
-        folded = folded.withColumn(listed, parse(F.col(source)))
+        folded = folded.withColumn(f"{name}_list", parse(source))
         for value, column in encoded_names(name, values).items():
-            found = F.array_contains(listed, value).cast("bigint")
-            indicators.append(F.max(F.when(F.size(listed) > 0, found)).alias(column))
+            quoted = value.replace("\\", "\\\\").replace("'", "\\'")
+            found = f"bigint(array_contains({name}_list, '{quoted}'))"
+            indicators.append(F.expr(f"max(case when size({name}_list) > 0 then {found} end) as {column}"))
     people = folded.groupBy("userId").agg(
-        F.max("female").alias("female"), F.min("registration").alias("registration"), *indicators
+        F.expr("max(female) as female"), F.expr("min(registration) as registration"), *indicators
     )
     today = newest_day(log if activity_log is None else activity_log, as_of)
-    return people.select(
-        "userId",
-        "female",
-        days_until(today, event_day("registration")).alias("customer_age"),
-        *[c for c in people.columns if c not in ("userId", "female", "registration")],
-    )
+    age = days_until(today, event_day("registration")).alias("customer_age")
+    return people.select("userId", "female", age, *people.columns[3:])

@@ -6,54 +6,54 @@ groups by its full key, so a user with a huge share of the log is spread over ta
 row per session and day is left, and those are combined map-side before the last shuffle.
 """
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from staypath.functions.columns import ratio, recency_flags
-from staypath.operators.activity import is_paid, latest_key
-from staypath.schema import COUNTED_PAGES, DAY_PART_SHARES, DAY_PARTS, SHARED_PAGES
+from staypath.functions.columns import ratio, recency_flags_sql
+from staypath.operators.activity import IS_PAID, RECENCY
+from staypath.schema import COUNTED_PAGES, DAY_PART_SHARES, DAY_PARTS, SHARED_PAGES, USAGE_COLUMNS
 
 # grouping_id of the two roll-ups below: a set bit marks a key that is rolled away
 BY_SESSION, BY_DAY = 1, 2
 
 
+def _columns(*texts: str) -> list:
+    return [F.expr(text) for text in texts]
+
+
 def session_days(events: DataFrame) -> DataFrame:
     """One row per (user, day, session): counts, first/last time overall and per day part, flags."""
-    time = F.col("time")
-    parts = []
-    for share, name in zip(DAY_PART_SHARES, DAY_PARTS):
-        inside = F.when(F.col("time_in_the_day") == name, time)
-        parts += [F.min(inside).alias(f"from_{share}"), F.max(inside).alias(f"till_{share}")]
-    return (
-        events.where(F.col("userId").isNotNull())
-        .groupBy("userId", "event_date", "sessionId")
-        .agg(
-            F.count("*").alias("n"),
-            F.min(time).alias("from"),
-            F.max(time).alias("till"),
-            *parts,
-            F.max(is_paid().cast("int")).alias("any_paid"),
-            F.max((~is_paid()).cast("int")).alias("any_free"),
-            *[F.count_if(F.col("page") == page).alias(f"n_{key}") for key, page in COUNTED_PAGES.items()],
-            F.max(latest_key()).alias("latest"),
-        )
-    )
+    parts = [
+        f"{side}(case when time_in_the_day = '{name}' then time end) as {side}_{share}"
+        for share, name in zip(DAY_PART_SHARES, DAY_PARTS) for side in ("min", "max")
+    ]
+    pages = [f"count_if(page = '{page}') as n_{key}" for key, page in COUNTED_PAGES.items()]
+    return events.where("userId is not null").groupBy("userId", "event_date", "sessionId").agg(*_columns(
+        "count(*) as n",
+        "min(time) as first_time",
+        "max(time) as last_time",
+        *parts,
+        f"max(int({IS_PAID})) as any_paid",
+        f"max(int(not {IS_PAID})) as any_free",
+        *pages,
+        f"max({RECENCY}) as latest",
+    ))
 
 
 def sessions_and_days(rows: DataFrame) -> DataFrame:
     """Session rows and day rows of every user, told apart by ``kind``."""
     user, session, day = F.col("userId"), F.col("sessionId"), F.col("event_date")
-    return rows.groupingSets([[user, session], [user, day]], user, session, day).agg(
-        F.grouping_id().alias("kind"),
-        F.sum("n").alias("n"),
-        (F.max("till") - F.min("from")).alias("span"),
-        *[(F.max(f"till_{s}") - F.min(f"from_{s}")).alias(f"span_{s}") for s in DAY_PART_SHARES],
-        F.count("*").alias("pieces"),
-        F.sum(F.col("till") - F.col("from")).alias("piece_time"),
-        F.max("any_paid").alias("any_paid"),
-        F.max("any_free").alias("any_free"),
-        *[F.sum(f"n_{key}").alias(f"n_{key}") for key in COUNTED_PAGES],
-        F.max("latest").alias("latest"),
-    )
+    return rows.groupingSets([[user, session], [user, day]], user, session, day).agg(*_columns(
+        "grouping_id() as kind",
+        "sum(n) as n",
+        "max(last_time) - min(first_time) as span",
+        *[f"max(max_{s}) - min(min_{s}) as span_{s}" for s in DAY_PART_SHARES],
+        "count(*) as pieces",
+        "sum(last_time - first_time) as piece_time",
+        "max(any_paid) as any_paid",
+        "max(any_free) as any_free",
+        *[f"sum(n_{key}) as n_{key}" for key in COUNTED_PAGES],
+        "max(latest) as latest",
+    ))
 
 
 def usage_features(events: DataFrame) -> DataFrame:
@@ -61,44 +61,38 @@ def usage_features(events: DataFrame) -> DataFrame:
 
     A caller that selects some of the columns pays only for those.
     """
-    def of_session(column) -> Column:
-        return F.when(F.col("kind") == BY_SESSION, F.col(column))
+    def of_session(column):
+        return f"case when kind = {BY_SESSION} then {column} end"
 
-    def of_day(column) -> Column:
-        return F.when(F.col("kind") == BY_DAY, F.col(column))
+    def of_day(column):
+        return f"case when kind = {BY_DAY} then {column} end"
 
-    totals = (
-        sessions_and_days(session_days(events))
-        .groupBy("userId")
-        .agg(
-            F.count_if(F.col("kind") == BY_SESSION).alias("sessions"),
-            F.sum(of_session("n")).alias("items"),
-            F.count_if(F.col("kind") == BY_DAY).alias("active_days"),
-            F.sum(of_session("span")).alias("active_time"),
-            F.avg(of_day("pieces")).alias("sessions_per_day"),
-            F.avg(of_day("piece_time")).alias("time_per_day"),
-            F.avg(of_session("n")).alias("avg_items_per_session"),
-            F.avg(of_session("span")).alias("time_per_session"),
-            *[F.coalesce(F.sum(of_session(f"span_{s}")), F.lit(0).cast("bigint")).alias(f"span_{s}")
-              for s in DAY_PART_SHARES],
-            *[F.sum(of_session(f"n_{key}")).alias(f"numbers_{key}") for key in COUNTED_PAGES],
-            F.sum(of_day("any_paid")).alias("paid_days"),
-            F.sum(of_day("any_free")).alias("free_days"),
-            F.max("latest").alias("latest"),
-        )
-    )
-    all_parts = sum((F.col(f"span_{s}") for s in DAY_PART_SHARES[1:]), F.col(f"span_{DAY_PART_SHARES[0]}"))
-    flags = recency_flags(F.col("latest"))
+    totals = sessions_and_days(session_days(events)).groupBy("userId").agg(*_columns(
+        f"count_if(kind = {BY_SESSION}) as sessions",
+        f"sum({of_session('n')}) as items",
+        f"count_if(kind = {BY_DAY}) as active_days",
+        f"sum({of_session('span')}) as active_time",
+        f"avg({of_day('pieces')}) as sessions_per_day",
+        f"avg({of_day('piece_time')}) as time_per_day",
+        f"avg({of_session('n')}) as avg_items_per_session",
+        f"avg({of_session('span')}) as time_per_session",
+        *[f"coalesce(sum({of_session(f'span_{s}')}), 0) as span_{s}" for s in DAY_PART_SHARES],
+        *[f"sum({of_session(f'n_{key}')}) as numbers_{key}" for key in COUNTED_PAGES],
+        f"sum({of_day('any_paid')}) as paid_days",
+        f"sum({of_day('any_free')}) as free_days",
+        "max(latest) as latest",
+    ))
+    all_parts = " + ".join(f"span_{s}" for s in DAY_PART_SHARES)
+    flags = recency_flags_sql("latest")
     return totals.select(
         "userId",
-        "sessions", "items", "active_days", "active_time",
-        "sessions_per_day", "time_per_day", "avg_items_per_session", "time_per_session",
-        *[ratio(F.col(f"span_{s}"), all_parts).alias(s) for s in DAY_PART_SHARES],
+        *USAGE_COLUMNS,
+        *[ratio(f"span_{s}", all_parts, s) for s in DAY_PART_SHARES],
         *[f"numbers_{key}" for key in COUNTED_PAGES],
-        *[ratio(F.col(f"numbers_{key}"), F.col("items")).alias(f"perc_{key}") for key in SHARED_PAGES],
-        (flags >= 2).cast("int").alias("last_status_paid"),
+        *[ratio(f"numbers_{key}", "items", f"perc_{key}") for key in SHARED_PAGES],
+        F.expr(f"int({flags} >= 2) as last_status_paid"),
         "paid_days",
         # a day with paid and free events stands for two day/status pairs
-        ratio(F.col("paid_days"), F.col("paid_days") + F.col("free_days")).alias("perc_paid_days"),
-        F.pmod(flags, F.lit(2)).alias("last_status_cancelled"),
+        ratio("paid_days", "paid_days + free_days", "perc_paid_days"),
+        F.expr(f"{flags} % 2 as last_status_cancelled"),
     )

@@ -2,79 +2,70 @@
 
 The tables hold no music log; fixed arithmetic over ``events``, ``customer`` and ``nation`` makes
 one that has every kind of odd row: missing and empty ids, logged-out rows, locations without a
-state, missing agents, sessions over midnight.
+state, missing agents, sessions over midnight. ``FIXTURES.md`` gives the same rules for both engines.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from staypath.schema import EVENT_SCHEMA
 
-HALF_DAY = 12 * 60 * 60 * 1000
-PROFILE = ["gender", "registration", "location", "userAgent"]
-FIREFOX = "Mozilla/5.0 (X11; Linux) Gecko/20100101 Firefox/31.0"
-CHROME = (
-    '"Mozilla/5.0 (Windows NT 6.1) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/37.0 Safari/537.36"'
-)
+RAW = [
+    "event_id", "user_id", "event_type", "value",
+    "cast(get_json_object(props, '$.k') as bigint) as k",
+    "unix_millis(cast(ts as timestamp)) as ms",
+]
 
+BEHAVIOUR = {
+    "userId": "case when k >= 99 then null when k >= 98 then '' else string(user_id) end",
+    "auth": "case when k >= 97 then 'Logged Out' else 'Logged In' end",
+    "level": "case when k < 40 + user_id % 30 then 'paid' else 'free' end",
+    "ts": "ms",
+    "sessionId": "bigint(floor((ms + 10800000) / 43200000))",
+    "itemInSession": "event_id",
+    "page": """case event_type
+        when 'view' then 'NextSong'
+        when 'signup' then 'NextSong'
+        when 'click' then case when k < 60 then 'Thumbs Up' else 'Thumbs Down' end
+        when 'purchase' then case when k < 40 then 'Add to Playlist' when k < 60 then 'Add Friend'
+                                  when k < 80 then 'Submit Downgrade' else 'Cancel' end
+        else case when k < 50 then 'Error' when k < 75 then 'Submit Downgrade' else 'Cancel' end end""",
+    "artist": "case when event_type in ('view', 'signup') then concat('Artist ', string(k % 17)) end",
+    "song": "case when event_type in ('view', 'signup') then concat('Song ', string(k)) end",
+    "length": "case when event_type in ('view', 'signup') then value end",
+}
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+PROFILE = {
+    "gender": """case when k >= 98 then null
+        when c_mktsegment in ('HOUSEHOLD', 'FURNITURE') then 'F' else 'M' end""",
+    "registration": "case when k >= 98 then null else 1704067200000 - (user_id % 60) * 86400000 end",
+    "location": """case when user_id % 10 = 9 then null when user_id % 10 = 8 then 'Nowhere'
+        else concat('City-Town, ', n_name, '-R', string(n_regionkey)) end""",
+    "userAgent": """case c_mktsegment
+        when 'MACHINERY' then 'Mozilla/5.0 (X11; Linux) Gecko/20100101 Firefox/31.0'
+        when 'BUILDING' then null
+        else '"Mozilla/5.0 (Windows NT 6.1) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/37.0 Safari/537.36"' end""",
+}
 
 
-def _page(kind: Column, k: Column) -> Column:
-    return (
-        F.when(kind.isin("view", "signup"), "NextSong")
-        .when(kind == "click", F.when(k < 60, "Thumbs Up").otherwise("Thumbs Down"))
-        .when(kind == "purchase",
-              F.when(k < 40, "Add to Playlist").when(k < 60, "Add Friend")
-              .when(k < 80, "Submit Downgrade").otherwise("Cancel"))
-        .otherwise(F.when(k < 50, "Error").when(k < 75, "Submit Downgrade").otherwise("Cancel"))
-    )
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def event_log(spark: SparkSession, sf_dir: str, profile: bool = True) -> DataFrame:
     """Event log of one scale factor; needs the session time zone to be UTC.
 
-    ``profile=False`` leaves out the four profile columns and with them the join to ``customer``,
-    which is what operators on behaviour want.
+    ``profile=False`` leaves the four profile columns null and with them out the joins to
+    ``customer`` and ``nation``, which is what operators on behaviour want.
     """
-    k, user, kind = F.col("k"), F.col("user_id"), F.col("event_type")
-    events = table(spark, sf_dir, "events").select(
-        "event_id", "user_id", "event_type", "value",
-        F.get_json_object("props", "$.k").cast("bigint").alias("k"),
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"),
-    )
-    song = kind.isin("view", "signup")
-    fields = {
-        "userId": F.when(k >= 99, None).when(k >= 98, "").otherwise(user.cast("string")),
-        "auth": F.when(k >= 97, "Logged Out").otherwise("Logged In"),
-        "level": F.when(k < 40 + user % 30, "paid").otherwise("free"),
-        "ts": F.col("ms"),
-        "sessionId": F.floor((F.col("ms") + 3 * 60 * 60 * 1000) / HALF_DAY).cast("bigint"),
-        "itemInSession": F.col("event_id"),
-        "page": _page(kind, k),
-        "artist": F.when(song, F.concat(F.lit("Artist "), (k % 17).cast("string"))),
-        "song": F.when(song, F.concat(F.lit("Song "), k.cast("string"))),
-        "length": F.when(song, F.col("value")),
-    }
+    rows = table(spark, sf_dir, "events").selectExpr(*RAW)
     if profile:
         # two plain left joins: each right side is broadcast or not by its own file size
         people = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
         nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-        events = events.join(people, user == F.col("c_custkey"), "left").join(
-            nations, F.col("c_nationkey") == F.col("n_nationkey"), "left"
+        rows = rows.join(people, rows["user_id"] == people["c_custkey"], "left").join(
+            nations, people["c_nationkey"] == nations["n_nationkey"], "left"
         )
-        segment = F.col("c_mktsegment")
-        fields |= {
-            "gender": F.when(k >= 98, None)
-            .when(segment.isin("HOUSEHOLD", "FURNITURE"), "F").otherwise("M"),
-            "registration": F.when(k >= 98, None)
-            .otherwise(F.lit(1704067200000) - (user % 60) * F.lit(86400000)),
-            "location": F.when(user % 10 == 9, None).when(user % 10 == 8, "Nowhere")
-            .otherwise(F.concat(F.lit("City-Town, "), "n_name", F.lit("-R"), F.col("n_regionkey").cast("string"))),
-            "userAgent": F.when(segment == "MACHINERY", FIREFOX).when(segment == "BUILDING", None).otherwise(CHROME),
-        }
-    else:
-        # the log's row shape asks for these; they stay unread
-        fields |= {name: F.lit(None).cast(EVENT_SCHEMA[name].dataType) for name in PROFILE}
-    return events.select(*[fields[f.name].alias(f.name) for f in EVENT_SCHEMA])
+    fields = BEHAVIOUR | (PROFILE if profile else dict.fromkeys(PROFILE, "null"))
+    return rows.selectExpr(*[
+        f"cast({fields[f.name]} as {f.dataType.simpleString()}) as {f.name}" for f in EVENT_SCHEMA
+    ])
