@@ -73,20 +73,42 @@ def length_sql(length: str, decimals: int | None) -> str:
     Doubles by default. With ``decimals`` lengths count as whole numbers of 10^-decimals seconds,
     so a sum does not depend on row order; shares of such sums need no scaling back.
     """
-    return length if decimals is None else f"bigint(round({length} * {10**decimals}))"
+    return length if decimals is None else f"floor({length} * {10**decimals} + 0.5D)"
+
+
+# bits of a short recency key: milliseconds to 2039, item numbers to a million, two flags
+TIME_BITS, ITEM_BITS, FLAG_BITS = 41, 20, 2
+LOW_BITS = ITEM_BITS + FLAG_BITS
 
 
 def recency_sql(time: str, item: str, flags: str) -> str:
     """Sort key of an event, newest largest, with a flag number 0..3 in its low end.
 
-    A decimal keeps ``max`` of the key in a hash aggregate; a struct would force a sort of the log.
-    Missing times sort below all others, missing item numbers below item 0.
+    Covers every time and item number. Missing times sort below all others, missing item numbers
+    below item 0.
     """
     when = f"cast(coalesce({time}, {-10**17}) as decimal(18, 0))"
     low = f"cast(coalesce({item} + 1, 0) as decimal(19, 0)) * 4 + cast({flags} as decimal(1, 0))"
     return f"{when} * {10**20} + {low}"
 
 
+def latest_sql(time: str, item: str, flags: str) -> str:
+    """Aggregate: the largest :func:`recency_sql` of a group.
+
+    Numbers keep ``max`` in a hash aggregate; a struct would force a sort of the log. Nearly all
+    keys fit a bigint, which is several times cheaper per row than the decimal, so the decimal is
+    computed per group, and per row only where the short key has no room.
+    """
+    number = f"coalesce({item} + 1, 0)"
+    fits = f"coalesce({time} between 0 and {2**TIME_BITS - 1}, false) and {number} between 0 and {2**ITEM_BITS - 1}"
+    short = f"max(case when {fits} then shiftleft({time}, {LOW_BITS}) + shiftleft({number}, {FLAG_BITS}) + {flags} end)"
+    from_short = (
+        f"cast(shiftright({short}, {LOW_BITS}) as decimal(18, 0)) * {10**20} "
+        f"+ cast({short} & {2**LOW_BITS - 1} as decimal(19, 0))"
+    )
+    return f"greatest({from_short}, max(case when not ({fits}) then {recency_sql(time, item, flags)} end))"
+
+
 def recency_flags_sql(key: str) -> str:
-    """The flag number stored by :func:`recency_sql`."""
+    """The flag number stored in a recency key."""
     return f"int(pmod({key}, cast(4 as decimal(38, 0))))"

@@ -4,7 +4,7 @@ import datetime
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from staypath.functions.columns import day_part, day_sql, days_until, event_day, recency_sql, song_title
+from staypath.functions.columns import day_part, day_sql, days_until, event_day, latest_sql, recency_sql, song_title
 from staypath.schema import CANCEL_PAGE, CHURN_PAGES, LOGGED_IN, PAID, PLAY_PAGE
 
 # a played song with a known title; a paid event; an event that counts as churn if it is the last
@@ -12,8 +12,10 @@ IS_PLAY = f"singer_song is not null and page = '{PLAY_PAGE}'"
 IS_PAID = f"coalesce(level = '{PAID}', false)"
 IS_CHURN = "coalesce(page in ({}), false)".format(", ".join(f"'{page}'" for page in CHURN_PAGES))
 
-# recency of an activity row carrying its paid (2) and churn-page (1) flags
-RECENCY = recency_sql("time", "itemInSession", f"(int({IS_PAID}) * 2 + int({IS_CHURN}))")
+# recency of an activity row carrying its paid (2) and churn-page (1) flags, and its maximum
+FLAGS = f"(int({IS_PAID}) * 2 + int({IS_CHURN}))"
+RECENCY = recency_sql("time", "itemInSession", FLAGS)
+LATEST = latest_sql("time", "itemInSession", FLAGS)
 
 
 def logged_in(log: DataFrame) -> DataFrame:
@@ -89,7 +91,7 @@ def events_before_last(events: DataFrame, page: str = CANCEL_PAGE) -> DataFrame:
     """
     events = events.where("userId is not null")
     columns = events.columns
-    latest = events.groupBy("userId").agg(F.expr(f"max({RECENCY}) as latest"))
+    latest = events.groupBy("userId").agg(F.expr(f"{LATEST} as latest"))
     folded = (
         events.where(F.col("page") == page)
         .groupBy(*columns)

@@ -5,7 +5,7 @@ import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from staypath.functions.columns import ratio, recency_flags_sql
-from staypath.operators.activity import RECENCY, activity, events_before_last
+from staypath.operators.activity import LATEST, activity, events_before_last
 from staypath.schema import LABEL
 
 
@@ -18,7 +18,7 @@ def churn_label(log: DataFrame, max_days: int | None = None, as_of: datetime.dat
         activity(log, max_days=max_days, as_of=as_of)
         .where("userId is not null")
         .groupBy("userId")
-        .agg(F.expr(f"max({RECENCY}) as latest"))
+        .agg(F.expr(f"{LATEST} as latest"))
     )
     return latest.select("userId", F.expr(f"{recency_flags_sql('latest')} % 2 as {LABEL}"))
 

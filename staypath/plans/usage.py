@@ -9,7 +9,7 @@ row per session and day is left, and those are combined map-side before the last
 from pyspark.sql import DataFrame, functions as F
 
 from staypath.functions.columns import ratio, recency_flags_sql
-from staypath.operators.activity import IS_PAID, RECENCY
+from staypath.operators.activity import IS_PAID, LATEST
 from staypath.schema import COUNTED_PAGES, DAY_PART_SHARES, DAY_PARTS, SHARED_PAGES, USAGE_COLUMNS
 
 # grouping_id of the two roll-ups below: a set bit marks a key that is rolled away
@@ -35,7 +35,7 @@ def session_days(events: DataFrame) -> DataFrame:
         f"max(int({IS_PAID})) as any_paid",
         f"max(int(not {IS_PAID})) as any_free",
         *pages,
-        f"max({RECENCY}) as latest",
+        f"{LATEST} as latest",
     ))
 
 

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from staypath.schema import EVENT_SCHEMA
 
+# json_tuple is a generator: the text is parsed once per row, however often k is used below
+PARSED = ["event_id", "user_id", "event_type", "value", "ts", "json_tuple(props, 'k') as k"]
 RAW = [
-    "event_id", "user_id", "event_type", "value",
-    "cast(get_json_object(props, '$.k') as bigint) as k",
+    "event_id", "user_id", "event_type", "value", "bigint(k) as k",
     "unix_millis(cast(ts as timestamp)) as ms",
 ]
 
@@ -57,7 +58,7 @@ def event_log(spark: SparkSession, sf_dir: str, profile: bool = True) -> DataFra
     ``profile=False`` leaves the four profile columns null and with them out the joins to
     ``customer`` and ``nation``, which is what operators on behaviour want.
     """
-    rows = table(spark, sf_dir, "events").selectExpr(*RAW)
+    rows = table(spark, sf_dir, "events").selectExpr(*PARSED).selectExpr(*RAW)
     if profile:
         # two plain left joins: each right side is broadcast or not by its own file size
         people = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
