@@ -41,16 +41,19 @@ def in_window(
     """Rows at least ``min_days`` and at most ``max_days`` before the newest day, both inclusive.
 
     Compares the raw ``ts`` with the first moment of a day, so that the scan can skip row groups.
+    The filter on top of each bound keeps Catalyst from merging it with other subqueries on the
+    log: a merged bound is a struct field, and those are not pushed to the scan.
     """
-    def day_start(days_back: int) -> Column:
+    def day_start(rows: DataFrame, days_back: int) -> Column:
         newest = day_sql("max(ts)") if as_of is None else f"date'{as_of}'"
-        start = F.expr(f"unix_millis(timestamp(date_sub({newest}, {days_back})))")
-        return logged_in(log).agg(start).scalar() if as_of is None else start
+        start = F.expr(f"unix_millis(timestamp(date_sub({newest}, {days_back}))) as start")
+        return start if as_of is not None else logged_in(rows).agg(start).where("start is not null").scalar()
 
     if max_days is not None:
-        log = log.where(F.col("ts") >= day_start(max_days))
+        log = log.where(F.col("ts") >= day_start(log, max_days))
     if min_days is not None:
-        log = log.where(F.col("ts") < day_start(min_days - 1))
+        # the newest day is among the rows kept so far, so this bound need not read the others
+        log = log.where(F.col("ts") < day_start(log, min_days - 1))
     return log
 
 
@@ -78,7 +81,7 @@ def activity(
     )
     return rows.withColumns({
         "days_since_registration": days_until("event_date", "registration_date"),
-        "days_before_today": days_until(newest_day(log, as_of), "event_date"),
+        "days_before_today": days_until(newest_day(in_window(log, max_days, as_of=as_of), as_of), "event_date"),
     })
 
 

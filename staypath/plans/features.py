@@ -5,7 +5,7 @@ import datetime
 from pyspark.sql import DataFrame
 
 from staypath.functions.columns import ratio
-from staypath.operators.activity import activity
+from staypath.operators.activity import activity, in_window
 from staypath.plans.content import content_features, popular_song_share
 from staypath.plans.profile import static_features
 from staypath.plans.usage import usage_features
@@ -68,7 +68,10 @@ def feature_table(
     ``profile_log`` names the table with gender, registration, agent and location if the log
     keeps them elsewhere. ``label`` carries the churn label along at no extra pass.
     """
-    static = static_features(log if profile_log is None else profile_log, agents, states, as_of, activity_log=log)
+    static = static_features(
+        log if profile_log is None else profile_log, agents, states, as_of,
+        activity_log=in_window(log, max_days, as_of=as_of),  # enough to find the newest day
+    )
     dynamic = dynamic_features(
         log, max_days, min_days, as_of, length_decimals, max_artist_perc, label, relative_error
     )
