@@ -299,6 +299,24 @@ select userId, label, copy from (
 )"""
 
 
+def scaling(minority, majority, jitter=0.01):
+    """Body: deviation of every feature over the resampled training part, to nine digits."""
+    steps = " + ".join(f"cast(u >= {step!r}::double as integer)" for step in poisson_steps(minority + jitter))
+    columns = ", ".join(f"cast({c} as double) as {c}" for c in FEATURE_NUMBERS)
+    return f""",
+train as (
+  select {columns}, last_status_cancelled as label, {draw(0)} as u from training where {draw(SPLIT_SEED)} < 0.7::double
+),
+train_drawn as (
+  select * exclude (label, u), unnest(range(case when label = 1 then {steps}
+                                               else cast(u < {majority - jitter!r}::double as integer) end)) as copy
+  from train
+)
+select feature, printf('%.8e', stddev_samp(v)) as deviation
+from (unpivot (select * exclude (copy) from train_drawn) on {', '.join(FEATURE_NUMBERS)} into name feature value v)
+group by feature"""
+
+
 def histogram(bins=10):
     parts = []
     for c in HISTOGRAM_COLUMNS:
@@ -421,6 +439,7 @@ select userId, last_status_cancelled as label, case when {draw(SPLIT_SEED)} < 0.
        as part
 from training""",
     }
+    sql["scaling"] = training() + scaling(3, 1)
     sql["event_log_json"] = LOG + "\nselect * from log"
     sql["features_csv"] = sql["feature_table"]
     sql["training_parquet"] = sql["training_set"]

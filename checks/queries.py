@@ -4,14 +4,13 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks.oracles import AGENTS, STATES
 from staypath.functions.columns import days_until, event_day
 from staypath.model import evaluate, fit, prepare, sampling
 from staypath.operators import explore, report
 from staypath.operators.activity import activity
-from staypath.operators.encode import one_hot
 from staypath.plans import content, labels
 from staypath.plans.features import feature_table
 from staypath.plans.profile import list_one_hot, listed_values, static_features
@@ -140,6 +139,15 @@ def _data(spark, d):
     return prepare.assemble(stored), prepare.feature_names(stored)
 
 
+def _scaling(spark, d):
+    """Deviations the scaler learns from the resampled training part."""
+    data, names = _data(spark, d)
+    train, _ = sampling.split(data, seed=prepare.SPLIT_SEED)
+    deviations = prepare.fit_scaler(sampling.resample(train, 3, 1)).std.toArray()
+    table = spark.createDataFrame(list(zip(names, map(float, deviations))), "feature string, value double")
+    return table.select("feature", F.format_string("%.8e", "value").alias("deviation"))
+
+
 def _scaled_train_test(spark, d):
     train, test = prepare.train_test(_data(spark, d)[0], 3, 1)
     both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
@@ -236,6 +244,8 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "event_log_json": _event_log_json,
         "features_csv": _features_csv,
         "training_parquet": _training_parquet,
+        "scaling": _scaling,
+        "log_preview": lambda s, d: explore.preview(activity(_full(s, d))),
         "scaled_train_test": _scaled_train_test,
         "sampling_runs": _sampling_runs,
         "cv_gbt": _grid(fit.gbt, fit.GBT_GRID),
