@@ -89,23 +89,22 @@ def events_before_last(events: DataFrame, page: str = CANCEL_PAGE) -> DataFrame:
     """Activity rows on ``page`` that are not their user's latest row.
 
     Of the rows that tie for latest exactly one counts as the latest. Equal rows are folded to a
-    count before any shuffle and spread out again at the end, and only rows that tie for latest
-    meet in one window group; all others are scattered over ``spread``.
+    count before any shuffle and spread out again at the end. Rows meet the latest one of their
+    user by (user, recency), so a user with very many rows is spread over all tasks.
     """
     events = events.where("userId is not null")
     columns = events.columns
-    latest = events.groupBy("userId").agg(F.expr(f"{LATEST} as latest"))
+    latest = events.groupBy("userId").agg(F.expr(f"{LATEST} as recency")).withColumn("latest", F.lit(True))
     folded = (
         events.where(F.col("page") == page)
         .groupBy(*columns)
         .agg(F.expr("count(*) as copies"))
-        .join(latest, "userId")
-        .withColumn("ties", F.expr(f"{RECENCY} = latest"))
-        .withColumn("spread", F.expr(f"case when not ties then xxhash64({', '.join(columns)}) end"))
+        .withColumn("recency", F.expr(RECENCY))
+        .join(latest, ["userId", "recency"], "left")
     )
-    first = Window.partitionBy("userId", "spread").orderBy(*columns)
-    left = folded.withColumn("position", F.row_number().over(first)).withColumn(
-        "copies", F.expr("copies - int(ties and position = 1)")
+    ties = Window.partitionBy("userId", "recency").orderBy(*columns)
+    left = folded.withColumn("position", F.row_number().over(ties)).withColumn(
+        "copies", F.expr("copies - int(coalesce(latest, false) and position = 1)")
     )
     return repeat_rows(left.where("copies > 0"), "copies").select(*columns)
 

@@ -79,18 +79,36 @@ def popular_songs(popularity: DataFrame, relative_error: float | None = None) ->
     return popularity.where(F.col("listeners") >= popularity_bar(popularity, relative_error).scalar())
 
 
-def popular_song_share(events: DataFrame, relative_error: float | None = None) -> DataFrame:
+def popular_song_share(
+    events: DataFrame, relative_error: float | None = None, hot_songs: int = 1000
+) -> DataFrame:
     """``perc_popular_songs``: share of a user's plays that are plays of popular songs.
 
-    The join sees one row per (user, song) instead of one per play. Whether the popular side is
-    broadcast is left to its measured size; a hot song is split by AQE's skew join.
+    The join sees one row per (user, song) instead of one per play. A song with at least 1/1000 of
+    these rows is hot; there can be no more than ``hot_songs`` = 1000 of them, so they are broadcast
+    and their rows skip the shuffled join: they carry no song there and are scattered over
+    ``slot``. No other song can make up more than 1/1000 of the shuffled rows.
     """
     plays = song_plays(events)
-    popular = popular_songs(listeners_per_song(plays), relative_error).select(
-        "singer_song", F.lit(True).alias("popular")
+    popularity = listeners_per_song(plays)
+    bar = popularity_bar(popularity, relative_error)
+    pairs = popularity.agg(F.sum("listeners")).scalar()
+    hot = popularity.where(F.col("listeners") * hot_songs >= pairs).select(
+        F.expr("singer_song as hot_song"), (F.col("listeners") >= bar.scalar()).alias("hot_popular")
     )
+    popular = popularity.where(F.col("listeners") >= bar.scalar()).select(
+        F.expr("singer_song as cold_song"), F.expr("0L as slot"), F.expr("true as popular")
+    )
+    spread = plays.join(F.broadcast(hot), F.expr("singer_song = hot_song"), "left").select(
+        "userId",
+        "plays",
+        "hot_popular",
+        F.expr("case when hot_song is null then singer_song end as cold_song"),
+        F.expr("case when hot_song is null then 0L else 1 + pmod(xxhash64(userId), 100000) end as slot"),
+    )
+    weight = "case when coalesce(hot_popular, popular, false) then plays else 0 end"
     return (
-        plays.join(popular, "singer_song", "left")
+        spread.join(popular, ["cold_song", "slot"], "left")
         .groupBy("userId")
-        .agg(ratio("sum(case when popular then plays else 0 end)", "sum(plays)", "perc_popular_songs"))
+        .agg(ratio(f"sum({weight})", "sum(plays)", "perc_popular_songs"))
     )

@@ -247,6 +247,22 @@ def test_popularity_bar(spark, counts, bar):
     assert popularity_bar(songs, relative_error=0.25).first()["bar"] in counts
 
 
+@pytest.mark.parametrize("hot_songs", [1, 3, 5, 10**9])
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_hot_and_other_songs_give_one_result(spark, make_log, hot_songs, broadcast):
+    rows = random_rows(10)
+    for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(name, broadcast)
+    try:
+        got = by_user(popular_song_share(activity(make_log(*rows)), hot_songs=hot_songs))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    want = {u: {"perc_popular_songs": f["perc_popular_songs"]} for u, f in by_hand(rows).items()
+            if f["perc_popular_songs"] is not None}
+    assert {u: {"perc_popular_songs": r["perc_popular_songs"]} for u, r in got.items()} == want
+
+
 def test_vocabularies(make_log):
     log = make_log({"userAgent": "B/1 (x) A"}, {"userAgent": None}, {"userId": None, "userAgent": "Z"})
     assert list_vocabulary(log, "userAgent") == ["A", "B"]
