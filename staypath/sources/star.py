@@ -9,6 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from staypath.schema import EVENT_SCHEMA
 
+# the columns used, declared so that no job reads footers to find them
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+}
+
 # json_tuple is a generator: the text is parsed once per row, however often k is used below
 PARSED = ["event_id", "user_id", "event_type", "value", "ts", "json_tuple(props, 'k') as k"]
 RAW = [
@@ -49,7 +56,7 @@ PROFILE = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def event_log(spark: SparkSession, sf_dir: str, profile: bool = True) -> DataFrame:
@@ -61,8 +68,7 @@ def event_log(spark: SparkSession, sf_dir: str, profile: bool = True) -> DataFra
     rows = table(spark, sf_dir, "events").selectExpr(*PARSED).selectExpr(*RAW)
     if profile:
         # two plain left joins: each right side is broadcast or not by its own file size
-        people = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-        nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+        people, nations = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
         rows = rows.join(people, rows["user_id"] == people["c_custkey"], "left").join(
             nations, people["c_nationkey"] == nations["n_nationkey"], "left"
         )
