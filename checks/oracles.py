@@ -195,7 +195,7 @@ state_tokens as (
 )"""
 
 
-def _wide(table, column, values, outer=""):
+def _wide(table, column, values):
     counts = ",\n".join(f"  count(*) filter ({column} = '{v}') as {column}_{v}" for v in values)
     return f"select userId,\n{counts}\nfrom {table} group by userId"
 

@@ -3,6 +3,7 @@
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -154,13 +155,16 @@ def _scaled_train_test(spark, d):
     return both.groupBy("part", "label").agg(F.count("*").alias("n"))
 
 
-def _sampling_runs(spark, d):
-    data, _ = _data(spark, d)
-    runs = [
-        fit.sampling_runs(data, fit.random_forest(), multiplier, 1, runs=3).withColumn("multiplier", F.lit(multiplier))
-        for multiplier in (3.0, 2.0, 1.5, 1.0)
-    ]
-    return runs[0].unionByName(runs[1]).unionByName(runs[2]).unionByName(runs[3])
+def _sampling_runs(estimator):
+    """Three runs for each size of the minority class."""
+    def query(spark, d):
+        data, _ = _data(spark, d)
+        runs = [
+            fit.sampling_runs(data, estimator(), size, 1, runs=3).withColumn("multiplier", F.lit(size))
+            for size in (3.0, 2.0, 1.5, 1.0)
+        ]
+        return reduce(DataFrame.unionByName, runs)
+    return query
 
 
 def _grid(estimator, values):
@@ -180,7 +184,7 @@ def _fit_lr(spark, d):
 def _feature_importance(spark, d):
     data, names = _data(spark, d)
     train, _ = prepare.train_test(data, 3, 1)
-    return evaluate.top_features(evaluate.importance_table(spark, fit.gbt().fit(train), names))
+    return evaluate.top_features(evaluate.importance_table(spark, fit.gbt(**fit.GBT_FINAL).fit(train), names))
 
 
 def _model_curve(spark, d):
@@ -247,7 +251,9 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scaling": _scaling,
         "log_preview": lambda s, d: explore.preview(activity(_full(s, d))),
         "scaled_train_test": _scaled_train_test,
-        "sampling_runs": _sampling_runs,
+        "sampling_runs": _sampling_runs(fit.random_forest),
+        "sampling_runs_gbt": _sampling_runs(fit.gbt),
+        "sampling_runs_lr": _sampling_runs(fit.logistic_regression),
         "cv_gbt": _grid(fit.gbt, fit.GBT_GRID),
         "cv_rf": _grid(fit.random_forest, fit.FOREST_GRID),
         "fit_lr": _fit_lr,

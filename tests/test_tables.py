@@ -1,7 +1,5 @@
 """Encoding, exploration, reports, readers and writers."""
 
-import math
-
 import numpy as np
 import pytest
 
@@ -9,7 +7,7 @@ from staypath.operators import explore, report
 from staypath.operators.encode import encoded_names, one_hot
 from staypath.sources import tables
 from staypath.plans.features import feature_table
-from tests.conftest import START, by_user
+from tests.conftest import by_user
 from tests.test_features import random_rows
 
 
@@ -51,7 +49,8 @@ def test_null_counts_and_filters(make_log):
 
 
 def test_means(spark):
-    df = spark.createDataFrame([("u", 1, 0.125, 1), ("v", 0, 0.5, 1), ("w", 0, None, 0)], "userId string, a int, b double, l int")
+    rows = [("u", 1, 0.125, 1), ("v", 0, 0.5, 1), ("w", 0, None, 0)]
+    df = spark.createDataFrame(rows, "userId string, a int, b double, l int")
     assert explore.column_means(df, ["a", "b"]).first().asDict() == {"a": 0.33, "b": 0.31}
     assert explore.column_means(df).columns == ["a", "b", "l"]
     assert {r["l"]: r["mean_b"] for r in explore.means_by(df, "l", ["b"]).collect()} == {1: 0.3125, 0: None}
