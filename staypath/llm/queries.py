@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from staypath.llm.frames import read
+from staypath.llm.imatch import fingerprints
 from staypath.llm.lines import line_digests
 
 
@@ -12,6 +13,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_digests(read(spark, sf_dir, "documents"))
 
 
+def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(read(spark, sf_dir, "documents"))
+
+
 OP3_SQL = r"""
 with lines as (
   select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
@@ -35,6 +40,7 @@ from marked group by doc_id
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_line_dedup": op3_line_dedup,
+        "op6_imatch": op6_imatch,
     }
 
 

@@ -146,3 +146,36 @@ class Table:
             if not len(left):
                 break
         return out
+
+
+def joined(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """A list of texts as one chunk; null is empty."""
+    texts = [t or b"" for t in texts]
+    starts = np.zeros(len(texts) + 1, dtype=np.int64)
+    np.cumsum([len(t) for t in texts], out=starts[1:])
+    return np.frombuffer(b"".join(texts), dtype=np.uint8), starts
+
+
+class Counts:
+    """Counts of 64-bit keys, summed up as they come; memory follows the distinct keys."""
+
+    def __init__(self):
+        self.keys = [np.empty(0, dtype=np.uint64)]
+        self.counts = [np.empty(0, dtype=np.int64)]
+        self.waiting = self.size = 0
+
+    def add(self, keys: np.ndarray, counts: np.ndarray | None = None):
+        self.keys.append(keys)
+        self.counts.append(np.ones(len(keys), dtype=np.int64) if counts is None else counts)
+        self.waiting += len(keys)
+        if self.waiting > 500_000 + self.size:
+            self.total()
+
+    def total(self) -> tuple[np.ndarray, np.ndarray]:
+        keys, counts = np.concatenate(self.keys), np.concatenate(self.counts)
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[order]
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, dtype=np.int64)
+        self.keys, self.counts = [keys[first]], [np.add.reduceat(counts, first) if len(first) else counts]
+        self.waiting, self.size = 0, len(first)
+        return self.keys[0], self.counts[0]
