@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from staypath.llm.frames import read
 from staypath.llm.imatch import fingerprints
 from staypath.llm.lines import line_digests
+from staypath.llm.pieces import round_trips
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +18,10 @@ def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(read(spark, sf_dir, "documents"))
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trips(read(spark, sf_dir, "documents"))
+
+
 OP3_SQL = r"""
 with lines as (
   select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
@@ -41,6 +46,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_line_dedup": op3_line_dedup,
         "op6_imatch": op6_imatch,
+        "op10_sentencepiece": op10_sentencepiece,
     }
 
 
