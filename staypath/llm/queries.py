@@ -8,6 +8,11 @@ from staypath.llm.frames import read
 from staypath.llm.imatch import fingerprints
 from staypath.llm.lines import line_digests
 from staypath.llm.pieces import round_trips
+from staypath.llm.toxicity import toxicity
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +49,7 @@ from marked group by doc_id
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": op1_toxicity,
         "op3_line_dedup": op3_line_dedup,
         "op6_imatch": op6_imatch,
         "op10_sentencepiece": op10_sentencepiece,

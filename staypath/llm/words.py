@@ -67,9 +67,18 @@ def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
 
     Words are runs of bytes other than space and 0x09 to 0x0D; A-Z is lower-cased.
     """
+    return word_heads(data, starts, ())[:2]
+
+
+def word_heads(data: np.ndarray, starts: np.ndarray, lengths: tuple[int, ...]):
+    """As ``word_hashes``, and for each length a hash of that many bytes at the beginning of each word.
+
+    A word that is not longer has its own hash there.
+    """
     n = len(data)
     if not n:
-        return np.empty(0, dtype=np.uint64), np.zeros(len(starts), dtype=np.int64)
+        none = np.empty(0, dtype=np.uint64)
+        return none, np.zeros(len(starts), dtype=np.int64), [none for _ in lengths]
     word = ~_SPACE[data]
     begins = word.copy()
     begins[1:] &= ~word[:-1]
@@ -82,7 +91,8 @@ def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
     sums = np.empty(n + 1, dtype=np.uint64)
     sums[0] = 0
     np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:], dtype=np.uint64)
-    return mix((sums[end] - sums[begin]) * down[begin]), np.searchsorted(begin, starts)
+    hashed = lambda stop: mix((sums[stop] - sums[begin]) * down[begin])
+    return hashed(end), np.searchsorted(begin, starts), [hashed(np.minimum(begin + k, end)) for k in lengths]
 
 
 def shingle_hashes(words: np.ndarray, starts: np.ndarray, size: int = 5):
