@@ -9,6 +9,7 @@ from staypath.llm.imatch import fingerprints
 from staypath.llm.lines import line_digests
 from staypath.llm.pieces import round_trips
 from staypath.llm.toxicity import toxicity
+from staypath.llm.urls import labelled_urls, url_verdicts
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +20,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_digests(read(spark, sf_dir, "documents"))
 
 
+def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    return url_verdicts(pages, labelled_urls(pages, read(spark, sf_dir, "labels")))
+
+
 def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(read(spark, sf_dir, "documents"))
 
@@ -51,6 +57,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
         "op3_line_dedup": op3_line_dedup,
+        "op4_url_rules": op4_url_rules,
         "op6_imatch": op6_imatch,
         "op10_sentencepiece": op10_sentencepiece,
     }
