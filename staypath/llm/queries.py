@@ -10,6 +10,7 @@ from staypath.llm.lines import line_digests
 from staypath.llm.pieces import round_trips
 from staypath.llm.toxicity import toxicity
 from staypath.llm.urls import labelled_urls, url_verdicts
+from staypath.llm.warc import read_records, write_archives
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +30,11 @@ def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(read(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = write_archives(read(spark, sf_dir, "pages"))
+    return read_records(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trips(read(spark, sf_dir, "documents"))
 
@@ -53,15 +59,31 @@ from marked group by doc_id
 """
 
 
+OP7_SQL = """
+with p as (
+  select page_id, encode(coalesce(html, '')) as payload from pages
+), d as (
+  select page_id, octet_length(payload) as n, sha1(payload) as digest from p
+), lead as (
+  select digest, max(page_id) as leader from d where n >= 1000 group by digest
+)
+select page_id, n as payload_bytes, d.digest as payload_digest,
+       case when leader <> page_id then 'revisit' else 'response' end as record_type,
+       case when leader <> page_id then leader end as refers_to
+from d left join lead on d.digest = lead.digest
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
         "op3_line_dedup": op3_line_dedup,
         "op4_url_rules": op4_url_rules,
         "op6_imatch": op6_imatch,
+        "op7_warc": op7_warc,
         "op10_sentencepiece": op10_sentencepiece,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": OP3_SQL}
+    return {"op3_line_dedup": OP3_SQL, "op7_warc": OP7_SQL}
