@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from staypath.llm.frames import read
 from staypath.llm.imatch import fingerprints
+from staypath.llm.jaccard import near_copies
 from staypath.llm.lines import line_digests
 from staypath.llm.pieces import round_trips
 from staypath.llm.toxicity import toxicity
@@ -17,6 +18,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies(read(spark, sf_dir, "documents"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_digests(read(spark, sf_dir, "documents"))
 
@@ -77,6 +82,7 @@ from d left join lead on d.digest = lead.digest
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
+        "op2_ngram_jaccard": op2_ngram_jaccard,
         "op3_line_dedup": op3_line_dedup,
         "op4_url_rules": op4_url_rules,
         "op6_imatch": op6_imatch,
