@@ -9,6 +9,7 @@ from staypath.llm.imatch import fingerprints
 from staypath.llm.jaccard import near_copies
 from staypath.llm.lines import line_digests
 from staypath.llm.pieces import round_trips
+from staypath.llm.substrings import remove_repeats
 from staypath.llm.toxicity import toxicity
 from staypath.llm.urls import labelled_urls, url_verdicts
 from staypath.llm.warc import read_records, write_archives
@@ -31,6 +32,10 @@ def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(pages, labelled_urls(pages, read(spark, sf_dir, "labels")))
 
 
+def op5_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read(spark, sf_dir, "documents"))
+
+
 def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(read(spark, sf_dir, "documents"))
 
@@ -85,6 +90,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_ngram_jaccard": op2_ngram_jaccard,
         "op3_line_dedup": op3_line_dedup,
         "op4_url_rules": op4_url_rules,
+        "op5_suffix_array": op5_suffix_array,
         "op6_imatch": op6_imatch,
         "op7_warc": op7_warc,
         "op10_sentencepiece": op10_sentencepiece,
