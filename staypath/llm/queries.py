@@ -10,6 +10,7 @@ from staypath.llm.jaccard import near_copies
 from staypath.llm.lines import line_digests
 from staypath.llm.pieces import round_trips
 from staypath.llm.substrings import remove_repeats
+from staypath.llm.suffix_tree import text_scores
 from staypath.llm.toxicity import toxicity
 from staypath.llm.urls import labelled_urls, url_verdicts
 from staypath.llm.warc import read_records, write_archives
@@ -45,6 +46,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text_scores(read(spark, sf_dir, "documents"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trips(read(spark, sf_dir, "documents"))
 
@@ -93,6 +98,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_suffix_array": op5_suffix_array,
         "op6_imatch": op6_imatch,
         "op7_warc": op7_warc,
+        "op9_suffix_tree": op9_suffix_tree,
         "op10_sentencepiece": op10_sentencepiece,
     }
 

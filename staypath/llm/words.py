@@ -189,3 +189,12 @@ class Counts:
         self.keys, self.counts = [keys[first]], [np.add.reduceat(counts, first) if len(first) else counts]
         self.waiting, self.size = 0, len(first)
         return self.keys[0], self.counts[0]
+
+
+def unmix(h: np.ndarray) -> np.ndarray:
+    """Inverse of ``mix``."""
+    h = h ^ (h >> np.uint64(31)) ^ (h >> np.uint64(62))
+    h = h * np.uint64(pow(0x94D049BB133111EB, -1, 1 << 64))
+    h = h ^ (h >> np.uint64(27)) ^ (h >> np.uint64(54))
+    h = h * np.uint64(pow(0xBF58476D1CE4E5B9, -1, 1 << 64))
+    return h ^ (h >> np.uint64(30)) ^ (h >> np.uint64(60))
