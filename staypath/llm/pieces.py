@@ -11,7 +11,7 @@ import sentencepiece
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from staypath.llm.words import mix
+from staypath.llm.words import Table, mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -19,22 +19,13 @@ SPACE = "▁"
 CHUNK = re.compile(r" *[^ \n\t]+|[\n\t]| +")
 #: how many segmentations a chunk can have; each place in a document draws one of them by keyed hash
 VARIANTS = 4
+#: ids that a task holds before it sends them
+HELD_IDS = 2_000_000
 #: chunk segmentations that a task remembers
-REMEMBERED = 400_000
-MASK = (1 << 64) - 1
-
-
-class Memory(dict):
-    """Segmentations by chunk; emptied when full."""
-
-    def __init__(self, make):
-        self.make = make
-
-    def __missing__(self, chunk):
-        if len(self) >= REMEMBERED // VARIANTS:
-            self.clear()
-        made = self[chunk] = self.make(chunk)
-        return made
+REMEMBERED = 800_000
+#: chunks of more characters keep their agenda in a heap
+LONG = 48
+MASK, SCATTER, NONE = (1 << 64) - 1, 0x9E3779B97F4A7C15, 1 << 30
 
 
 class Segmenter:
@@ -57,68 +48,161 @@ class Segmenter:
             self.raw.append(raw)
         if len(self.byte_ids) < 256:
             raise ValueError("the model lacks byte pieces, so decoding could lose text")
-        self.skip = int(rate * (1 << 20))
-        self.seed = seed
-        self.memory = [Memory(self._segmenter(v)) for v in range(VARIANTS)]
-
-    def _segmenter(self, variant):
+        self.skip, self.seed = int(rate * (1 << 20)), seed
+        self.memory: list[dict] = [{} for _ in range(VARIANTS)]
+        # char ids by code point; unknown ones lie beyond the pieces and are in no pair
+        self.chars = np.arange(0x110000, dtype=np.int64) + len(self.raw)
+        for piece, i in self.ids.items():
+            if len(piece) == 1:
+                self.chars[ord(piece)] = i
+        self.chars[0x20], self.chars[ord(SPACE)] = self.ids[SPACE], len(self.raw) + ord(SPACE)
+        order = {score: n for n, score in enumerate(sorted(set(self.ranks.values())))}
+        pairs = [(self.ids[p[:k]] << 32 | self.ids[p[k:]], order[self.ranks[p]], i)
+                 for p, i in self.ids.items() for k in range(1, len(p)) if p[:k] in self.ids and p[k:] in self.ids]
+        keys, rank, made = (np.array(c, dtype=np.int64) for c in zip(*pairs))
+        self.table, self.rank, self.made = Table(mix(keys.view(np.uint64))), np.append(rank, NONE).astype(np.int32), np.append(made, -1).astype(np.int32)
+
+    def _pairs(self, a: np.ndarray, b: np.ndarray):
+        """Rank and id of the piece that two neighbours make, ``NONE`` where there is none."""
+        a, b = np.asarray(a, dtype=np.int64), np.asarray(b, dtype=np.int64)
+        at = self.table.find(mix((a << 32 | b).view(np.uint64)))
+        at[(a < 0) | (b < 0)] = -1
+        return self.rank[at], self.made[at]
+
+    def segment_many(self, chunks: list[str], variant: int) -> list[tuple[int, ...]]:
+        """Piece ids of chunks, all agendas in step.
+
+        Candidates leave a chunk's agenda by score, then place. A hash of seed, variant, chunk and the candidate's
+        three borders says whether one is skipped; a skipped one comes back only as part of another candidate.
+        """
+        if not chunks:
+            return []
         head = b"%d:%d:" % (self.seed, variant)
-        return lambda chunk: self.segment(chunk, xxhash.xxh3_64_intdigest(head + chunk.encode()))
+        keys = np.array([xxhash.xxh3_64_intdigest(head + c.encode()) for c in chunks], dtype=np.uint64)
+        size = np.array([len(c) for c in chunks])
+        out: list = [None] * len(chunks)
+        flat = self.chars[np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), "<u4")]
+        start = np.cumsum(size) - size
+        for low, high in zip((0, 6, 9, 13, 20), (6, 9, 13, 20, LONG)):
+            rows = np.flatnonzero((size > low) & (size <= high))
+            if len(rows):
+                self._step(rows, flat, start[rows], size[rows], keys[rows], high, out)
+        for i in np.flatnonzero(size > LONG):
+            a = int(start[i])
+            out[i] = self._spelt(self._merged_heap(flat[a:a + int(size[i])].tolist(), int(keys[i])))
+        return out
+
+    def _step(self, rows, flat, start, size, keys, width, out):
+        """Merges in ``rows`` of up to ``width`` characters; neighbours are linked, so a merge moves nothing."""
+        n = len(rows)
+        column = np.arange(width, dtype=np.int32)
+        symbols = np.where(column < size[:, None], flat[np.minimum(start[:, None] + column, len(flat) - 1)], -1).astype(np.int32)
+        rank = np.full((n, width), NONE, dtype=np.int32)
+        made = np.empty((n, width), dtype=np.int32)
+        pairs = self._pairs(symbols[:, :-1].ravel(), symbols[:, 1:].ravel())
+        rank[:, :-1], made[:, :-1] = (x.reshape(n, width - 1) for x in pairs)
+        after = np.minimum(column + 1, size[:, None]).astype(np.int32)
+        before = np.tile(column - 1, (n, 1))
+        live = np.arange(n)
+        while len(live):
+            at = rank[live].argmin(axis=1)
+            open_ = rank[live, at] != NONE
+            live, at = live[open_], at[open_]
+            j = after[live, at]
+            end = np.where(j < size[live], after[live, np.minimum(j, width - 1)], j)
+            if self.skip:
+                borders = at.astype(np.uint64) << np.uint64(40) | j.astype(np.uint64) << np.uint64(20) | end.astype(np.uint64)
+                skip = (keys[live] ^ borders) * np.uint64(SCATTER) >> np.uint64(44) < np.uint64(self.skip)
+                rank[live[skip], at[skip]] = NONE
+                line, at, j, end = live[~skip], at[~skip], j[~skip], end[~skip]
+            else:
+                line = live
+            both = made[line, at]
+            symbols[line, at], symbols[line, j], rank[line, j], after[line, at] = both, -1, NONE, end
+            right = end < size[line]
+            before[line[right], end[right]] = at[right]
+            rank[line[~right], at[~right]] = NONE
+            back = before[line, at]
+            left = back >= 0
+            place = np.concatenate([at[right], back[left]])
+            own = np.concatenate([line[right], line[left]])
+            a = np.concatenate([both[right], symbols[line[left], back[left]]])
+            b = np.concatenate([symbols[line[right], end[right]], both[left]])
+            rank[own, place], made[own, place] = self._pairs(a, b)
+        for row, ids in zip(rows.tolist(), symbols.tolist()):
+            out[row] = self._spelt([i for i in ids if i >= 0])
+
+    def _spelt(self, symbols: list[int]) -> tuple[int, ...]:
+        """Ids with unknown characters in bytes."""
+        n = len(self.raw)
+        if max(symbols) < n:
+            return tuple(symbols)
+        out = []
+        for i in symbols:
+            out += [i] if i < n else [self.byte_ids[b] for b in chr(i - n).encode()]
+        return tuple(out)
 
-    def segment(self, chunk: str, key: int) -> tuple[int, ...]:
-        """Piece ids of a chunk. Candidates leave the agenda by score, then place; a hash of ``key`` and of the
-        candidate's three borders says whether one is skipped."""
-        symbols = [SPACE if c == " " else c if c != SPACE else "\n" + c for c in chunk]
-        n, ranks, skip = len(symbols), self.ranks, self.skip
+    def _merged_heap(self, symbols: list[int], key: int) -> list[int]:
+        """The same for one long chunk, with its agenda in a heap."""
+        n, skip = len(symbols), self.skip
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         agenda = []
-        for i in range(n - 1):
-            both = symbols[i] + symbols[i + 1]
-            if both in ranks:
-                agenda.append((ranks[both], i, i + 1, both))
-        heapq.heapify(agenda)
+
+        def offer(left, right):
+            for i, j, r, m in zip(left, right, *(x.tolist() for x in self._pairs(
+                    np.array([symbols[i] for i in left]), np.array([symbols[j] for j in right])))):
+                if r != NONE:
+                    heapq.heappush(agenda, (r, i, j, symbols[i], symbols[j], m))
+
+        if n > 1:
+            offer(list(range(n - 1)), list(range(1, n)))
         while agenda:
-            _, i, j, both = heapq.heappop(agenda)
-            if symbols[i] is None or symbols[j] is None or after[i] != j or symbols[i] + symbols[j] != both:
+            _, i, j, a, b, both = heapq.heappop(agenda)
+            if symbols[i] != a or symbols[j] != b or after[i] != j:
                 continue
             end = after[j]
-            if skip:
-                x = (key + i * 0x9E3779B97F4A7C15 + j * 0xC2B2AE3D27D4EB4F + end * 0x165667B19E3779F9) & MASK
-                x = ((x ^ (x >> 29)) * 0xBF58476D1CE4E5B9) & MASK
-                if x >> 44 < skip:
-                    continue
-            symbols[i], symbols[j], after[i] = both, None, end
+            if skip and ((key ^ (i << 40 | j << 20 | end)) * SCATTER & MASK) >> 44 < skip:
+                continue
+            symbols[i], symbols[j], after[i] = both, -1, end
+            near = []
             if end < n:
                 before[end] = i
-                more = both + symbols[end]
-                if more in ranks:
-                    heapq.heappush(agenda, (ranks[more], i, end, more))
-            back = before[i]
-            if back >= 0:
-                more = symbols[back] + both
-                if more in ranks:
-                    heapq.heappush(agenda, (ranks[more], back, i, more))
-        out, ids = [], self.ids
-        for s in symbols:
-            if s is not None:
-                if s in ids:
-                    out.append(ids[s])
-                else:
-                    out += [self.byte_ids[b] for b in s.removeprefix("\n" if len(s) > 1 else "").encode()]
-        return tuple(out)
-
-    def encode(self, text: str | None, doc_key: int = 0) -> list[int] | None:
-        """Piece ids; ``doc_key`` picks the variant at each place. Null gives null, an empty text no piece."""
-        if text is None:
-            return None
-        if not text:
-            return []
-        found = CHUNK.findall(" " + text)
-        start = (doc_key * 0x9E3779B97F4A7C15 + self.seed) & MASK
-        with np.errstate(over="ignore"):
-            draws = (mix(np.arange(len(found), dtype=np.uint64) + np.uint64(start)) % np.uint64(VARIANTS)).tolist()
-        memory = self.memory
-        return list(chain.from_iterable([memory[v][c] for v, c in zip(draws, found)]))
+                near.append((i, end))
+            if before[i] >= 0:
+                near.append((before[i], i))
+            if near:
+                offer(*zip(*near))
+        return [s for s in symbols if s >= 0]
+
+    def encode_many(self, texts: list[str | None], keys: list[int]) -> list[list[int] | None]:
+        """Piece ids of texts; a text's key draws the variant at each of its places.
+
+        Null gives null, an empty text no piece.
+        """
+        found = [CHUNK.findall(" " + t) if t else [] for t in texts]
+        size = [len(f) for f in found]
+        start = np.array([(k * 0x9E3779B97F4A7C15 + self.seed) & MASK for k in keys], dtype=np.uint64)
+        place = np.arange(sum(size)) - np.repeat(np.cumsum(size) - size, size)
+        draws = (mix(place.astype(np.uint64) + np.repeat(start, size)) % np.uint64(VARIANTS)).tolist()
+        flat = list(chain.from_iterable(found))
+        if sum(map(len, self.memory)) > REMEMBERED:
+            self.memory = [{} for _ in range(VARIANTS)]
+        memory = [m.get for m in self.memory]
+        ids = [memory[d](c) for d, c in zip(draws, flat)]
+        new: list[dict] = [{} for _ in range(VARIANTS)]
+        for i, known in enumerate(ids):
+            if known is None:
+                new[draws[i]].setdefault(flat[i], []).append(i)
+        for v, places in enumerate(new):
+            for (c, where), made in zip(places.items(), self.segment_many(list(places), v)):
+                self.memory[v][c] = made
+                for i in where:
+                    ids[i] = made
+        ends = [0, *accumulate(size)]
+        return [None if t is None else list(chain.from_iterable(ids[a:b])) for t, a, b in zip(texts, ends, ends[1:])]
+
+    def encode(self, text: str | None, key: int = 0) -> list[int] | None:
+        return self.encode_many([text], [key])[0]
 
     def decode(self, ids: list[int] | None) -> str | None:
         if ids is None:
@@ -138,7 +222,7 @@ def _encoded(model, rate, seed):
         for batch in batches:
             column, texts, keys = [], batch.column("text"), batch.column("key").to_pylist()
             for lo in range(0, len(keys), 256):
-                rows = [made.encode(t, k) for t, k in zip(texts.slice(lo, 256).to_pylist(), keys[lo:lo + 256])]
+                rows = made.encode_many(texts.slice(lo, 256).to_pylist(), keys[lo:lo + 256])
                 flat = np.fromiter(chain.from_iterable(r or () for r in rows), dtype=np.int32)
                 ends = [0, *accumulate(len(r or ()) for r in rows)]
                 ids = pa.ListArray.from_arrays(
@@ -183,23 +267,32 @@ ROWS = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("n_pieces",
                   ("decoded_sha256", pa.string()), ("lossless", pa.bool_())])
 
 
-def _tripped(model, rate, seed):
+def _tripped(model, rate, seed, with_ids):
+    schema = ROWS.append(pa.field("ids", pa.list_(pa.int32()))) if with_ids else ROWS
+
     def run(batches):
         made = Segmenter(model.value, rate, seed)
         for batch in batches:
             rows = []
-            for doc, text, key in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "key"))):
-                ids = made.encode(text, key)
-                back = made.decode(ids)
-                rows.append((doc, len(text or ""), len(ids or ()), hashlib.sha256(np.array(ids or (), "<i4").tobytes()).hexdigest(),
-                             hashlib.sha256((back or "").encode()).hexdigest(), back == text))
-            columns = zip(*rows) if rows else [[]] * len(ROWS)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, ROWS)], schema=ROWS)
+            for lo in range(0, len(batch), 256):
+                docs, texts, keys = (batch.column(c).slice(lo, 256).to_pylist() for c in ("doc_id", "text", "key"))
+                for doc, text, ids in zip(docs, texts, made.encode_many(texts, keys)):
+                    back = made.decode(ids)
+                    rows.append((doc, len(text or ""), len(ids or ()), hashlib.sha256(np.array(ids or (), "<i4").tobytes()).hexdigest(),
+                                 hashlib.sha256((back or "").encode()).hexdigest(), back == text, ids)[:len(schema)])
+                if with_ids and sum(r[2] for r in rows) > HELD_IDS:
+                    yield made_batch(rows)
+                    rows = []
+            yield made_batch(rows)
+
+    def made_batch(rows):
+        columns = zip(*rows) if rows else [[]] * len(schema)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
     return run
 
 
-def round_trips(docs: DataFrame, model: str = MODEL, rate: float = 0.1, seed: int = 0) -> DataFrame:
-    """Encodes and decodes every text: sizes, digests of ids and decoded text, and whether nothing was lost."""
+def round_trips(docs: DataFrame, model: str = MODEL, rate: float = 0.1, seed: int = 0, with_ids: bool = False) -> DataFrame:
+    """Encodes and decodes every text: sizes, digests of ids and decoded text, whether nothing was lost, and the ids if asked for."""
     shared = model_bytes(docs.sparkSession, model)
     ddl = "doc_id bigint, n_chars bigint, n_pieces bigint, ids_sha256 string, decoded_sha256 string, lossless boolean"
-    return _keyed(docs).mapInArrow(_tripped(shared, rate, seed), ddl)
+    return _keyed(docs).mapInArrow(_tripped(shared, rate, seed, with_ids), ddl + ", ids array<int>" * with_ids)
