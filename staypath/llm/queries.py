@@ -4,6 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from staypath.llm.decontaminate import contaminated
 from staypath.llm.frames import read
 from staypath.llm.imatch import fingerprints
 from staypath.llm.jaccard import near_copies
@@ -46,6 +47,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_latent_semantic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op9_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_scores(read(spark, sf_dir, "documents"))
 
@@ -98,6 +103,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_suffix_array": op5_suffix_array,
         "op6_imatch": op6_imatch,
         "op7_warc": op7_warc,
+        "op8_latent_semantic": op8_latent_semantic,
         "op9_suffix_tree": op9_suffix_tree,
         "op10_sentencepiece": op10_sentencepiece,
     }
