@@ -1,19 +1,24 @@
 """Exact n-gram Jaccard join with adaptive multi-match prefixes.
 
-Two sets of sizes n and m with Jaccard similarity s or more share at least t = ceil(s * n) tokens of either.
-Under any common order of tokens, the first n - t + l of one and m - t + l of the other then share at least l.
+Two sets of sizes n and m <= n with Jaccard similarity s or more share t = ceil(s / (1 + s) * (n + m)) tokens or more.
+Under any common order of tokens, of which the first p of one and q of the other are looked at, they share at least
+t - max(n - p, m - q) of those. With p = n - ceil(s * n) + l and q = m - ceil(2 * s / (1 + s) * m) + l that is l or more.
 A longer prefix (a larger l) costs more index entries but asks for more shared tokens, so each document
-takes the l with the least estimated cost; a pair has to share as many prefix tokens as the smaller l of the two.
+takes the l with the least estimated cost.
 
 1. Classes: documents with equal sets are one class, known by a 64-bit hash of the set.
 2. Filter: under a random order with l = n / 10, a class without enough prefix tokens that other classes'
    prefixes hold has no partner. Tokens travel as packed blocks, each at most once per task.
 3. Order: for the classes left, tokens go by document frequency, and each class picks its l.
-4. Stars: under each prefix token all classes are compared with one of them; pairs with enough hits are verified.
-5. Rest: pairs that meet under a prefix token and are not yet in one component are compared.
+4. Stars: under each of the first prefix tokens of step 2's order, all classes are compared with the most central
+   one there. In further rounds each class is compared with the one, central under a token of its prefix of step 3
+   and in another component, that it shares most prefix tokens with.
+5. Rest: pairs that meet under enough prefix tokens of step 3's order, and are not in one component yet, are compared.
 So copies are never expanded into all pairs, and every link between different components is found.
 """
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -26,7 +31,9 @@ from staypath.llm.words import Counts, chunks, mix, shingle_hashes, word_hashes,
 
 SIZE, PERCENT = 5, 80
 #: cost of verifying a pair, in index entries
-VERIFY_COST = 50
+VERIFY_COST = 8
+#: prefix tokens of step 4, and rounds of it over the prefixes of step 3
+STARS, ROUNDS = 4, 2
 #: a fixed second scatter of tokens, the random order of step 2
 ORDER = 0x5851F42D4C957F2D
 
@@ -36,6 +43,11 @@ def needed(n, percent):
     return -(-n * percent // 100)
 
 
+def needed_of_larger(n, percent):
+    """Least overlap of a set of ``n`` tokens with any partner that is not smaller."""
+    return -(-2 * percent * n // (100 + percent))
+
+
 def first_l(n):
     """How many shared prefix tokens step 2 asks for between sets of this size."""
     return np.maximum(1, n // 10)
@@ -203,26 +215,42 @@ def choose_l(n: int, df: np.ndarray, percent: int) -> int:
     return best
 
 
-INDEX = pa.schema([("token", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("l", pa.int32())])
+INDEX = pa.schema([("token", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("shared", pa.int64()), ("l", pa.int32()), ("inner", pa.bool_())])
+INDEX_DDL = "token bigint, cls bigint, n bigint, shared bigint, l int, inner boolean"
 
 
 def _index(percent):
+    """Prefix entries of each set, and with l = 0 its first shared tokens in the random order.
+
+    ``inner`` entries are those looked at when the partner is larger.
+    """
     def run(batches):
         for batch in batches:
-            out = [[], [], [], []]
+            out = [[], [], [], [], [], []]
             for cls, n, pairs in zip(batch.column("cls").to_pylist(), batch.column("n").to_pylist(), batch.column("pairs")):
                 df, token = (pairs.values.field(f).to_numpy() for f in ("df", "token"))
                 order = np.lexsort((token, df))
                 df, token = df[order], token[order]
+                heads = token[np.argsort(mix(token.view(np.uint64) ^ np.uint64(ORDER)))[:STARS]]
                 l = choose_l(n, df, percent)
                 keep = max(0, min(n, n - needed(n, percent) + l) - (n - len(df)))
-                for column, values in zip(out, (token[:keep], np.full(keep, cls), np.full(keep, n), np.full(keep, l, dtype=np.int32))):
+                each = np.r_[np.zeros(len(heads), dtype=np.int32), np.full(keep, l, dtype=np.int32)]
+                close = max(0, n - needed_of_larger(n, percent) + l - (n - len(df)))
+                inner = np.arange(len(each)) < len(heads) + close
+                for column, values in zip(out, (np.r_[heads, token[:keep]], np.full(len(each), cls), np.full(len(each), n), np.full(len(each), len(df)), each, inner)):
                     column.append(values)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(c) if c else [], f.type) for c, f in zip(out, INDEX)], schema=INDEX)
     return run
 
 
+def _possible(percent: int) -> F.Column:
+    """Whether sizes allow a link: at most the smaller number of tokens that others hold as well is common."""
+    common = F.least("shared_a", "shared_b")
+    return ((100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+            & (100 * common >= percent * (F.col("n_a") + F.col("n_b") - common)))
+
+
 def _verified(percent):
     def run(batches):
         for batch in batches:
@@ -243,20 +271,18 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _candidates(met: DataFrame, percent: int) -> DataFrame:
-    """From rows a, n_a, l_a, b, n_b, l_b per shared prefix token: pairs with enough of them, sizes apart no further than allowed."""
-    fits = met.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    return fits.groupBy("a", "b").agg(F.count("*").alias("hits"), F.min(F.least("l_a", "l_b")).alias("least")).where("hits >= least")
+    """From a row per shared prefix token of a and the smaller b: the pairs with enough of them."""
+    whole = 100 + percent
+    overlap = f"({percent} * (n_a + n_b) + {whole - 1}) div {whole}"
+    rest_a = f"(n_a * {percent} + 99) div 100 - l_a"
+    rest_b = f"(2 * {percent} * n_b + {whole - 1}) div {whole} - l_b"
+    least = F.expr(f"{overlap} - greatest({rest_a}, {rest_b})")
+    return met.groupBy("a", "b").agg(F.count("*").alias("hits"), F.max(least).alias("least")).where("hits >= least")
 
 
-def near_copies(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """Per row: ``doc_id, n_shingles, component_id``, the least doc_id that links lead to.
-
-    Words are lower-cased (A-Z) runs of bytes other than space and 0x09 to 0x0D; a set is the distinct
-    ``size``-word shingles of a text, or its whole word sequence if that is shorter. Texts without words (null,
-    empty) have no link and are their own component, as are rows without id that are alone.
-    """
+def grouped(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """``doc_id, text_hash, n_shingles, group`` of ``documents`` rows; rows without words have no group."""
     spark = docs.sparkSession
-    docs = documents(docs)
     ddl = "doc_id bigint, text_hash bigint, n_shingles bigint, cls bigint"
     classes = staged(docs.mapInArrow(_classes(size), ddl))
     left = staged(survivors(docs, classes, size, percent))
@@ -268,20 +294,62 @@ def near_copies(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> Da
     frequency = counted(sets, _frequencies(ranges), _frequent, "token bigint, df bigint")
     tokens = sets.mapInArrow(_exploded, "token bigint, cls bigint, n bigint").join(frequency, "token")
     ordered = tokens.groupBy("cls", "n").agg(F.collect_set(F.struct("df", "token")).alias("pairs"))
-    index = staged(ordered.mapInArrow(_index(percent), "token bigint, cls bigint, n bigint, l int"))
+    entries = staged(ordered.mapInArrow(_index(percent), INDEX_DDL))
     forget(spark)
-    a = index.select("token", F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("l").alias("l_a"))
-    hub = index.groupBy("token").agg(F.min(F.struct("cls", "n", "l")).alias("hub"), F.count("*").alias("n")).where("n > 1")
-    b = hub.select("token", F.col("hub.cls").alias("b"), F.col("hub.n").alias("n_b"), F.col("hub.l").alias("l_b"))
-    stars = _links(_candidates(a.join(b, "token").where("a <> b"), percent), sets, percent)
+    side = lambda rows, k: rows.withColumnsRenamed({"cls": k, **{c: f"{c}_{k}" for c in ("n", "shared", "l", "inner", "component")}})
+    heads, index = entries.where("l = 0").drop("l", "inner"), entries.where("l > 0")
+    # the centre of a group of copies has the fewest tokens of its own
+    own = (F.col("n") - F.col("shared")) / F.col("n")
+    hub = heads.groupBy("token").agg(F.min(F.struct(own.alias("own"), "cls", "n", "shared")).alias("hub"), F.count("*").alias("held"))
+    hubs = hub.where("held > 1").select("token", "hub.cls", "hub.n", "hub.shared")
+    met = side(heads, "a").join(side(hubs, "b"), "token").where((F.col("a") != F.col("b")) & _possible(percent))
+    stars = _links(met.select("a", "b").distinct(), sets, percent)
     group = components(stars)
+    links, tested = [stars], []
+    for _ in range(ROUNDS):
+        known = index.join(group.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+        hub = known.groupBy("token").agg(F.min(F.struct(own.alias("own"), "cls", "n", "shared", "component")).alias("hub"))
+        hubs = hub.select("token", "hub.cls", "hub.n", "hub.shared", "hub.component")
+        met = side(known, "a").join(side(hubs, "b"), "token").where((F.col("component_a") != F.col("component_b")) & _possible(percent))
+        hits = met.groupBy("a", "b").agg(F.count("*").alias("hits"))
+        if tested:
+            hits = hits.join(reduce(DataFrame.unionByName, tested), ["a", "b"], "left_anti")
+        tested.append(staged(hits.groupBy("a").agg(F.max_by("b", F.struct("hits", "b")).alias("b"))))
+        links.append(_links(tested[-1], sets, percent))
+        group = components(reduce(DataFrame.unionByName, links))
     known = staged(index.join(group.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls")))
     mixed = known.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
     open_rows = known.join(mixed, "token")
-    sides = [open_rows.select("token", F.col("cls").alias(k), F.col("n").alias(f"n_{k}"), F.col("l").alias(f"l_{k}"), F.col("component").alias(f"c_{k}")) for k in "ab"]
-    rest = _links(_candidates(sides[0].join(sides[1], "token").where("c_a < c_b"), percent), sets, percent)
-    final = components(stars.unionByName(rest)).withColumnRenamed("node", "cls")
-    labelled = classes.join(final, "cls", "left").withColumn("group", F.coalesce("component", "cls"))
-    least = labelled.where("group is not null").groupBy("group").agg(F.min("doc_id").alias("least"))
-    return labelled.join(least, "group", "left").select(
+    smaller = F.struct("n_b", "b") < F.struct("n_a", "a")
+    both = side(open_rows, "a").join(side(open_rows.where("inner"), "b"), "token").where(
+        (F.col("component_a") != F.col("component_b")) & smaller & _possible(percent))
+    links.append(_links(_candidates(both, percent), sets, percent))
+    final = components(reduce(DataFrame.unionByName, links)).withColumnRenamed("node", "cls")
+    return classes.join(final, "cls", "left").select("doc_id", "text_hash", "n_shingles", F.coalesce("component", "cls").alias("group"))
+
+
+def near_copies(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """Per row: ``doc_id, n_shingles, component_id``, the least doc_id that links lead to.
+
+    Words are lower-cased (A-Z) runs of bytes other than space and 0x09 to 0x0D; a set is the distinct
+    ``size``-word shingles of a text, or its whole word sequence if that is shorter. Texts without words (null,
+    empty) have no link and are their own component, as are rows without id that are alone.
+    """
+    rows = grouped(documents(docs), size, percent)
+    least = rows.where("group is not null").groupBy("group").agg(F.min("doc_id").alias("least"))
+    return rows.join(least, "group", "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def drop_near_copies(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """One row of each component, with all columns of ``docs``: the one with the least id, rows without id last.
+
+    Rows without words all stay; of repeated rows one stays.
+    """
+    last = F.coalesce(F.col("doc_id").cast("bigint"), F.lit((1 << 63) - 1))
+    rows = grouped(documents(docs), size, percent).withColumn("key", F.struct(last.alias("id"), "text_hash"))
+    kept = rows.where("group is not null").groupBy("group").agg(F.min("key").alias("key")).select("key.*").unionByName(
+        rows.where("group is null").select("key.*").distinct())
+    text = F.col("text").cast("string")
+    keyed = docs.select(F.struct("*").alias("row"), last.alias("id"), F.xxhash64(text).alias("text_hash"))
+    return keyed.join(kept.hint("shuffle_hash"), ["id", "text_hash"]).dropDuplicates(["id", "text_hash"]).select("row.*")
