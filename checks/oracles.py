@@ -4,10 +4,42 @@ Every statement starts from the same event log, which is derived from ``events``
 ``nation``; see ``FIXTURES.md``.
 """
 
-from staypath.model.prepare import SPLIT_SEED
-from staypath.model.sampling import poisson_steps
 from staypath.schema import HISTOGRAM_COLUMNS, LABEL_PROFILE_COLUMNS
 
+# The split seed, and the cumulative Poisson probabilities for a mean of 3.01.
+SPLIT_SEED = 100
+POISSON_3_01 = [
+    0.04929167876046217,
+    0.1976596318294533,
+    0.4209534011982849,
+    0.6449914831316792,
+    0.8135801397865584,
+    0.9150705110927957,
+    0.9659848473647581,
+    0.9878780119617019,
+    0.996115315141302,
+    0.9988702354269239,
+    0.9996994664328961,
+    0.9999263741899849,
+    0.9999832902190546,
+    0.9999964684688624,
+    0.999999301792571,
+    0.9999998703461952,
+    0.9999999773053457,
+    0.9999999962434071,
+    0.9999999994102717,
+    0.9999999999119698,
+    0.9999999999874754,
+    0.9999999999982978,
+    0.9999999999997785,
+    0.9999999999999722,
+    0.9999999999999966,
+    0.9999999999999994,
+    0.9999999999999998,
+    0.9999999999999998,
+    0.9999999999999998,
+]
+
 LOG = """
 with raw as (
   select event_id, user_id, event_type, value,
@@ -272,40 +304,40 @@ training as (
 
 
 CURVE = """,
-binned as (
-  select cast(least(floor(perc_thdn * 1000), 999) as integer) as bin,
+counted as (
+  select perc_thdn as threshold,
          count(*) filter (last_status_cancelled = 1) as pos, count(*) filter (last_status_cancelled = 0) as neg
   from training group by 1
 ),
 curve as (
-  select bin, pos, neg, sum(pos) over (order by bin desc) as tp, sum(neg) over (order by bin desc) as fp,
+  select threshold, pos, neg, sum(pos) over (order by threshold desc) as tp, sum(neg) over (order by threshold desc) as fp,
          sum(pos) over () as all_pos, sum(neg) over () as all_neg
-  from binned
+  from counted
 )"""
 
 
-def draw(seed):
-    return f"(cast(('0x' || substr(md5(userId || ':{seed}'), 1, 13)) as bigint) / 4503599627370496.0)"
+def draw(purpose, seed):
+    return f"(cast(('0x' || substr(md5(userId || ':{purpose}:{seed}'), 1, 13)) as bigint) / 4503599627370496.0)"
 
 
 def drawn(table, minority, majority, seed, jitter=0.01):
     """Body: rows of ``table`` with the number of times resampling takes them."""
-    steps = " + ".join(f"cast(u >= {step!r}::double as integer)" for step in poisson_steps(minority + jitter))
+    steps = " + ".join(f"cast(u >= {step!r}::double as integer)" for step in POISSON_3_01)
     return f"""
 select userId, label, copy from (
   select userId, label, unnest(range(1, 1 + case when label = 1 then {steps}
                                              else cast(u < {majority - jitter!r}::double as integer) end)) as copy
-  from (select userId, last_status_cancelled as label, {draw(seed)} as u from {table})
+  from (select userId, last_status_cancelled as label, {draw('sample', seed)} as u from {table})
 )"""
 
 
 def scaling(minority, majority, jitter=0.01):
     """Body: deviation of every feature over the resampled training part, to nine digits."""
-    steps = " + ".join(f"cast(u >= {step!r}::double as integer)" for step in poisson_steps(minority + jitter))
+    steps = " + ".join(f"cast(u >= {step!r}::double as integer)" for step in POISSON_3_01)
     columns = ", ".join(f"cast({c} as double) as {c}" for c in FEATURE_NUMBERS)
     return f""",
 train as (
-  select {columns}, last_status_cancelled as label, {draw(0)} as u from training where {draw(SPLIT_SEED)} < 0.7::double
+  select {columns}, last_status_cancelled as label, {draw('sample', 0)} as u from training where {draw('split', SPLIT_SEED)} < 0.7::double
 ),
 train_drawn as (
   select * exclude (label, u), unnest(range(case when label = 1 then {steps}
@@ -425,21 +457,36 @@ select last_status_cancelled as label, count(*) as n from training group by 1"""
         "label_profile": training() + f"""
 select last_status_cancelled as label, {label_means} from training group by 1""",
         "roc_curve": training() + CURVE + """
-select bin / 1000.0::double as threshold, cast(fp as double) / nullif(cast(all_neg as double), 0) as fpr,
+select threshold, cast(fp as double) / nullif(cast(all_neg as double), 0) as fpr,
        cast(tp as double) / nullif(cast(all_pos as double), 0) as tpr from curve""",
         "pr_curve": training() + CURVE + """
-select bin / 1000.0::double as threshold, cast(tp as double) / nullif(cast(all_pos as double), 0) as recall,
+select threshold, cast(tp as double) / nullif(cast(all_pos as double), 0) as recall,
        cast(tp as double) / nullif(cast(tp + fp as double), 0) as precision from curve""",
         "auc": training() + CURVE + """
 select cast(sum(neg * (2 * tp - pos)) as double)
        / nullif(cast(max(all_pos) as double) * cast(max(all_neg) as double) * 2, 0) as auc from curve""",
         "resample": training() + drawn("training", 3, 1, 0),
         "train_test": training() + f"""
-select userId, last_status_cancelled as label, case when {draw(SPLIT_SEED)} < 0.7::double then 'train' else 'test' end
+select userId, last_status_cancelled as label, case when {draw('split', SPLIT_SEED)} < 0.7::double then 'train' else 'test' end
        as part
 from training""",
     }
     sql["scaling"] = training() + scaling(3, 1)
+    steps = " + ".join(f"cast(u >= {step!r}::double as integer)" for step in POISSON_3_01)
+    sql["scaled_train_test"] = training() + f""",
+parted as (
+  select last_status_cancelled as label, {draw('sample', 0)} as u,
+         case when {draw('split', SPLIT_SEED)} < 0.7::double then 'train' else 'test' end as part
+  from training
+)
+select part, label, cast(sum(case when part = 'test' then 1 when label = 1 then {steps}
+                                  else cast(u < 0.99::double as integer) end) as bigint) as n
+from parted group by part, label"""
+    sql["agent_onehot_fitted"] = sql["agent_onehot"]
+    sql["agent_onehot_other"] = LOG + PARSED + """
+select userId, count(*) filter (agent = 'Chrome') as agent_Chrome, count(*) filter (agent <> 'Chrome') as agent_other
+from agent_tokens group by userId"""
+    sql["events_of_user"] = LOG + ACT + "\nselect userId, time, page, level from act where userId = '7'"
     sql["event_log_json"] = LOG + "\nselect * from log"
     sql["features_csv"] = sql["feature_table"]
     sql["training_parquet"] = sql["training_set"]

@@ -209,6 +209,9 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "post_cancel_events": _post_cancel,
         "agent_tokens": lambda s, d: listed_values(_full(s, d), "userAgent"),
         "agent_onehot": _agent_onehot,
+        "agent_onehot_fitted": lambda s, d: list_one_hot(_full(s, d), "userAgent"),
+        "agent_onehot_other": lambda s, d: list_one_hot(_full(s, d), "userAgent", ["Chrome"], other=True),
+        "events_of_user": lambda s, d: explore.events_of_user(activity(_log(s, d)), "7").select("userId", "time", "page", "level"),
         "agent_share": lambda s, d: explore.column_means(_agent_onehot(s, d)),
         "state_tokens": lambda s, d: listed_values(_full(s, d), "location"),
         "state_onehot": lambda s, d: list_one_hot(_full(s, d), "location", STATES),

@@ -19,8 +19,17 @@ def ratio(part: str, whole: str, name: str) -> Column:
     return F.expr(f"try_divide(double({part}), double({whole})) as {name}")
 
 
+# first and last millisecond of the years 1 to 9999; other epoch values are junk and count as missing
+FIRST_MILLIS, LAST_MILLIS = -62_135_596_800_000, 253_402_300_799_999
+
+
+def valid_sql(millis: str) -> str:
+    """An epoch-ms value, null outside the years 1 to 9999."""
+    return f"(case when {millis} between {FIRST_MILLIS} and {LAST_MILLIS} then {millis} end)"
+
+
 def day_sql(millis: str) -> str:
-    return f"to_date(timestamp_millis({millis}))"
+    return f"to_date(timestamp_millis({valid_sql(millis)}))"
 
 
 def event_day(millis: str) -> Column:
@@ -30,12 +39,12 @@ def event_day(millis: str) -> Column:
 
 def day_text(millis: str) -> Column:
     """The same day as ``yyyy-MM-dd`` text."""
-    return F.expr(f"date_format(timestamp_millis({millis}), 'yyyy-MM-dd')")
+    return F.expr(f"date_format(timestamp_millis({valid_sql(millis)}), 'yyyy-MM-dd')")
 
 
 def day_part(millis: str) -> Column:
     """One of four day parts; an hour belongs to the part it closes (6:59 is still ``1am ~ 6am``)."""
-    hour = f"hour(timestamp_millis({millis}))"
+    hour = f"hour(timestamp_millis({valid_sql(millis)}))"
     return F.expr(f"""
         case when {hour} is null then null
              when {hour} between 1 and 6 then '{DAY_PARTS[0]}'
@@ -84,11 +93,11 @@ LOW_BITS = ITEM_BITS + FLAG_BITS
 def recency_sql(time: str, item: str, flags: str) -> str:
     """Sort key of an event, newest largest, with a flag number 0..3 in its low end.
 
-    Covers every time and item number. Missing times sort below all others, missing item numbers
-    below item 0.
+    Covers every item number and the years 1 to 9999. Missing and junk times sort below all others,
+    missing item numbers below item 0.
     """
-    when = f"cast(coalesce({time}, {-10**17}) as decimal(18, 0))"
-    low = f"cast(coalesce({item} + 1, 0) as decimal(19, 0)) * 4 + cast({flags} as decimal(1, 0))"
+    when = f"cast(coalesce({valid_sql(time)}, {-10**17}) as decimal(18, 0))"
+    low = f"(coalesce(cast({item} as decimal(19, 0)) + 1, 0)) * 4 + cast({flags} as decimal(1, 0))"
     return f"{when} * {10**20} + {low}"
 
 
@@ -99,7 +108,7 @@ def latest_sql(time: str, item: str, flags: str) -> str:
     keys fit a bigint, which is several times cheaper per row than the decimal, so the decimal is
     computed per group, and per row only where the short key has no room.
     """
-    number = f"coalesce({item} + 1, 0)"
+    number = f"(least(coalesce({item}, -1), {2**ITEM_BITS}) + 1)"
     fits = f"coalesce({time} between 0 and {2**TIME_BITS - 1}, false) and {number} between 0 and {2**ITEM_BITS - 1}"
     short = f"max(case when {fits} then shiftleft({time}, {LOW_BITS}) + shiftleft({number}, {FLAG_BITS}) + {flags} end)"
     from_short = (

@@ -11,51 +11,50 @@ def churn_score(predictions: DataFrame) -> DataFrame:
     return predictions.withColumn("score", vector_to_array("probability")[1])
 
 
-def score_bins(scored: DataFrame, score: str = "score", label: str = "label", bins: int = 1000) -> DataFrame:
-    """Positives and negatives per equal-width bin of a score in [0, 1]; at most ``bins`` rows.
+def score_totals(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+    """Per distinct score, from the highest down: its positives and negatives, and those so far and in all.
 
-    All that follows works on this table, so the running totals never see single rows.
+    Exact for any scores. Rows are first counted per score, then the scores are cut into ranges at
+    approximate quantiles. Running totals inside a range start from the totals of the ranges above it,
+    so no task orders more than a range, wherever the cuts fall. Rows without score are left out.
     """
-    slot = F.expr(f"int(least(floor({score} * {bins}), {bins - 1})) as bin")
-    return scored.where(f"{score} is not null").groupBy(slot).agg(
-        F.expr(f"count_if({label} = 1) as pos"), F.expr(f"count_if({label} <> 1) as neg")
-    )
-
-
-def running_totals(binned: DataFrame) -> DataFrame:
-    """Per bin from the highest score down: true and false positives so far, and the class totals."""
-    down = Window.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    every = Window.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return binned.select(
-        "bin", "pos", "neg",
-        F.sum("pos").over(down).alias("tp"), F.sum("neg").over(down).alias("fp"),
-        F.sum("pos").over(every).alias("all_pos"), F.sum("neg").over(every).alias("all_neg"),
-    )
-
-
-def roc_curve(scored: DataFrame, score: str = "score", label: str = "label", bins: int = 1000) -> DataFrame:
-    """``threshold, fpr, tpr`` per occupied bin; the start (0, 0) is not listed."""
-    return running_totals(score_bins(scored, score, label, bins)).select(
-        F.expr(f"bin / double({bins}) as threshold"),
-        ratio("fp", "all_neg", "fpr"),
-        ratio("tp", "all_pos", "tpr"),
-    )
-
-
-def pr_curve(scored: DataFrame, score: str = "score", label: str = "label", bins: int = 1000) -> DataFrame:
-    """``threshold, recall, precision`` per occupied bin."""
-    return running_totals(score_bins(scored, score, label, bins)).select(
-        F.expr(f"bin / double({bins}) as threshold"),
-        ratio("tp", "all_pos", "recall"),
-        ratio("tp", "tp + fp", "precision"),
-    )
-
-
-def area_under_roc(scored: DataFrame, score: str = "score", label: str = "label", bins: int = 1000) -> DataFrame:
+    ranges = max(2, int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    counts = scored.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("threshold")).agg(
+        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
+    shares = [i / ranges for i in range(1, ranges)]
+    cuts = counts.agg(F.percentile_approx("threshold", shares, F.lit(10 * ranges))).scalar()
+    below = F.expr("size(filter(cuts, cut -> cut <= threshold))")
+    ranged = counts.withColumn("cuts", cuts).withColumn("part", below).drop("cuts")
+    down = Window.orderBy(F.desc("part"))
+    above, every = down.rowsBetween(Window.unboundedPreceding, -1), down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # one row per range, so ordering them and sending them everywhere is bounded by the number of ranges
+    offsets = ranged.groupBy("part").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).select(
+        "part",
+        F.coalesce(F.sum("pos").over(above), F.lit(0)).alias("pos_above"), F.coalesce(F.sum("neg").over(above), F.lit(0)).alias("neg_above"),
+        F.sum("pos").over(every).alias("all_pos"), F.sum("neg").over(every).alias("all_neg"))
+    inside = Window.partitionBy("part").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return ranged.join(F.broadcast(offsets), "part").select(
+        "threshold", "pos", "neg",
+        (F.col("pos_above") + F.sum("pos").over(inside)).alias("tp"), (F.col("neg_above") + F.sum("neg").over(inside)).alias("fp"),
+        "all_pos", "all_neg")
+
+
+def roc_curve(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+    """``threshold, fpr, tpr`` per distinct score; the start (0, 0) is not listed."""
+    return score_totals(scored, score, label).select(
+        "threshold", ratio("fp", "all_neg", "fpr"), ratio("tp", "all_pos", "tpr"))
+
+
+def pr_curve(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+    """``threshold, recall, precision`` per distinct score."""
+    return score_totals(scored, score, label).select(
+        "threshold", ratio("tp", "all_pos", "recall"), ratio("tp", "tp + fp", "precision"))
+
+
+def area_under_roc(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """One row ``auc``: trapezoids under :func:`roc_curve`, added up in whole numbers."""
     doubled = "sum(cast(neg as decimal(19, 0)) * (cast(tp as decimal(19, 0)) * 2 - pos))"
-    rows = running_totals(score_bins(scored, score, label, bins))
-    return rows.agg(ratio(doubled, "double(max(all_pos)) * double(max(all_neg)) * 2", "auc"))
+    return score_totals(scored, score, label).agg(ratio(doubled, "double(max(all_pos)) * double(max(all_neg)) * 2", "auc"))
 
 
 def importance_table(spark: SparkSession, model, names: list[str]) -> DataFrame:

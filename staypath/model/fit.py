@@ -59,7 +59,7 @@ def sampling_runs(
     """
     split_seeds = [SPLIT_SEED] * runs if split_seeds is None else split_seeds
     sample_seeds = list(range(runs)) if sample_seeds is None else sample_seeds
-    evaluator = BinaryClassificationEvaluator(labelCol=label_col, metricName="areaUnderROC")
+    evaluator = BinaryClassificationEvaluator(labelCol=label_col, metricName="areaUnderROC", numBins=0)
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rows = []
@@ -103,13 +103,13 @@ def tune(
     sample_seed: int = 0,
     fold_seed: int = 0,
     jitter: float = 0.01,
-    copies_apart: bool = True,
+    one_fold_per_key: bool = False,
     parallelism: int = 4,
 ) -> Search:
     """Cross-validate ``grid`` on the resampled training part, then score the test part.
 
     By default drawn copies of one user may land in several folds, as in plain cross-validation;
-    ``copies_apart=False`` keeps the copies of a user in one fold.
+    ``one_fold_per_key`` keeps the copies of a user in one fold.
     """
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -120,13 +120,13 @@ def tune(
         search = CrossValidator(
             estimator=estimator,
             estimatorParamMaps=grid,
-            evaluator=BinaryClassificationEvaluator(labelCol=label_col),
+            evaluator=BinaryClassificationEvaluator(labelCol=label_col, numBins=0),
             numFolds=folds,
             seed=fold_seed,
             parallelism=parallelism,
         )
-        if not copies_apart:
-            train = train.withColumn("fold", F.expr(f"int(floor({uniform_sql(key, fold_seed)} * {folds}))"))
+        if one_fold_per_key:
+            train = train.withColumn("fold", F.expr(f"int(floor({uniform_sql(key, 'fold', fold_seed)} * {folds}))"))
             search = search.setFoldCol("fold")
         train = train.persist(StorageLevel.MEMORY_AND_DISK)
         try:

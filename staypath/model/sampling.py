@@ -1,6 +1,6 @@
 """Resampling and splitting decided per row by a hash of its key.
 
-A draw depends on the key and a seed only: not on partitioning, row order or a recomputed task, so
+A draw depends on the key, a purpose and a seed only: not on partitioning, row order or a recomputed task, so
 a training set stays the same when an executor is lost or the cluster size changes.
 """
 
@@ -9,9 +9,14 @@ import math
 from pyspark.sql import DataFrame, functions as F
 
 
-def uniform_sql(key: str, seed: int) -> str:
-    """Draw in [0, 1) from 52 bits of a hash of ``key`` and ``seed``."""
-    return f"(double(conv(substring(md5(concat(string({key}), ':{seed}')), 1, 13), 16, 10)) / double({2**52}))"
+def uniform_sql(key: str, purpose: str, seed: int) -> str:
+    """Draw in [0, 1) from 52 bits of a hash of ``key``, ``purpose`` and ``seed``.
+
+    The purposes are ``split``, ``sample`` and ``fold``: equal seeds give them unrelated draws. A null key
+    draws like an empty text, so its rows stay together and none is lost.
+    """
+    text = f"concat(coalesce(string({key}), ''), ':{purpose}:{seed}')"
+    return f"(double(conv(substring(md5({text}), 1, 13), 16, 10)) / double({2**52}))"
 
 
 def poisson_steps(rate: float) -> list[float]:
@@ -61,11 +66,11 @@ def resample(
     copies = F.expr(
         f"case when {label_col} = {minority_tag} then {minority} when {label_col} <> {minority_tag} then {majority} end"
     )
-    drawn = df.withColumn("_draw", F.expr(uniform_sql(key, seed))).withColumn("_copies", copies).where("_copies > 0")
+    drawn = df.withColumn("_draw", F.expr(uniform_sql(key, "sample", seed))).withColumn("_copies", copies).where("_copies > 0")
     return drawn.withColumn("_copy", F.expr("explode(sequence(1, _copies))")).drop("_draw", "_copies", "_copy")
 
 
 def split(df: DataFrame, train_share: float = 0.7, *, key: str = "userId", seed: int = 100):
     """Train and test rows; the draw is the same rule in every class, so each is split alike."""
-    in_train = f"{uniform_sql(key, seed)} < double('{train_share!r}')"
+    in_train = f"{uniform_sql(key, 'split', seed)} < double('{train_share!r}')"
     return df.where(in_train), df.where(f"not ({in_train})")

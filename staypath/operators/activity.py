@@ -4,7 +4,7 @@ import datetime
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from staypath.functions.columns import day_part, day_sql, days_until, event_day, latest_sql, recency_sql, song_title
+from staypath.functions.columns import LAST_MILLIS, day_part, day_sql, days_until, event_day, latest_sql, recency_sql, song_title
 from staypath.schema import CANCEL_PAGE, CHURN_PAGES, LOGGED_IN, PAID, PLAY_PAGE
 
 # a played song with a known title; a paid event; an event that counts as churn if it is the last
@@ -29,7 +29,18 @@ def newest_day(log: DataFrame, as_of: datetime.date | str | None = None) -> Colu
     """
     if as_of is not None:
         return F.lit(as_of).cast("date")
-    return logged_in(log).agg(event_day("max(ts)")).scalar()
+    return logged_in(log).where(f"ts <= {LAST_MILLIS}").agg(event_day("max(ts)")).scalar()
+
+
+def windowed_as_of(log: DataFrame, max_days: int | None, min_days: int | None, as_of: datetime.date | str | None):
+    """``as_of``, or for a window without one the log's newest day, fetched by one small job.
+
+    With the day known, all bounds are constants that reach the scan; as nested subqueries each branch of
+    a plan would hold copies of the whole log plan.
+    """
+    if as_of is not None or (max_days is None and min_days is None):
+        return as_of
+    return logged_in(log).where(f"ts <= {LAST_MILLIS}").agg(event_day("max(ts)").alias("day")).first()["day"]
 
 
 def in_window(
@@ -38,23 +49,21 @@ def in_window(
     min_days: int | None = None,
     as_of: datetime.date | str | None = None,
 ) -> DataFrame:
-    """Rows at least ``min_days`` and at most ``max_days`` before the newest day, both inclusive.
+    """Rows at least ``min_days`` and at most ``max_days`` before the newest day or ``as_of``, both inclusive.
 
-    Compares the raw ``ts`` with the first moment of a day, so that the scan can skip row groups.
-    The filter on top of each bound keeps Catalyst from merging it with other subqueries on the
-    log: a merged bound is a struct field, and those are not pushed to the scan.
+    Rows after ``as_of`` are left out, so a past day does not see what came later. Compares the raw ``ts``
+    with the first moment of a day, so that the scan can skip row groups.
     """
-    def day_start(rows: DataFrame, days_back: int) -> Column:
-        newest = day_sql("max(ts)") if as_of is None else f"date'{as_of}'"
-        start = F.expr(f"unix_millis(timestamp(date_sub({newest}, {days_back}))) as start")
-        return start if as_of is not None else logged_in(rows).agg(start).where("start is not null").scalar()
+    as_of = windowed_as_of(log, max_days, min_days, as_of)
+    if as_of is None:
+        return log if max_days is None and min_days is None else log.limit(0)
+
+    def day_start(days_back: int) -> Column:
+        return F.expr(f"unix_millis(timestamp(date_sub(date'{as_of}', {days_back})))")
 
     if max_days is not None:
-        log = log.where(F.col("ts") >= day_start(log, max_days))
-    if min_days is not None:
-        # the newest day is among the rows kept so far, so this bound need not read the others
-        log = log.where(F.col("ts") < day_start(log, min_days - 1))
-    return log
+        log = log.where(F.col("ts") >= day_start(max_days))
+    return log.where(F.col("ts") < day_start(-1 if min_days is None else min_days - 1))
 
 
 def activity(
@@ -64,6 +73,7 @@ def activity(
     as_of: datetime.date | str | None = None,
 ) -> DataFrame:
     """Logged-in events of the window with their derived columns."""
+    as_of = windowed_as_of(log, max_days, min_days, as_of)
     rows = logged_in(in_window(log, max_days, min_days, as_of)).select(
         "userId",
         "registration",
@@ -81,7 +91,7 @@ def activity(
     )
     return rows.withColumns({
         "days_since_registration": days_until("event_date", "registration_date"),
-        "days_before_today": days_until(newest_day(in_window(log, max_days, as_of=as_of), as_of), "event_date"),
+        "days_before_today": days_until(newest_day(log, as_of), "event_date"),
     })
 
 

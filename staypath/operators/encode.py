@@ -5,15 +5,12 @@ import re
 from pyspark.sql import DataFrame, functions as F
 
 
-def vocabulary(df: DataFrame, column: str, max_values: int = 10_000) -> list[str]:
-    """Sorted distinct non-null values of ``column``.
+def vocabulary(df: DataFrame, column: str) -> list[str]:
+    """Sorted distinct non-null values of ``column``; they become column names, so they reach the driver.
 
-    The values become column names, so they have to reach the driver. More than ``max_values``
-    of them is an error rather than a silent cut.
+    For very many values keep the long form, or pass a list and count the others with ``other``.
     """
-    values = df.where(F.col(column).isNotNull()).select(column).distinct().limit(max_values + 1).collect()
-    if len(values) > max_values:
-        raise ValueError(f"{column} has more than {max_values} distinct values; pass a vocabulary")
+    values = df.where(F.col(column).isNotNull()).select(column).distinct().collect()
     return sorted(row[0] for row in values)
 
 
@@ -30,16 +27,24 @@ def encoded_names(column: str, values: list[str]) -> dict[str, str]:
     return names
 
 
-def one_hot(df: DataFrame, column: str, values: list[str] | None = None) -> DataFrame:
+def one_hot(df: DataFrame, column: str, values: list[str] | None = None, other: bool = False) -> DataFrame:
     """Group by every other column and count the rows of each value.
 
     Counts are 0/1 if ``df`` has no duplicate rows. ``values`` fixes the output schema; without it
-    the vocabulary is fitted by one extra job.
+    the vocabulary is fitted by one extra job. ``other`` adds ``<column>_other``, the rows whose value is
+    not among ``values``.
     """
     if values is None:
         values = vocabulary(df, column)
     names = encoded_names(column, values)
     keys = [c for c in df.columns if c != column]
+    if other:
+        fallback = "other"
+        while fallback in names:
+            fallback += "_"
+        df = df.withColumn(column, F.when(F.col(column).isin(list(values)) | F.col(column).isNull(), F.col(column)).otherwise(fallback))
+        values = [*values, fallback]
+        names = names | {fallback: f"{column}_other"}
     wide = df.groupBy(*keys).pivot(column, list(values)).agg(F.count(F.lit(1))) if values else df.select(*keys).distinct()
     counts = [F.coalesce(F.col(f"`{v}`"), F.lit(0).cast("bigint")).alias(names[v]) for v in values]
     return wide.select(*keys, *counts)

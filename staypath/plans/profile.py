@@ -5,7 +5,7 @@ import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from staypath.functions.columns import agent_tokens, days_until, event_day, state_codes
-from staypath.operators.activity import newest_day
+from staypath.operators.activity import in_window, newest_day
 from staypath.operators.encode import encoded_names, one_hot, vocabulary
 from staypath.schema import FEMALE
 
@@ -23,16 +23,16 @@ def listed_values(log: DataFrame, source: str) -> DataFrame:
     return texts.select("userId", F.explode(parse(source)).alias(name)).distinct()
 
 
-def list_vocabulary(log: DataFrame, source: str, max_values: int = 10_000) -> list[str]:
+def list_vocabulary(log: DataFrame, source: str) -> list[str]:
     """Values of ``source`` anywhere in the log; one job over its distinct texts."""
     name, parse = LISTS[source]
     texts = log.where("userId is not null").select(source).distinct()
-    return vocabulary(texts.select(F.explode(parse(source)).alias(name)), name, max_values)
+    return vocabulary(texts.select(F.explode(parse(source)).alias(name)), name)
 
 
-def list_one_hot(log: DataFrame, source: str, values: list[str] | None = None) -> DataFrame:
-    """0/1 column per value of ``source``; users without any value are absent."""
-    return one_hot(listed_values(log, source), LISTS[source][0], values)
+def list_one_hot(log: DataFrame, source: str, values: list[str] | None = None, other: bool = False) -> DataFrame:
+    """0/1 column per value of ``source``; users without any value are absent. ``other`` counts unlisted values."""
+    return one_hot(listed_values(log, source), LISTS[source][0], values, other)
 
 
 def static_features(
@@ -48,8 +48,10 @@ def static_features(
     once. Users with no agent at all keep nulls in ``agent_*``. A user with several registrations
     counts from the first; one who was ever logged as female is female. ``states`` adds ``state_*``
     columns (a list fixes them, ``True`` fits them).
-    ``activity_log`` gives the newest day if it should come from another table than ``log``.
+    ``activity_log`` gives the newest day if it should come from another table than ``log``. With ``as_of``
+    events after that day are left out, and so are users who have no others.
     """
+    log = in_window(log, as_of=as_of)
     wanted = {"userAgent": list_vocabulary(log, "userAgent") if agents is None else agents}
     if states is not False:
         wanted["location"] = list_vocabulary(log, "location") if states is True else states

@@ -29,7 +29,7 @@ def test_poisson_steps():
 
 def test_draws_are_even_and_seeded(spark):
     rows = spark.range(20_000).selectExpr(
-        "id", f"{sampling.uniform_sql('id', 1)} as u", f"{sampling.uniform_sql('id', 2)} as w"
+        "id", f"{sampling.uniform_sql('id', 'split', 1)} as u", f"{sampling.uniform_sql('id', 'split', 2)} as w"
     )
     mean, low, high, corr = rows.selectExpr("avg(u)", "min(u)", "max(u)", "corr(u, w)").first()
     assert abs(mean - 0.5) < 0.01 and low >= 0 and high < 1 and abs(corr) < 0.03
@@ -110,11 +110,11 @@ def test_grids():
     assert fit.logistic_regression("scaledFeatures").getFeaturesCol() == "scaledFeatures"
 
 
-@pytest.mark.parametrize("copies_apart", [True, False])
-def test_tune_and_report(spark, data, copies_apart):
+@pytest.mark.parametrize("one_fold_per_key", [True, False])
+def test_tune_and_report(spark, data, one_fold_per_key):
     forest = fit.random_forest(numTrees=3)
     grid = fit.param_grid(forest, {"maxDepth": [1, 4]})
-    search = fit.tune(data, forest, grid, 2, 1, folds=2, copies_apart=copies_apart)
+    search = fit.tune(data, forest, grid, 2, 1, folds=2, one_fold_per_key=one_fold_per_key)
     report = evaluate.grid_report(spark, search.model).collect()
     assert sorted(r["params"] for r in report) == ["maxDepth=1", "maxDepth=4"] and sum(r["best"] for r in report) == 1
     assert search.model.getNumFolds() == 2
@@ -130,3 +130,41 @@ def test_importances(spark, training, data):
     assert evaluate.top_features(tree, 1).first()["feature"] == "x"
     assert sum(r["score"] for r in tree.collect()) == pytest.approx(1)
     assert evaluate.importance_table(spark, fit.logistic_regression().fit(data), names).count() == 2
+
+
+@pytest.mark.parametrize("low,high", [(0.0, 0.0005), (0.0, 10_000.0), (-5.0, 5.0)])
+def test_curves_are_exact_for_scores_of_any_size(spark, low, high):
+    rows = spark.range(5000).selectExpr(f"{low} + rand(3) * {high - low} as score", "rand(4) as r").selectExpr(
+        "score", f"int(r < 0.2 + 0.6 * (score - {low}) / {high - low}) as label").cache()
+    scored = rows.toPandas()
+    order = scored.sort_values("score")
+    ranks = np.arange(1, len(order) + 1)
+    positive = order.label.to_numpy() == 1
+    n = positive.sum()
+    exact = (ranks[positive].sum() - n * (n + 1) / 2) / (n * (len(order) - n))
+    assert evaluate.area_under_roc(rows).first()["auc"] == pytest.approx(exact, abs=1e-12)
+    assert evaluate.roc_curve(rows).count() == scored.score.nunique() == evaluate.pr_curve(rows).count()
+
+
+def test_no_task_orders_all_scores(spark):
+    scored = spark.range(20_000).selectExpr("id / 20000 as score", "int(id % 3 = 0) as label")
+    sizes = evaluate.score_totals(scored)
+    plan = sizes._jdf.queryExecution().executedPlan().toString()
+    ordered = [line for line in plan.splitlines() if "Window" in line and "threshold" in line.split("windowspec")[1]]
+    assert ordered and all("[part" in line for line in ordered)
+
+
+def test_split_sample_and_fold_draw_apart(spark):
+    df = spark.range(20_000).selectExpr("string(id) as userId", "1 as label")
+    train, _ = sampling.split(df, seed=7)
+    drawn = sampling.resample(train, 3, 1, seed=7).count() / train.count()
+    assert drawn == pytest.approx(3.01, rel=0.03)
+    fold = f"int(floor({sampling.uniform_sql('userId', 'fold', 0)} * 2))"
+    sizes = [r["count"] for r in sampling.resample(df, 3, 1, seed=0).selectExpr(f"{fold} as fold").groupBy("fold").count().collect()]
+    assert len(sizes) == 2 and max(sizes) / min(sizes) < 1.1
+
+
+def test_rows_without_key_stay(spark):
+    df = spark.createDataFrame([(None, 1), (None, 1), ("a", 1)], "userId string, label int")
+    train, test = sampling.split(df)
+    assert train.count() + test.count() == 3
