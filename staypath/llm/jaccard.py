@@ -14,6 +14,8 @@ takes the l with the least estimated cost.
    one there. In further rounds each class is compared with the one, central under a token of its prefix of step 3
    and in another component, that it shares most prefix tokens with.
 5. Rest: pairs that meet under enough prefix tokens of step 3's order, and are not in one component yet, are compared.
+   A pair that meets under frequent tokens only shares no rare one, as those come first in both prefixes; so at most
+   the smaller number of frequent tokens is common, which rules out most pairs of a group with edits of their own.
 So copies are never expanded into all pairs, and every link between different components is found.
 """
 
@@ -34,6 +36,8 @@ SIZE, PERCENT = 5, 80
 VERIFY_COST = 8
 #: prefix tokens of step 4, and rounds of it over the prefixes of step 3
 STARS, ROUNDS = 4, 2
+#: tokens of at most so many classes are rare; the pairs under them grow with the number of entries
+RARE = 8
 #: a fixed second scatter of tokens, the random order of step 2
 ORDER = 0x5851F42D4C957F2D
 
@@ -215,8 +219,9 @@ def choose_l(n: int, df: np.ndarray, percent: int) -> int:
     return best
 
 
-INDEX = pa.schema([("token", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("shared", pa.int64()), ("l", pa.int32()), ("inner", pa.bool_())])
-INDEX_DDL = "token bigint, cls bigint, n bigint, shared bigint, l int, inner boolean"
+INDEX = pa.schema([("token", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("shared", pa.int64()), ("common", pa.int64()),
+                   ("l", pa.int32()), ("inner", pa.bool_()), ("rare", pa.bool_())])
+INDEX_DDL = "token bigint, cls bigint, n bigint, shared bigint, common bigint, l int, inner boolean, rare boolean"
 
 
 def _index(percent):
@@ -226,7 +231,7 @@ def _index(percent):
     """
     def run(batches):
         for batch in batches:
-            out = [[], [], [], [], [], []]
+            out = [[] for _ in INDEX]
             for cls, n, pairs in zip(batch.column("cls").to_pylist(), batch.column("n").to_pylist(), batch.column("pairs")):
                 df, token = (pairs.values.field(f).to_numpy() for f in ("df", "token"))
                 order = np.lexsort((token, df))
@@ -237,18 +242,21 @@ def _index(percent):
                 each = np.r_[np.zeros(len(heads), dtype=np.int32), np.full(keep, l, dtype=np.int32)]
                 close = max(0, n - needed_of_larger(n, percent) + l - (n - len(df)))
                 inner = np.arange(len(each)) < len(heads) + close
-                for column, values in zip(out, (np.r_[heads, token[:keep]], np.full(len(each), cls), np.full(len(each), n), np.full(len(each), len(df)), each, inner)):
+                same = lambda value: np.full(len(each), value)
+                rare = np.r_[np.zeros(len(heads), dtype=bool), df[:keep] <= RARE]
+                made = np.r_[heads, token[:keep]], same(cls), same(n), same(len(df)), same(int((df > RARE).sum())), each, inner, rare
+                for column, values in zip(out, made):
                     column.append(values)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(c) if c else [], f.type) for c, f in zip(out, INDEX)], schema=INDEX)
     return run
 
 
-def _possible(percent: int) -> F.Column:
-    """Whether sizes allow a link: at most the smaller number of tokens that others hold as well is common."""
-    common = F.least("shared_a", "shared_b")
+def _possible(percent: int, known: str = "shared") -> F.Column:
+    """Whether sizes allow a link if at most the smaller number of ``known`` tokens is common to a and b."""
+    both = F.least(f"{known}_a", f"{known}_b")
     return ((100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-            & (100 * common >= percent * (F.col("n_a") + F.col("n_b") - common)))
+            & (100 * both >= percent * (F.col("n_a") + F.col("n_b") - both)))
 
 
 def _verified(percent):
@@ -296,8 +304,8 @@ def grouped(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFr
     ordered = tokens.groupBy("cls", "n").agg(F.collect_set(F.struct("df", "token")).alias("pairs"))
     entries = staged(ordered.mapInArrow(_index(percent), INDEX_DDL))
     forget(spark)
-    side = lambda rows, k: rows.withColumnsRenamed({"cls": k, **{c: f"{c}_{k}" for c in ("n", "shared", "l", "inner", "component")}})
-    heads, index = entries.where("l = 0").drop("l", "inner"), entries.where("l > 0")
+    side = lambda rows, k: rows.withColumnsRenamed({"cls": k, **{c: f"{c}_{k}" for c in ("n", "shared", "common", "l", "inner", "rare", "component")}})
+    heads, index = entries.where("l = 0").drop("l", "inner", "rare"), entries.where("l > 0")
     # the centre of a group of copies has the fewest tokens of its own
     own = (F.col("n") - F.col("shared")) / F.col("n")
     hub = heads.groupBy("token").agg(F.min(F.struct(own.alias("own"), "cls", "n", "shared")).alias("hub"), F.count("*").alias("held"))
@@ -321,9 +329,11 @@ def grouped(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFr
     mixed = known.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
     open_rows = known.join(mixed, "token")
     smaller = F.struct("n_b", "b") < F.struct("n_a", "a")
-    both = side(open_rows, "a").join(side(open_rows.where("inner"), "b"), "token").where(
-        (F.col("component_a") != F.col("component_b")) & smaller & _possible(percent))
-    links.append(_links(_candidates(both, percent), sets, percent))
+    apart = (F.col("component_a") != F.col("component_b")) & smaller
+    meet = lambda rows: side(rows, "a").join(side(rows.where("inner"), "b"), "token").where(apart)
+    by_rare = meet(open_rows.where("rare")).where(_possible(percent)).select("a", "b")
+    by_frequent = _candidates(meet(open_rows.where("not rare")).where(_possible(percent, "common")), percent).select("a", "b")
+    links.append(_links(by_rare.unionByName(by_frequent).distinct(), sets, percent))
     final = components(reduce(DataFrame.unionByName, links)).withColumnRenamed("node", "cls")
     return classes.join(final, "cls", "left").select("doc_id", "text_hash", "n_shingles", F.coalesce("component", "cls").alias("group"))
 
