@@ -20,7 +20,9 @@ WINDOW, STEP = 64, 32
 #: dimensions of the latent space, and how many more the sketch has
 RANK, MORE = 128, 16
 #: terms in a larger share of documents say little; an item keeps its rarest terms in any case
-MOST, KEPT_TERMS = 0.1, 4
+MOST, KEPT_TERMS = 0.02, 8
+#: windows with fewer of the items' terms are no passages
+LEAST_TERMS = 3
 #: least cosine of a candidate
 COSINE = 0.4
 #: least share of an item in a common subsequence within so many times its length; from EXACT on no answer is asked for
@@ -70,6 +72,10 @@ class Items:
         order = np.argsort(key, kind="stable")
         key, term = key[order], term[inside][order]
         first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, dtype=np.int64)
+        size = np.diff(np.append(first, len(key)))
+        enough = np.repeat(size >= LEAST_TERMS, size)
+        key, term = key[enough], term[enough]
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, dtype=np.int64)
         return first, term, key[first] >> 40, (key[first] & ((1 << 40) - 1)) * STEP
 
     def embed(self, first, term) -> np.ndarray:
@@ -214,16 +220,20 @@ class Judge:
 
     def __init__(self, items: Items):
         self.items, self.bits, self.answer = items, [], []
+        self.plain = [own.tolist() for own in items.words]
         weight = dict(zip(items.terms.tolist(), items.idf.tolist()))
-        for own in items.words:
+        for own in self.plain:
             bits: dict[int, int] = {}
-            for place, w in enumerate(own.tolist()):
+            for place, w in enumerate(own):
                 bits[w] = bits.get(w, 0) | 1 << place
             self.bits.append(bits)
             self.answer.append(set(sorted(bits, key=lambda w: (-weight.get(w, 0.0), w))[:ANSWER]))
 
     def holds(self, item: int, words: list[int]) -> bool:
-        size = len(self.items.words[item])
+        size, near = len(self.items.words[item]), set(words)
+        # a common subsequence is no longer than the number of the item's words that are there at all
+        if sum(w in near for w in self.plain[item]) < COVERED * size:
+            return False
         bits, length, step = self.bits[item], int(np.ceil(SPREAD * size)), max(1, size // 4)
         for at in range(0, max(1, len(words) - length + step), step):
             part = words[at:at + length]
