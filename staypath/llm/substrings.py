@@ -114,7 +114,7 @@ def _anchor_keys(ranges):
         held, n = [], 0
         for batch in batches:
             own = np.array(batch.column("text_hash").to_pylist(), dtype=np.int64).view(np.uint64) | np.uint64(1)
-            for first, _, data, starts in pieces(chunks(batch.column("text"))):
+            for first, _, data, starts in pieces(chunks(batch.column("text"), TOGETHER)):
                 window, place, grams = anchors(data, starts)
                 spots = place[runs(window, place)[0]]
                 spots = np.unique(spots)
@@ -159,7 +159,9 @@ STRINGS = pa.schema([("part", pa.int32()), ("anchor", pa.int64()), ("bytes", pa.
                      ("text_hash", pa.int64()), ("start", pa.int64()), ("length", pa.int64())])
 STRINGS_DDL = "part int, anchor bigint, bytes binary, id bigint, text_hash bigint, start bigint, length bigint"
 #: strings that a task holds before it sends them
-HELD_STRINGS = 150_000
+HELD_STRINGS = 50_000
+#: neighbours in a suffix array that are compared at once, and bytes of texts looked at together
+COMPARED, TOGETHER = 4096, 1 << 19
 
 
 def _strings(ranges):
@@ -229,10 +231,13 @@ def suffix_array(strings: list[bytes]):
     views = np.lib.stride_tricks.sliding_window_view(flat, longest, axis=1)
     rows = np.ascontiguousarray(views[owner, place])
     order = np.argsort(rows.view(np.dtype((np.void, longest))).ravel(), kind="stable")
-    owner, place, rows = owner[order], place[order], rows[order]
+    common = np.empty(max(0, len(order) - 1), dtype=np.int64)
+    for at in range(0, len(common), COMPARED):
+        some = order[at:at + COMPARED + 1]
+        differ = rows[some[1:]] != rows[some[:-1]]
+        common[at:at + len(differ)] = np.where(differ.any(axis=1), differ.argmax(axis=1), longest)
+    owner, place = owner[order], place[order]
     left = size[owner] - place
-    differ = rows[1:] != rows[:-1]
-    common = np.where(differ.any(axis=1), differ.argmax(axis=1), longest)
     return owner, place, np.minimum(common, np.minimum(left[1:], left[:-1]))
 
 
