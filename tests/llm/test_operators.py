@@ -250,7 +250,7 @@ def toxic_rows():
         if toxic:
             text = [w if rng.random() > 0.1 else rng.choice(["vile", "nasty", "awful"]) + str(rng.randrange(4)) for w in text]
         rows.append((i, " ".join(text)))
-        if i % 16 < 9:
+        if rng.random() < 0.5:
             labels.append((i, 1, int(toxic)))
     return rows, labels
 
@@ -406,11 +406,12 @@ def test_next_word_distributions_sum_to_one(spark):
     assert any(s.any() for s in model.state)
     for context in (["w1", "w2"], ["w3"], ["w5", "w5"], []):
         own, _ = words.word_hashes(*words.joined([" ".join(context).encode()]))
-        total = 0.1 / model.tree.space
-        for word in [*every, suffix_tree.END]:
+        total = 0.0
+        for word in [*every, suffix_tree.END, np.uint64(12345)]:
             sequence = np.append(own, word).astype(np.uint64)
             known, _, score = suffix_tree.token_scores(model, sequence, np.array([0, len(sequence)]))
-            total += 10 ** score[-1] if known[-1] else 0.0
+            assert known[-1] == (word != 12345)
+            total += 10 ** score[-1] * (1 if known[-1] else 0.1 / model.tree.space)
         assert total == pytest.approx(1.0, abs=1e-6)
 
 
