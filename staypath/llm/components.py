@@ -5,6 +5,10 @@ from pyspark.sql import DataFrame, functions as F
 from staypath.llm.frames import staged
 
 
+#: edges of a file
+EDGES = 500_000
+
+
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Links each node's larger (``large``) or smaller neighbours, and in the latter case itself, to the least of all."""
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else (
@@ -25,9 +29,10 @@ def components(edges: DataFrame) -> DataFrame:
     A node with very many edges is summed up in map-side minima and joined as one skewed key, never collected.
     """
     edges = staged(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
-    known = None
+    known, files = None, 1 + edges.count() // EDGES
     while True:
-        edges = staged(_star(_star(edges, True), False))
+        # stars do not add edges beyond one a node; few of them need few files
+        edges = staged(_star(_star(edges, True), False).coalesce(files))
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == known:
             break

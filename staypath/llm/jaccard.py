@@ -35,7 +35,7 @@ SIZE, PERCENT = 5, 80
 #: cost of verifying a pair, in index entries
 VERIFY_COST = 8
 #: prefix tokens of step 4, and rounds of it over the prefixes of step 3
-STARS, ROUNDS = 4, 2
+STARS, ROUNDS = 4, 1
 #: tokens of at most so many classes are rare; the pairs under them grow with the number of entries
 RARE = 8
 #: a fixed second scatter of tokens, the random order of step 2
