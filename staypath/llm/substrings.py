@@ -30,14 +30,14 @@ PIECE = 1 << 23
 FIRST = -(1 << 63)
 
 
-def pieces(texts):
-    """(first text, offset in it, bytes, starts) of chunks; a text longer than ``PIECE`` comes in overlapping parts."""
+def pieces(texts, piece: int = PIECE):
+    """(first text, offset in it, bytes, starts) of chunks; a text longer than ``piece`` comes in overlapping parts."""
     for first, data, starts in texts:
-        if len(data) <= PIECE:
+        if len(data) <= piece:
             yield first, 0, data, starts
         else:
-            for at in range(0, len(data) - LENGTH + 1, PIECE):
-                part = data[at:at + PIECE + LENGTH - 1]
+            for at in range(0, len(data) - LENGTH + 1, piece):
+                part = data[at:at + piece + LENGTH - 1]
                 yield first, at, part, np.array([0, len(part)])
 
 
@@ -109,19 +109,31 @@ def _block(keys, owners, alone, ranges):
         pa.array([b""] * len(used) + [found.tobytes()], pa.binary())], schema=KEYS)
 
 
-def _anchor_keys(ranges):
+def chunk_keys(data: np.ndarray, starts: np.ndarray, piece: int = PIECE):
+    """Keys of a chunk's anchors and their texts, one for each place in a text, however many pieces it comes in."""
+    found = []
+    for _, offset, part, begins in pieces([(0, data, starts)], piece):
+        window, place, grams = anchors(part, begins)
+        spots = np.unique(place[runs(window, place)[0]])
+        found.append((offset + spots, grams[spots]))
+    spots, keys = map(np.concatenate, zip(*found)) if found else (np.empty(0, np.int64), np.empty(0, np.uint64))
+    if len(found) > 1:
+        # windows on both sides of a border can share an anchor
+        spots, one = np.unique(spots, return_index=True)
+        keys = keys[one]
+    return keys, np.searchsorted(starts, spots, side="right") - 1
+
+
+def _anchor_keys(ranges, piece):
     def run(batches):
         held, n = [], 0
         for batch in batches:
             own = np.array(batch.column("text_hash").to_pylist(), dtype=np.int64).view(np.uint64) | np.uint64(1)
-            for first, _, data, starts in pieces(chunks(batch.column("text"), TOGETHER)):
-                window, place, grams = anchors(data, starts)
-                spots = place[runs(window, place)[0]]
-                spots = np.unique(spots)
-                if not len(spots):
+            for first, data, starts in chunks(batch.column("text"), min(TOGETHER, piece)):
+                keys, text = chunk_keys(data, starts, piece)
+                if not len(keys):
                     continue
-                owners = own[first + np.searchsorted(starts, spots, side="right") - 1]
-                keys = grams[spots]
+                owners = own[first + text]
                 order = np.lexsort((owners, keys))
                 keys, owners = keys[order], owners[order]
                 fresh = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])])
@@ -164,7 +176,7 @@ HELD_STRINGS = 50_000
 COMPARED, TOGETHER = 4096, 1 << 19
 
 
-def _strings(ranges):
+def _strings(ranges, piece):
     def run(batches):
         kept: dict[bytes, tuple] = {}
         gone: list[tuple] = []
@@ -191,7 +203,7 @@ def _strings(ranges):
             blobs = batch.column("keys").to_pylist()
             for i, (text, blob) in enumerate(zip(unpacked(batch.column("text")), blobs)):
                 known = np.unique(np.frombuffer(b"".join(blob), np.int64).view(np.uint64))
-                for _, offset, data, starts in pieces([(0, *joined([text.as_py()]))]):
+                for _, offset, data, starts in pieces([(0, *joined([text.as_py()]))], piece):
                     window, place, grams = anchors(data, starts)
                     lo, hi = runs(window, place)
                     if not len(lo):
@@ -328,7 +340,7 @@ def _kept(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 5, ROWS)], schema=ROWS)
 
 
-def repeat_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def repeat_spans(docs: DataFrame, piece: int = PIECE) -> tuple[DataFrame, DataFrame]:
     """(firsts, spans) of ``documents`` rows.
 
     ``firsts`` has each distinct text's first row as ``text_hash, n_bytes, first``; ``spans`` the repeated strings
@@ -338,17 +350,17 @@ def repeat_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     ranges = parts(spark)
     keyed = docs.select(F.coalesce("doc_id", F.lit(FIRST)).alias("id"), "text", "text_hash", F.coalesce(F.octet_length("text"), F.lit(0)).alias("n_bytes"))
     firsts = staged(keyed.groupBy("text_hash", "n_bytes").agg(F.min("id").alias("first")))
-    met = docs.select("text", "text_hash").mapInArrow(_anchor_keys(ranges), KEYS_DDL)
+    met = docs.select("text", "text_hash").mapInArrow(_anchor_keys(ranges, piece), KEYS_DDL)
     known = met.groupBy("part").applyInArrow(_repeated, "owner bigint, keys binary").groupBy("owner").agg(F.collect_list("keys").alias("keys"))
     sought = staged(firsts.withColumn("owner", F.col("text_hash").bitwiseOR(F.lit(1))).join(known, "owner").select(
         F.col("first").alias("id"), "text_hash", "keys"))
     forget(spark)
     held = merged(packed(keyed.select("id", "text", "text_hash")), sought, ("id", "text_hash"), "inner")
-    strings = held.mapInArrow(_strings(ranges), STRINGS_DDL)
+    strings = held.mapInArrow(_strings(ranges, piece), STRINGS_DDL)
     return firsts, staged(strings.groupBy("part").applyInArrow(_spans, SPANS_DDL))
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, piece: int = PIECE) -> DataFrame:
     """Per row: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``.
 
     A byte is removed if a 100-byte string over it also starts earlier: in a row with a smaller doc_id, or
@@ -356,7 +368,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     docs = documents(docs)
-    firsts, spans = repeat_spans(docs)
+    firsts, spans = repeat_spans(docs, piece)
     forget(spark)
     per_text = spans.groupBy("id", "text_hash").agg(F.collect_list(F.struct("start", "length")).alias("spans"))
     ids = docs.select("doc_id", "text_hash", F.coalesce("doc_id", F.lit(FIRST)).alias("id"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("n_bytes"))

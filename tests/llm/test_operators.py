@@ -186,6 +186,20 @@ def test_repeats_across_pieces_of_a_long_text(spark, monkeypatch):
     assert by_row(substrings.remove_repeats(make(spark, rows)).collect()) == removed_by_hand(rows)
 
 
+def test_own_repeats_of_a_long_text_in_different_pieces(spark):
+    passage = prose(21, 60)
+    data = random.Random(22).randbytes(substrings.PIECE // 2 + 200_000).hex()
+    rows = [(1, passage + data + passage)]
+    assert [r.n_removed for r in substrings.remove_repeats(make(spark, rows)).collect()] == [len(passage)]
+
+
+def test_repeats_over_borders_of_small_pieces(spark):
+    long = prose(11, 400)
+    rows = [(1, long + prose(13, 200) + long[900:1400] + "z" * 700), (2, "x" + long[300:1500] + "y"), (3, prose(12, 100)), (4, prose(14, 20) + " " + prose(14, 20))]
+    for piece in (250, 500, 733):
+        assert by_row(substrings.remove_repeats(make(spark, rows), piece=piece).collect()) == removed_by_hand(rows)
+
+
 def test_maximal_repeat_groups():
     a, b = "".join(random.Random(1).choices("abcd", k=140)), "".join(random.Random(2).choices("abcd", k=20))
     strings = [(b + a[10:]).encode(), (a + "z").encode(), a[:130].encode()]
