@@ -5,9 +5,14 @@ less frequent terms, with document frequencies of the whole corpus. A randomised
 products are summed over the corpus, gives a latent space. Items near a window in it are candidates, and a
 candidate holds if the longest common subsequence with the words there covers enough of the item and the item's
 answer, its most telling terms, is found as well. Items come in blocks of bounded size, each sent to every task.
+
+Nearness in the latent space depends on the block's other items and on the window's length. So candidates are also
+all items of which a passage has as many of the rarest words as every passage that holds the item must have: this
+misses nothing, whatever the item's length or the block.
 """
 
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +34,8 @@ COSINE = 0.4
 COVERED, SPREAD, EXACT = 0.6, 1.5, 0.9
 #: an item's most telling terms, and the share of them to be found
 ANSWER, ANSWERED = 5, 0.6
+#: passages start at every word, or for items of more words so many times in their length
+FINE = 64
 #: items of a block
 ITEMS = 2000
 
@@ -216,7 +223,10 @@ def common_length(item: dict[int, int], size: int, words) -> int:
 
 
 class Judge:
-    """Decides on candidates: common subsequence first, then the answer."""
+    """Decides on candidates: common subsequence first, then the answer.
+
+    ``keys`` are the items' rarest words and ``least`` how many different ones of an item are in any passage that holds it.
+    """
 
     def __init__(self, items: Items):
         self.items, self.bits, self.answer = items, [], []
@@ -228,19 +238,78 @@ class Judge:
                 bits[w] = bits.get(w, 0) | 1 << place
             self.bits.append(bits)
             self.answer.append(set(sorted(bits, key=lambda w: (-weight.get(w, 0.0), w))[:ANSWER]))
-
-    def holds(self, item: int, words: list[int]) -> bool:
-        size, near = len(self.items.words[item]), set(words)
+        pairs, self.least = [], []
+        for item, (own, bits, answer) in enumerate(zip(self.plain, self.bits, self.answer)):
+            # an exact passage lacks at most so many words, any other one has its share of the answer
+            lacking = len(own) - int(np.ceil(EXACT * len(own)))
+            rarest = sorted(bits, key=lambda w: (-weight.get(w, 0.0), w))[:max(ANSWER, lacking + int(np.ceil(ANSWERED * ANSWER)))]
+            self.least.append(max(1, min(len(rarest) - lacking, int(np.ceil(ANSWERED * len(answer))))))
+            pairs += [(w, item) for w in rarest]
+        word, self.owner = (np.array(c, dtype=kind) for c, kind in zip(zip(*sorted(pairs)), (np.uint64, np.int64)))
+        keys, self.first = np.unique(word, return_index=True)
+        self.first = np.append(self.first, len(word))
+        self.keys = Table(keys)
+
+    def length(self, item: int) -> int:
+        """Words of a passage of the item."""
+        return int(np.ceil(SPREAD * len(self.plain[item])))
+
+    def step(self, item: int) -> int:
+        """Words from one passage to the next."""
+        return max(1, len(self.plain[item]) // FINE)
+
+    def regions(self, words: np.ndarray, at: np.ndarray):
+        """(text, item, first word, end) of all places where passages have enough of an item's rarest words."""
+        key = self.keys.find(words)
+        here = np.flatnonzero(key >= 0)
+        n = self.first[key[here] + 1] - self.first[key[here]]
+        item = self.owner[np.repeat(self.first[key[here]] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))]
+        here, key = np.repeat(here, n), np.repeat(key[here], n)
+        text = np.searchsorted(at, here, side="right") - 1
+        order = np.lexsort((here, item, text))
+        here, key, text, item = here[order], key[order], text[order], item[order]
+        cut = np.flatnonzero(np.r_[True, (text[1:] != text[:-1]) | (item[1:] != item[:-1]), True]) if len(here) else np.zeros(1, np.int64)
+        least = np.array(self.least)
+        for a, b in zip(cut[:-1], cut[1:]):
+            t, i = int(text[a]), int(item[a])
+            if b - a < least[i]:
+                continue
+            length, place, own = self.length(i), here[a:b].tolist(), key[a:b].tolist()
+            held: dict[int, int] = {}
+            low, begin, end = 0, -1, -1
+            for place_, own_ in zip(place, own):
+                held[own_] = held.get(own_, 0) + 1
+                while place[low] <= place_ - length:
+                    held[own[low]] -= 1
+                    if not held[own[low]]:
+                        del held[own[low]]
+                    low += 1
+                if len(held) >= least[i]:
+                    first = max(int(at[t]), place_ - length + 1)
+                    if begin >= 0 and first > end:
+                        yield t, i, begin, end
+                        begin = -1
+                    if begin < 0:
+                        begin = first
+                    end = min(int(at[t + 1]), place[low] + length)
+            if begin >= 0:
+                yield t, i, begin, end
+
+    def holds(self, item: int, words: list[int], begin: int = 0) -> bool:
+        """Whether passages of these words, the first one of which is word ``begin`` of its text, hold the item."""
+        size, bits, answer, near = len(self.plain[item]), self.bits[item], self.answer[item], set(words)
         # a common subsequence is no longer than the number of the item's words that are there at all
         if sum(w in near for w in self.plain[item]) < COVERED * size:
             return False
-        bits, length, step = self.bits[item], int(np.ceil(SPREAD * size)), max(1, size // 4)
-        for at in range(0, max(1, len(words) - length + step), step):
+        length, step = self.length(item), self.step(item)
+        count = [0, *accumulate(w in bits for w in words)]
+        for at in range(-begin % step, max(1, len(words) - length + step), step):
+            if count[min(at + length, len(words))] - count[min(at, len(words))] < COVERED * size:
+                continue
             part = words[at:at + length]
             share = common_length(bits, size, part) / size
             if share >= EXACT:
                 return True
-            answer = self.answer[item]
             if share >= COVERED and len(answer & set(part)) >= ANSWERED * len(answer):
                 return True
         return False
@@ -262,8 +331,11 @@ def found_items(items: Items, judge: Judge, data, starts) -> list[list[int]]:
             around = len(items.words[i])
             start = max(int(at[t]), int(at[t] + begin[lo + window]) - around)
             end = min(int(at[t + 1]), int(at[t] + begin[lo + window]) + WINDOW + around)
-            if judge.holds(i, words[start:end].tolist()):
+            if judge.holds(i, words[start:end].tolist(), start - int(at[t])):
                 out[t].append(items.ids[i])
+    for t, i, start, end in judge.regions(words, at):
+        if items.ids[i] not in out[t] and judge.holds(i, words[start:end].tolist(), start - int(at[t])):
+            out[t].append(items.ids[i])
     return out
 
 

@@ -378,6 +378,33 @@ def test_candidate_search_recalls_what_brute_force_finds(spark):
     assert hit >= 0.9 * sum(map(len, brute)) and sum(map(len, brute)) >= 120
 
 
+def found_and_brute(spark, items, rows):
+    ids, own = decontaminate.item_block([T.Row(item_id=i, text=t) for i, t in items])
+    space = decontaminate.latent_space(make(spark, rows).select("text"), ids, own)
+    judge = decontaminate.Judge(space)
+    data, starts = words.joined([t.encode() for _, t in rows])
+    found = decontaminate.found_items(space, judge, data, starts)
+    sequence, at = decontaminate.plain_words(data, starts)
+    brute = [sorted(ids[i] for i in range(len(ids)) if judge.holds(i, sequence[a:b].tolist())) for a, b in zip(at, at[1:])]
+    return [sorted(f) for f in found], brute
+
+
+def test_a_full_block_hides_no_item(spark):
+    rng = random.Random(6)
+    rows = [(n, prose(n, 150, 3000)) for n in range(100)]
+    items = [(i, prose(900 + i, 20, 5000)) for i in range(50)]
+    for n, (_, text) in enumerate(items):
+        passage = text.split()
+        for k in rng.sample(range(20), 6):
+            passage[k] = f"w{rng.randrange(3000)}"
+        cut = rows[n][1].split()
+        rows[n] = (n, " ".join(cut[:70] + passage + cut[70:]))
+    others = [t.split() for _, t in rows]
+    items += [(1000 + i, " ".join(others[i % 100][k:k + 30])) for i in range(1500) for k in [rng.randrange(100)]]
+    found, brute = found_and_brute(spark, items, rows)
+    assert found == brute and sum(map(len, brute)) >= 1500
+
+
 def test_common_length_is_the_longest_common_subsequence():
     rng = random.Random(1)
     for _ in range(50):
