@@ -405,6 +405,16 @@ def test_a_full_block_hides_no_item(spark):
     assert found == brute and sum(map(len, brute)) >= 1500
 
 
+def test_items_of_any_length_are_found(spark):
+    items = [(1, prose(1, 900, 5000)), (2, "single"), (3, "two words"), (4, prose(4, 64, 5000)), (5, "same same same same")]
+    rows = [(n, prose(50 + n, 300, 3000)) for n in range(20)]
+    for n, (_, text) in enumerate(items):
+        cut = rows[n][1].split()
+        rows[n] = (n, " ".join(cut[:130] + [text] + cut[130:]))
+    found, brute = found_and_brute(spark, items, rows)
+    assert found[:5] == brute[:5] == [[1], [2], [3], [4], [5]] and found == brute
+
+
 def test_common_length_is_the_longest_common_subsequence():
     rng = random.Random(1)
     for _ in range(50):
