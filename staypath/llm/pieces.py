@@ -17,17 +17,48 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: a chunk ends where no piece of the model can go on: before a space that follows something else, around \n and \t
 CHUNK = re.compile(r" *[^ \n\t]+|[\n\t]| +")
-#: how many segmentations a chunk can have; each place in a document draws one of them by keyed hash
-VARIANTS = 4
 #: ids that a task holds before it sends them
 HELD_IDS = 2_000_000
-#: chunk segmentations that a task remembers
+#: ways through chunks' agendas that a task remembers
 REMEMBERED = 800_000
 #: chunks of more characters keep their agenda in a heap
 LONG = 48
 MASK, SCATTER, NONE = (1 << 64) - 1, 0x9E3779B97F4A7C15, 1 << 30
 
 
+class Ways:
+    """Finished agendas of chunks: which turns of an agenda were skipped, the ids, and the borders of the turns after the last skip.
+
+    An occurrence of a chunk begins with the way that skips nothing; the first of its turns that the occurrence's own
+    draws skip leads to the next way. So ways are shared by all occurrences that skip the same turns, and none is left out.
+    """
+
+    def __init__(self):
+        self.roots: dict[str, int] = {}
+        self.next: dict[int, int] = {}
+        self.chunk: list[str] = []
+        self.skipped: list[tuple[int, ...]] = []
+        self.ids: list[tuple[int, ...]] = []
+        self.start = np.zeros(1024, dtype=np.int64)
+        self.borders = np.empty(8192, dtype=np.uint64)
+
+    def add(self, chunks, skipped, ids, turns):
+        """``turns`` are borders from each agenda's first turn after its last skip on."""
+        n, size = len(self.chunk), np.array([len(t) for t in turns])
+        low = int(self.start[n])
+        if n + len(chunks) + 1 > len(self.start):
+            self.start = np.concatenate([self.start[:n + 1], np.zeros(n + 2 * len(chunks) + 1, dtype=np.int64)])
+        self.start[n + 1:n + len(chunks) + 1] = low + np.cumsum(size)
+        high = int(self.start[n + len(chunks)])
+        if high > len(self.borders):
+            self.borders = np.concatenate([self.borders[:low], np.empty(2 * high - low, dtype=np.uint64)])
+        self.borders[low:high] = np.concatenate(turns)
+        self.chunk += chunks
+        self.skipped += skipped
+        self.ids += ids
+        return range(n, n + len(chunks))
+
+
 class Segmenter:
     """A BPE model with byte fallback. ``rate`` is the chance that a candidate merge is skipped."""
 
@@ -49,7 +80,7 @@ class Segmenter:
         if len(self.byte_ids) < 256:
             raise ValueError("the model lacks byte pieces, so decoding could lose text")
         self.skip, self.seed = int(rate * (1 << 20)), seed
-        self.memory: list[dict] = [{} for _ in range(VARIANTS)]
+        self.ways = Ways()
         # char ids by code point; unknown ones lie beyond the pieces and are in no pair
         self.chars = np.arange(0x110000, dtype=np.int64) + len(self.raw)
         for piece, i in self.ids.items():
@@ -70,29 +101,64 @@ class Segmenter:
         return self.rank[at], self.made[at]
 
     def segment_many(self, chunks: list[str], variant: int) -> list[tuple[int, ...]]:
-        """Piece ids of chunks, all agendas in step.
+        """Piece ids of chunks, keyed by seed, variant and chunk."""
+        head = b"%d:%d:" % (self.seed, variant)
+        return self.segment_keyed(chunks, np.array([xxhash.xxh3_64_intdigest(head + c.encode()) for c in chunks], dtype=np.uint64))
 
-        Candidates leave a chunk's agenda by score, then place. A hash of seed, variant, chunk and the candidate's
-        three borders says whether one is skipped; a skipped one comes back only as part of another candidate.
+    def segment_keyed(self, chunks: list[str], keys: np.ndarray) -> list[tuple[int, ...]]:
+        """Piece ids of occurrences of chunks, each with its own key.
+
+        Candidates leave a chunk's agenda by score, then place. A hash of the key and the candidate's three borders
+        says whether one is skipped; a skipped one comes back only as part of another candidate.
         """
+        ways, out = self.ways, [None] * len(chunks)
+        for i in [i for i, c in enumerate(chunks) if len(c) > LONG]:
+            symbols = self.chars[np.frombuffer(chunks[i].encode("utf-32-le", "surrogatepass"), "<u4")].tolist()
+            out[i] = self._spelt(self._merged_heap(symbols, int(keys[i])))
+        left = np.array([i for i, c in enumerate(chunks) if len(c) <= LONG], dtype=np.int64)
+        new = list(dict.fromkeys(c for c in chunks if len(c) <= LONG and c not in ways.roots))
+        ways.roots.update(zip(new, self._walk(new, [()] * len(new))))
+        way = np.array([ways.roots[chunks[i]] for i in left.tolist()], dtype=np.int64)
+        found = [left[:0]], [way[:0]]
+        while len(left):
+            begin, n = ways.start[way], ways.start[way + 1] - ways.start[way]
+            row = np.repeat(np.arange(len(left)), n)
+            turn = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            hits = np.flatnonzero(mix(keys[left[row]] ^ ways.borders[begin[row] + turn]) >> np.uint64(44) < np.uint64(self.skip))
+            hits = hits[np.r_[True, row[hits][1:] != row[hits][:-1]]] if len(hits) else hits
+            on = row[hits]
+            done = np.ones(len(left), dtype=bool)
+            done[on] = False
+            found[0].append(left[done])
+            found[1].append(way[done])
+            step, back = np.unique(way[on] << 10 | turn[hits], return_inverse=True)
+            step = step.tolist()
+            new = [s for s in step if s not in ways.next]
+            skipped = []
+            for s in new:
+                before = ways.skipped[s >> 10]
+                skipped.append((*before, (before[-1] + 1 if before else 0) + (s & 1023)))
+            ways.next.update(zip(new, self._walk([ways.chunk[s >> 10] for s in new], skipped)))
+            left, way = left[on], np.array([ways.next[s] for s in step], dtype=np.int64)[back]
+        for i, w in zip(np.concatenate(found[0]).tolist(), np.concatenate(found[1]).tolist()):
+            out[i] = ways.ids[w]
+        return out
+
+    def _walk(self, chunks: list[str], skipped: list[tuple[int, ...]]):
+        """New ways through chunks of up to ``LONG`` characters that skip just these turns; all agendas in step."""
         if not chunks:
-            return []
-        head = b"%d:%d:" % (self.seed, variant)
-        keys = np.array([xxhash.xxh3_64_intdigest(head + c.encode()) for c in chunks], dtype=np.uint64)
+            return range(0)
         size = np.array([len(c) for c in chunks])
-        out: list = [None] * len(chunks)
+        out, turns = [None] * len(chunks), [None] * len(chunks)
         flat = self.chars[np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), "<u4")]
         start = np.cumsum(size) - size
         for low, high in zip((0, 6, 9, 13, 20), (6, 9, 13, 20, LONG)):
             rows = np.flatnonzero((size > low) & (size <= high))
             if len(rows):
-                self._step(rows, flat, start[rows], size[rows], keys[rows], high, out)
-        for i in np.flatnonzero(size > LONG):
-            a = int(start[i])
-            out[i] = self._spelt(self._merged_heap(flat[a:a + int(size[i])].tolist(), int(keys[i])))
-        return out
+                self._step(rows, flat, start[rows], size[rows], [skipped[i] for i in rows.tolist()], high, out, turns)
+        return self.ways.add(chunks, skipped, out, turns)
 
-    def _step(self, rows, flat, start, size, keys, width, out):
+    def _step(self, rows, flat, start, size, skipped, width, out, turns):
         """Merges in ``rows`` of up to ``width`` characters; neighbours are linked, so a merge moves nothing."""
         n = len(rows)
         column = np.arange(width, dtype=np.int32)
@@ -104,19 +170,29 @@ class Segmenter:
         after = np.minimum(column + 1, size[:, None]).astype(np.int32)
         before = np.tile(column - 1, (n, 1))
         live = np.arange(n)
+        # which rows skip at a turn, and the rows and borders of turns after their last skips
+        at_turn: dict[int, list[int]] = {}
+        for row, own in enumerate(skipped):
+            for t in own:
+                at_turn.setdefault(t, []).append(row)
+        since = np.array([own[-1] if own else -1 for own in skipped])
+        seen, turn = [], 0
         while len(live):
             at = rank[live].argmin(axis=1)
             open_ = rank[live, at] != NONE
             live, at = live[open_], at[open_]
             j = after[live, at]
             end = np.where(j < size[live], after[live, np.minimum(j, width - 1)], j)
-            if self.skip:
-                borders = at.astype(np.uint64) << np.uint64(40) | j.astype(np.uint64) << np.uint64(20) | end.astype(np.uint64)
-                skip = (keys[live] ^ borders) * np.uint64(SCATTER) >> np.uint64(44) < np.uint64(self.skip)
+            later = since[live] < turn
+            borders = at.astype(np.uint64) << np.uint64(40) | j.astype(np.uint64) << np.uint64(20) | end.astype(np.uint64)
+            seen.append((live[later], borders[later]))
+            if turn in at_turn:
+                skip = np.isin(live, at_turn[turn])
                 rank[live[skip], at[skip]] = NONE
                 line, at, j, end = live[~skip], at[~skip], j[~skip], end[~skip]
             else:
                 line = live
+            turn += 1
             both = made[line, at]
             symbols[line, at], symbols[line, j], rank[line, j], after[line, at] = both, -1, NONE, end
             right = end < size[line]
@@ -131,6 +207,10 @@ class Segmenter:
             rank[own, place], made[own, place] = self._pairs(a, b)
         for row, ids in zip(rows.tolist(), symbols.tolist()):
             out[row] = self._spelt([i for i in ids if i >= 0])
+        row, borders = (np.concatenate(c) for c in zip(*seen))
+        order = np.argsort(row, kind="stable")
+        for i, own in zip(rows.tolist(), np.split(borders[order], np.cumsum(np.bincount(row, minlength=n))[:-1])):
+            turns[i] = own
 
     def _spelt(self, symbols: list[int]) -> tuple[int, ...]:
         """Ids with unknown characters in bytes."""
@@ -161,7 +241,7 @@ class Segmenter:
             if symbols[i] != a or symbols[j] != b or after[i] != j:
                 continue
             end = after[j]
-            if skip and ((key ^ (i << 40 | j << 20 | end)) * SCATTER & MASK) >> 44 < skip:
+            if skip and int(mix(np.array([key ^ (i << 40 | j << 20 | end)], dtype=np.uint64))[0]) >> 44 < skip:
                 continue
             symbols[i], symbols[j], after[i] = both, -1, end
             near = []
@@ -175,29 +255,17 @@ class Segmenter:
         return [s for s in symbols if s >= 0]
 
     def encode_many(self, texts: list[str | None], keys: list[int]) -> list[list[int] | None]:
-        """Piece ids of texts; a text's key draws the variant at each of its places.
+        """Piece ids of texts; seed, a text's key and the place in it draw which candidates are skipped there.
 
         Null gives null, an empty text no piece.
         """
         found = [CHUNK.findall(" " + t) if t else [] for t in texts]
         size = [len(f) for f in found]
-        start = np.array([(k * 0x9E3779B97F4A7C15 + self.seed) & MASK for k in keys], dtype=np.uint64)
-        place = np.arange(sum(size)) - np.repeat(np.cumsum(size) - size, size)
-        draws = (mix(place.astype(np.uint64) + np.repeat(start, size)) % np.uint64(VARIANTS)).tolist()
-        flat = list(chain.from_iterable(found))
-        if sum(map(len, self.memory)) > REMEMBERED:
-            self.memory = [{} for _ in range(VARIANTS)]
-        memory = [m.get for m in self.memory]
-        ids = [memory[d](c) for d, c in zip(draws, flat)]
-        new: list[dict] = [{} for _ in range(VARIANTS)]
-        for i, known in enumerate(ids):
-            if known is None:
-                new[draws[i]].setdefault(flat[i], []).append(i)
-        for v, places in enumerate(new):
-            for (c, where), made in zip(places.items(), self.segment_many(list(places), v)):
-                self.memory[v][c] = made
-                for i in where:
-                    ids[i] = made
+        start = mix(np.array([k & MASK for k in keys], dtype=np.uint64) ^ mix(np.array([self.seed * SCATTER & MASK], dtype=np.uint64)))
+        place = np.arange(sum(size)) - np.repeat(np.cumsum(size) - size, size).astype(np.int64)
+        if len(self.ways.chunk) > REMEMBERED:
+            self.ways = Ways()
+        ids = self.segment_keyed(list(chain.from_iterable(found)), mix(place.astype(np.uint64) + np.repeat(start, size)))
         ends = [0, *accumulate(size)]
         return [None if t is None else list(chain.from_iterable(ids[a:b])) for t, a, b in zip(texts, ends, ends[1:])]
 

@@ -255,6 +255,24 @@ def test_segmentation_is_lossless_and_the_same_with_a_heap(text):
         assert made._spelt(made._merged_heap(symbols, key)) == made.segment_many([chunk], 1)[0]
 
 
+def test_each_occurrence_of_a_word_draws_its_own_skips():
+    with open(pieces.MODEL, "rb") as file:
+        made = pieces.Segmenter(file.read(), 0.1, 3)
+    word = " international"
+    keys = pieces.mix(np.arange(20_000, dtype=np.uint64))
+    ids = made.segment_keyed([word] * len(keys), keys)
+    symbols = made.chars[np.frombuffer(word.encode("utf-32-le"), "<u4")].tolist()
+    for i in range(500):
+        assert ids[i] == made._spelt(made._merged_heap(list(symbols), int(keys[i])))
+    assert len(set(ids)) > 20
+    whole = made.segment_keyed([" i"] * len(keys), keys)
+    assert Counter(map(len, whole))[2] == pytest.approx(2000, abs=200)
+    text = "international " * 3000
+    rows = made.encode_many([text, text], [1, 2])
+    assert rows[0] != rows[1] and made.decode(rows[0]) == text
+    assert len(set(made.segment_keyed(["international"] * 3000, keys[:3000]))) > 4
+
+
 def toxic_rows():
     rng = random.Random(4)
     rows, labels = [], []
