@@ -1,6 +1,10 @@
 """Every registered query against its SQL, and the plans that matter at scale."""
 
 import re
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
@@ -59,3 +63,17 @@ def test_plays_are_shuffled_once(spark):
 def test_narrow_query_reads_narrow_columns(spark):
     plan = QUERIES["auth_counts"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert re.findall(r"ReadSchema: struct<([^>]*)>", plan) == ["props:string"]
+
+
+def test_registry_without_the_corpus_operators(tmp_path):
+    root = Path(registry.__file__).parent
+    copy = tmp_path / "copy"
+    shutil.copytree(root, copy, ignore=lambda folder, names: {n for n in names if n in (".git", "llm", "corpus_pipeline.py")})
+    code = "import __spark_entry__ as r; print(len(r.queries()), 'feature_table' in r.queries(), [n for n in r.queries() if n.startswith('op') or n == 'pipeline'])"
+    done = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, env={"PATH": "/usr/bin:/bin"})
+    assert done.returncode == 0, done.stderr
+    assert done.stdout.split(maxsplit=1)[1].strip() == "True []"
+    # a pipeline without its operators is left out as well
+    if (root / "corpus_pipeline.py").exists():
+        shutil.copy(root / "corpus_pipeline.py", copy)
+        assert subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True).stdout == done.stdout
