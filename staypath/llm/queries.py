@@ -10,6 +10,7 @@ from staypath.llm.imatch import fingerprints
 from staypath.llm.jaccard import near_copies
 from staypath.llm.lines import line_digests
 from staypath.llm.pieces import round_trips
+from staypath.llm.runs import run_digests
 from staypath.llm.substrings import remove_repeats
 from staypath.llm.suffix_tree import text_scores
 from staypath.llm.toxicity import toxicity
@@ -59,6 +60,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trips(read(spark, sf_dir, "documents"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(read(spark, sf_dir, "documents"))
+
+
 OP3_SQL = r"""
 with lines as (
   select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
@@ -106,6 +111,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_latent_semantic": op8_latent_semantic,
         "op9_suffix_tree": op9_suffix_tree,
         "op10_sentencepiece": op10_sentencepiece,
+        "op12_periodic_runs": op12_periodic_runs,
     }
 
 
