@@ -9,6 +9,7 @@ from staypath.llm.frames import read
 from staypath.llm.imatch import fingerprints
 from staypath.llm.jaccard import near_copies
 from staypath.llm.lines import line_digests
+from staypath.llm.phrases import collocations
 from staypath.llm.pieces import round_trips
 from staypath.llm.runs import run_digests
 from staypath.llm.substrings import remove_repeats
@@ -64,6 +65,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digests(read(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read(spark, sf_dir, "documents"))
+
+
 OP3_SQL = r"""
 with lines as (
   select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
@@ -99,6 +104,44 @@ from d left join lead on d.digest = lead.digest
 """
 
 
+OP13_SQL = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents
+), lists as (
+  select lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda w: w <> '') as ws from pieces
+), totals as (
+  select lang, sum(len(ws))::bigint as n from lists group by lang
+), grams as (
+  select lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(list_slice(ws, i, i + k - 1), ' '))) as phrase
+  from lists, range(1, 5) as sizes(k) where len(ws) >= k
+), counted as (
+  select lang, k, phrase, count(*) as f from grams group by lang, k, phrase
+), candidates as (
+  select lang, k as size, phrase, string_split(phrase, ' ') as ws, f as a from counted where k >= 2 and f >= 30
+), cuts as (
+  select c.lang, c.phrase, c.size, c.a, k, array_to_string(list_slice(ws, 1, k), ' ') as head, array_to_string(list_slice(ws, k + 1, c.size), ' ') as tail
+  from candidates c, range(1, 4) as cut(k) where k < c.size
+), scored as (
+  select c.lang, c.phrase, c.size, c.a, c.k, l.f as l, r.f as r, ((2000000::hugeint * c.a) // (l.f + r.f))::bigint as score
+  from cuts c join counted l on l.lang = c.lang and l.phrase = c.head join counted r on r.lang = c.lang and r.phrase = c.tail
+), least as (
+  select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), covers as (
+  select lang, inner_phrase, max(a) as longer from (
+    select lang, a, unnest(list_transform(range(1, size - m + 2), lambda i: array_to_string(list_slice(ws, i, i + m - 1), ' '))) as inner_phrase
+    from candidates, range(2, 4) as lengths(m) where m < size
+  ) group by lang, inner_phrase
+), ranked as (
+  select s.*, row_number() over (partition by s.lang order by score desc, a desc, s.phrase) as rank
+  from least s left join covers c on c.lang = s.lang and c.inner_phrase = s.phrase
+  where c.longer is null or 100::hugeint * c.longer < 80::hugeint * s.a
+)
+select r.lang, rank, phrase, a, l, r.r, n, score from ranked r join totals t on t.lang = r.lang where rank <= 2000
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -112,8 +155,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_suffix_tree": op9_suffix_tree,
         "op10_sentencepiece": op10_sentencepiece,
         "op12_periodic_runs": op12_periodic_runs,
+        "op13_collocations": op13_collocations,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": OP3_SQL, "op7_warc": OP7_SQL}
+    return {"op3_line_dedup": OP3_SQL, "op7_warc": OP7_SQL, "op13_collocations": OP13_SQL}
