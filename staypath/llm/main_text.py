@@ -68,10 +68,11 @@ class Element:
 
 def _words(value: str):
     """Lower-cased words of a class or id value, without those that only say what else there is."""
-    for name in CAMEL.sub("-", value).lower().split():
-        parts = WORD.findall(name)
+    for name in value.split():
+        parts = WORD.findall(CAMEL.sub("-", name).lower())
         if parts and parts[0] not in ABOUT:
             yield from parts
+            yield from WORD.findall(name.lower())
 
 
 class Page:

@@ -9,6 +9,7 @@ from staypath.llm.frames import read
 from staypath.llm.imatch import fingerprints
 from staypath.llm.jaccard import near_copies
 from staypath.llm.lines import line_digests
+from staypath.llm.main_text import main_texts
 from staypath.llm.phrases import collocations
 from staypath.llm.pieces import round_trips
 from staypath.llm.runs import run_digests
@@ -61,6 +62,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trips(read(spark, sf_dir, "documents"))
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(read(spark, sf_dir, "pages"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digests(read(spark, sf_dir, "documents"))
 
@@ -154,6 +159,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_latent_semantic": op8_latent_semantic,
         "op9_suffix_tree": op9_suffix_tree,
         "op10_sentencepiece": op10_sentencepiece,
+        "op11_main_text": op11_main_text,
         "op12_periodic_runs": op12_periodic_runs,
         "op13_collocations": op13_collocations,
     }

@@ -19,7 +19,7 @@ def test_query_equals_sql(spark, name):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.queries())
-    assert numbers == list(range(1, 11)) and "pipeline" in registry.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in registry.queries()
 
 
 def test_pipeline_stages_take_effect(spark):
