@@ -1,62 +1,73 @@
-"""SentencePiece encoding with seeded merge-dropout, and lossless decoding."""
+"""SentencePiece encoding with seeded merge-dropout, and lossless decoding.
+
+Texts are cut into chunks that no piece of the model crosses. Candidates of a chunk leave its agenda by score, then place, and
+a hash of the occurrence's key and the candidate's three borders says whether one is skipped. A task remembers, for the chunks
+it meets, the agenda in which nothing is skipped: its ids and the borders of its turns. The draws of all turns of all
+occurrences in a window of text are hashed at once; occurrences without a skipped turn take the remembered ids, and the
+agendas of all others run side by side in numpy, each with draws of its own. Ids stay flat arrays from end to end.
+"""
 
 import hashlib
 import heapq
 import re
-from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from staypath.llm.words import Table, mix
+from staypath.llm.spans import gathered
+from staypath.llm.words import BASE, Powers, Table, mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: a chunk ends where no piece of the model can go on: before a space that follows something else, around \n and \t
 CHUNK = re.compile(r" *[^ \n\t]+|[\n\t]| +")
-#: ids that a task holds before it sends them
-HELD_IDS = 2_000_000
-#: ways through chunks' agendas that a task remembers
-REMEMBERED = 800_000
+#: characters of texts that are read at once, and of a window whose chunks are segmented at once
+READ, WINDOW = 1_000_000, 250_000
+#: bytes of remembered agendas, after which a task begins anew; rows of agendas that run side by side
+REMEMBERED, ROWS_AT_ONCE = 16 << 20, 1 << 14
 #: chunks of more characters keep their agenda in a heap
 LONG = 48
 MASK, SCATTER, NONE = (1 << 64) - 1, 0x9E3779B97F4A7C15, 1 << 30
 
 
-class Ways:
-    """Finished agendas of chunks: which turns of an agenda were skipped, the ids, and the borders of the turns after the last skip.
-
-    An occurrence of a chunk begins with the way that skips nothing; the first of its turns that the occurrence's own
-    draws skip leads to the next way. So ways are shared by all occurrences that skip the same turns, and none is left out.
-    """
+class Known:
+    """Agendas without skips, by hash of their chunk: ids and borders of the turns, each in one growing array."""
 
     def __init__(self):
-        self.roots: dict[str, int] = {}
-        self.next: dict[int, int] = {}
-        self.chunk: list[str] = []
-        self.skipped: list[tuple[int, ...]] = []
-        self.ids: list[tuple[int, ...]] = []
-        self.start = np.zeros(1024, dtype=np.int64)
-        self.borders = np.empty(8192, dtype=np.uint64)
-
-    def add(self, chunks, skipped, ids, turns):
-        """``turns`` are borders from each agenda's first turn after its last skip on."""
-        n, size = len(self.chunk), np.array([len(t) for t in turns])
-        low = int(self.start[n])
-        if n + len(chunks) + 1 > len(self.start):
-            self.start = np.concatenate([self.start[:n + 1], np.zeros(n + 2 * len(chunks) + 1, dtype=np.int64)])
-        self.start[n + 1:n + len(chunks) + 1] = low + np.cumsum(size)
-        high = int(self.start[n + len(chunks)])
-        if high > len(self.borders):
-            self.borders = np.concatenate([self.borders[:low], np.empty(2 * high - low, dtype=np.uint64)])
-        self.borders[low:high] = np.concatenate(turns)
-        self.chunk += chunks
-        self.skipped += skipped
-        self.ids += ids
-        return range(n, n + len(chunks))
+        self.hashes = np.empty(0, dtype=np.uint64)
+        self.order = np.empty(0, dtype=np.int64)
+        self.ids, self.borders = np.empty(0, dtype=np.int32), np.empty(0, dtype=np.uint64)
+        self.at, self.size = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        self.turn, self.turns = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return np.full(len(hashes), -1)
+        place = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[place] == hashes, self.order[place], -1)
+
+    def add(self, hashes, ids, at, size, borders, turn, turns):
+        n = len(self.at)
+        self.at, self.size = np.append(self.at, at + len(self.ids)), np.append(self.size, size)
+        self.turn, self.turns = np.append(self.turn, turn + len(self.borders)), np.append(self.turns, turns)
+        self.ids, self.borders = np.append(self.ids, ids), np.append(self.borders, borders)
+        hashes, order = np.append(self.hashes, hashes), np.append(self.order, np.arange(n, n + len(at)))
+        by = np.argsort(hashes)
+        self.hashes, self.order = hashes[by], order[by]
+
+    @property
+    def bytes(self) -> int:
+        return self.ids.nbytes + self.borders.nbytes + 6 * self.at.nbytes
+
+
+def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, ... of each range, one range after another."""
+    before = np.cumsum(size) - size
+    return np.repeat(start - before, size) + np.arange(int(size.sum()))
 
 
 class Segmenter:
@@ -80,7 +91,11 @@ class Segmenter:
         if len(self.byte_ids) < 256:
             raise ValueError("the model lacks byte pieces, so decoding could lose text")
         self.skip, self.seed = int(rate * (1 << 20)), seed
-        self.ways = Ways()
+        self.known = Known()
+        self.raw_size = np.array([len(r) for r in self.raw])
+        self.raw_start = np.cumsum(self.raw_size) - self.raw_size
+        self.raw_bytes = np.frombuffer(b"".join(self.raw), dtype=np.uint8)
+        self.bytes_as_ids = np.array([self.byte_ids[i] for i in range(256)], dtype=np.int32)
         # char ids by code point; unknown ones lie beyond the pieces and are in no pair
         self.chars = np.arange(0x110000, dtype=np.int64) + len(self.raw)
         for piece, i in self.ids.items():
@@ -106,61 +121,88 @@ class Segmenter:
         return self.segment_keyed(chunks, np.array([xxhash.xxh3_64_intdigest(head + c.encode()) for c in chunks], dtype=np.uint64))
 
     def segment_keyed(self, chunks: list[str], keys: np.ndarray) -> list[tuple[int, ...]]:
-        """Piece ids of occurrences of chunks, each with its own key.
-
-        Candidates leave a chunk's agenda by score, then place. A hash of the key and the candidate's three borders
-        says whether one is skipped; a skipped one comes back only as part of another candidate.
+        """Piece ids of occurrences of chunks, each with its own key."""
+        size = np.array([len(c) for c in chunks], dtype=np.int64)
+        points = np.frombuffer("".join(chunks).encode("utf-32-le"), "<u4")
+        ids, n = self.segment(points, np.cumsum(size) - size, size, keys)
+        ends = np.cumsum(n)
+        return [tuple(ids[b - k:b].tolist()) for b, k in zip(ends.tolist(), n.tolist())]
+
+    def segment(self, points: np.ndarray, start: np.ndarray, size: np.ndarray, keys: np.ndarray):
+        """Piece ids of all chunks one after another, and how many each has.
+
+        Chunks are ranges of code points; candidates leave a chunk's agenda by score, then place. A hash of the chunk's key and
+        the candidate's three borders says whether one is skipped; a skipped one comes back only as part of another candidate.
+        """
+        symbols = self.chars[points]
+        short = size <= LONG
+        rows = np.flatnonzero(short)
+        way = self._ways(points, symbols, start[rows], size[rows])
+        known = self.known
+        turns = known.turns[way]
+        row = np.repeat(np.arange(len(rows)), turns)
+        drawn = mix(keys[rows[row]] ^ known.borders[ranges(known.turn[way], turns)]) >> np.uint64(44) < np.uint64(self.skip)
+        own = np.zeros(len(rows), dtype=bool)
+        own[row[drawn]] = True
+        parts = [(rows[~own], known.ids, known.at[way[~own]], known.size[way[~own]])]
+        again = rows[own]
+        for lo in range(0, len(again), ROWS_AT_ONCE):
+            some = again[lo:lo + ROWS_AT_ONCE]
+            ids, at, n, *_ = self._agendas(symbols, start[some], size[some], keys[some])
+            parts.append((some, ids, at, n))
+        for i in np.flatnonzero(~short).tolist():
+            ids = np.array(self._spelt(self._merged_heap(symbols[start[i]:start[i] + size[i]].tolist(), int(keys[i]))), dtype=np.int32)
+            parts.append((np.array([i]), ids, np.array([0]), np.array([len(ids)])))
+        count = np.zeros(len(start), dtype=np.int64)
+        for some, _, _, n in parts:
+            count[some] = n
+        place = np.cumsum(count) - count
+        out = np.empty(int(count.sum()), dtype=np.int32)
+        for some, ids, at, n in parts:
+            out[ranges(place[some], n)] = ids[ranges(at, n)]
+        return out, count
+
+    def _ways(self, points, symbols, start, size):
+        """Number in ``known`` of each chunk's agenda without skips; new ones are run."""
+        up, down = Powers.of(len(points) + 1)
+        sums = np.zeros(len(points) + 1, dtype=np.uint64)
+        np.cumsum(mix(points.astype(np.uint64) + np.uint64(BASE)) * up[:len(points)], out=sums[1:], dtype=np.uint64)
+        hashes = mix((sums[start + size] - sums[start]) * down[start])
+        own, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+        way = self.known.find(own)
+        if self.known.bytes > REMEMBERED and (way < 0).any():
+            self.known = Known()
+            way = self.known.find(own)
+        new = np.flatnonzero(way < 0)
+        for lo in range(0, len(new), ROWS_AT_ONCE):
+            some = new[lo:lo + ROWS_AT_ONCE]
+            n = len(self.known.at)
+            self.known.add(own[some], *self._agendas(symbols, start[first[some]], size[first[some]]))
+            way[some] = np.arange(n, n + len(some))
+        return way[back]
+
+    def _agendas(self, symbols, start, size, keys=None):
+        """Runs chunks of up to ``LONG`` characters: ids, where each chunk's are and how many.
+
+        Without keys nothing is skipped, and the borders of all turns come as well, with their places and numbers.
         """
-        ways, out = self.ways, [None] * len(chunks)
-        for i in [i for i, c in enumerate(chunks) if len(c) > LONG]:
-            symbols = self.chars[np.frombuffer(chunks[i].encode("utf-32-le", "surrogatepass"), "<u4")].tolist()
-            out[i] = self._spelt(self._merged_heap(symbols, int(keys[i])))
-        left = np.array([i for i, c in enumerate(chunks) if len(c) <= LONG], dtype=np.int64)
-        new = list(dict.fromkeys(c for c in chunks if len(c) <= LONG and c not in ways.roots))
-        ways.roots.update(zip(new, self._walk(new, [()] * len(new))))
-        way = np.array([ways.roots[chunks[i]] for i in left.tolist()], dtype=np.int64)
-        found = [left[:0]], [way[:0]]
-        while len(left):
-            begin, n = ways.start[way], ways.start[way + 1] - ways.start[way]
-            row = np.repeat(np.arange(len(left)), n)
-            turn = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-            hits = np.flatnonzero(mix(keys[left[row]] ^ ways.borders[begin[row] + turn]) >> np.uint64(44) < np.uint64(self.skip))
-            hits = hits[np.r_[True, row[hits][1:] != row[hits][:-1]]] if len(hits) else hits
-            on = row[hits]
-            done = np.ones(len(left), dtype=bool)
-            done[on] = False
-            found[0].append(left[done])
-            found[1].append(way[done])
-            step, back = np.unique(way[on] << 10 | turn[hits], return_inverse=True)
-            step = step.tolist()
-            new = [s for s in step if s not in ways.next]
-            skipped = []
-            for s in new:
-                before = ways.skipped[s >> 10]
-                skipped.append((*before, (before[-1] + 1 if before else 0) + (s & 1023)))
-            ways.next.update(zip(new, self._walk([ways.chunk[s >> 10] for s in new], skipped)))
-            left, way = left[on], np.array([ways.next[s] for s in step], dtype=np.int64)[back]
-        for i, w in zip(np.concatenate(found[0]).tolist(), np.concatenate(found[1]).tolist()):
-            out[i] = ways.ids[w]
-        return out
-
-    def _walk(self, chunks: list[str], skipped: list[tuple[int, ...]]):
-        """New ways through chunks of up to ``LONG`` characters that skip just these turns; all agendas in step."""
-        if not chunks:
-            return range(0)
-        size = np.array([len(c) for c in chunks])
-        out, turns = [None] * len(chunks), [None] * len(chunks)
-        flat = self.chars[np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), "<u4")]
-        start = np.cumsum(size) - size
-        for low, high in zip((0, 6, 9, 13, 20), (6, 9, 13, 20, LONG)):
+        ids, borders, n_ids, n_turns = [np.empty(0, dtype=np.int32)], [np.empty(0, dtype=np.uint64)], 0, 0
+        at, count, turn, turns = (np.zeros(len(size), dtype=np.int64) for _ in range(4))
+        for low, high in zip((0, 4, 6, 9, 13, 20), (4, 6, 9, 13, 20, LONG)):
             rows = np.flatnonzero((size > low) & (size <= high))
-            if len(rows):
-                self._step(rows, flat, start[rows], size[rows], [skipped[i] for i in rows.tolist()], high, out, turns)
-        return self.ways.add(chunks, skipped, out, turns)
-
-    def _step(self, rows, flat, start, size, skipped, width, out, turns):
-        """Merges in ``rows`` of up to ``width`` characters; neighbours are linked, so a merge moves nothing."""
-        n = len(rows)
+            if not len(rows):
+                continue
+            own, n, found, m = self._step(symbols, start[rows], size[rows], None if keys is None else keys[rows], high)
+            at[rows], count[rows] = n_ids + np.cumsum(n) - n, n
+            turn[rows], turns[rows] = n_turns + np.cumsum(m) - m, m
+            ids.append(own)
+            borders.append(found)
+            n_ids, n_turns = n_ids + len(own), n_turns + len(found)
+        return np.concatenate(ids), at, count, np.concatenate(borders), turn, turns
+
+    def _step(self, flat, start, size, keys, width):
+        """Merges in rows of up to ``width`` characters, all in step; neighbours are linked, so a merge moves nothing."""
+        n = len(start)
         column = np.arange(width, dtype=np.int32)
         symbols = np.where(column < size[:, None], flat[np.minimum(start[:, None] + column, len(flat) - 1)], -1).astype(np.int32)
         rank = np.full((n, width), NONE, dtype=np.int32)
@@ -170,29 +212,21 @@ class Segmenter:
         after = np.minimum(column + 1, size[:, None]).astype(np.int32)
         before = np.tile(column - 1, (n, 1))
         live = np.arange(n)
-        # which rows skip at a turn, and the rows and borders of turns after their last skips
-        at_turn: dict[int, list[int]] = {}
-        for row, own in enumerate(skipped):
-            for t in own:
-                at_turn.setdefault(t, []).append(row)
-        since = np.array([own[-1] if own else -1 for own in skipped])
-        seen, turn = [], 0
+        seen = [(live[:0], np.empty(0, dtype=np.uint64))]
         while len(live):
             at = rank[live].argmin(axis=1)
             open_ = rank[live, at] != NONE
             live, at = live[open_], at[open_]
             j = after[live, at]
             end = np.where(j < size[live], after[live, np.minimum(j, width - 1)], j)
-            later = since[live] < turn
             borders = at.astype(np.uint64) << np.uint64(40) | j.astype(np.uint64) << np.uint64(20) | end.astype(np.uint64)
-            seen.append((live[later], borders[later]))
-            if turn in at_turn:
-                skip = np.isin(live, at_turn[turn])
+            line = live
+            if keys is None:
+                seen.append((live, borders))
+            else:
+                skip = mix(keys[live] ^ borders) >> np.uint64(44) < np.uint64(self.skip)
                 rank[live[skip], at[skip]] = NONE
                 line, at, j, end = live[~skip], at[~skip], j[~skip], end[~skip]
-            else:
-                line = live
-            turn += 1
             both = made[line, at]
             symbols[line, at], symbols[line, j], rank[line, j], after[line, at] = both, -1, NONE, end
             right = end < size[line]
@@ -205,12 +239,26 @@ class Segmenter:
             a = np.concatenate([both[right], symbols[line[left], back[left]]])
             b = np.concatenate([symbols[line[right], end[right]], both[left]])
             rank[own, place], made[own, place] = self._pairs(a, b)
-        for row, ids in zip(rows.tolist(), symbols.tolist()):
-            out[row] = self._spelt([i for i in ids if i >= 0])
+        left = symbols >= 0
+        ids, count = self._spelt_flat(symbols[left], left.sum(axis=1))
         row, borders = (np.concatenate(c) for c in zip(*seen))
-        order = np.argsort(row, kind="stable")
-        for i, own in zip(rows.tolist(), np.split(borders[order], np.cumsum(np.bincount(row, minlength=n))[:-1])):
-            turns[i] = own
+        return ids, count, borders[np.argsort(row, kind="stable")], np.bincount(row, minlength=n)
+
+    def _spelt_flat(self, symbols: np.ndarray, count: np.ndarray):
+        """As :meth:`_spelt` for many chunks, and how many ids each chunk then has."""
+        n = len(self.raw)
+        point = symbols - n
+        if not len(symbols) or point.max() < 0:
+            return symbols, count
+        size = np.where(point < 0, 1, 1 + (point >= 0x80).astype(np.int64) + (point >= 0x800) + (point >= 0x10000))
+        nth = ranges(np.zeros(len(size), dtype=np.int64), size)
+        value, long = np.repeat(point, size), np.repeat(size, size)
+        # bytes of UTF-8: a head that tells the length, then six bits a byte
+        bits = value >> (6 * (long - 1 - nth))
+        byte = np.where(nth > 0, 0x80 | bits & 0x3F, np.where(long == 1, bits, (0xF00 >> long & 0xFF) & 0xFF | bits))
+        out = np.where(value < 0, value + n, self.bytes_as_ids[byte & 0xFF]).astype(np.int32)
+        owner = np.repeat(np.repeat(np.arange(len(count)), count), size)
+        return out, np.bincount(owner, minlength=len(count))
 
     def _spelt(self, symbols: list[int]) -> tuple[int, ...]:
         """Ids with unknown characters in bytes."""
@@ -254,24 +302,56 @@ class Segmenter:
                 offer(*zip(*near))
         return [s for s in symbols if s >= 0]
 
-    def encode_many(self, texts: list[str | None], keys: list[int]) -> list[list[int] | None]:
-        """Piece ids of texts; seed, a text's key and the place in it draw which candidates are skipped there.
+    def encode_flat(self, texts: list[str | None], keys: np.ndarray):
+        """Piece ids of texts one after another, and how many each has; null and empty texts have none.
 
-        Null gives null, an empty text no piece.
+        Seed, a text's key and the place in it draw which candidates are skipped there.
         """
-        found = [CHUNK.findall(" " + t) if t else [] for t in texts]
-        size = [len(f) for f in found]
-        start = mix(np.array([k & MASK for k in keys], dtype=np.uint64) ^ mix(np.array([self.seed * SCATTER & MASK], dtype=np.uint64)))
-        place = np.arange(sum(size)) - np.repeat(np.cumsum(size) - size, size).astype(np.int64)
-        if len(self.ways.chunk) > REMEMBERED:
-            self.ways = Ways()
-        ids = self.segment_keyed(list(chain.from_iterable(found)), mix(place.astype(np.uint64) + np.repeat(start, size)))
-        ends = [0, *accumulate(size)]
-        return [None if t is None else list(chain.from_iterable(ids[a:b])) for t, a, b in zip(texts, ends, ends[1:])]
+        held = [" " + t if t else "" for t in texts]
+        size = np.array([len(t) for t in held], dtype=np.int64)
+        points = np.frombuffer("".join(held).encode("utf-32-le"), "<u4")
+        if not len(points):
+            return np.empty(0, dtype=np.int32), np.zeros(len(texts), dtype=np.int64)
+        space, line = points == 32, (points == 10) | (points == 9)
+        begins = space.copy()
+        begins[1:] &= ~space[:-1]
+        begins |= line
+        begins[1:] |= line[:-1]
+        begins[(np.cumsum(size) - size)[size > 0]] = True
+        start = np.flatnonzero(begins)
+        end = np.append(start[1:], len(points))
+        text = np.searchsorted(np.cumsum(size), start, side="right")
+        head = mix(keys.astype(np.int64).view(np.uint64) ^ mix(np.array([self.seed * SCATTER & MASK], dtype=np.uint64)))
+        place = np.arange(len(start)) - np.searchsorted(text, text)
+        drawn = mix(place.astype(np.uint64) + head[text])
+        ids, count = [], []
+        low = 0
+        while low < len(start):
+            high = max(low + 1, int(np.searchsorted(end, start[low] + WINDOW, side="right")))
+            first = start[low]
+            made, n = self.segment(points[first:end[high - 1]], start[low:high] - first, (end - start)[low:high], drawn[low:high])
+            ids.append(made)
+            count.append(n)
+            low = high
+        per_text = np.zeros(len(texts), dtype=np.int64)
+        np.add.at(per_text, text, np.concatenate(count))
+        return np.concatenate(ids), per_text
+
+    def encode_many(self, texts: list[str | None], keys: list[int]) -> list[list[int] | None]:
+        """Piece ids of texts; null gives null, an empty text no piece."""
+        ids, n = self.encode_flat(texts, np.array([(k & MASK) - ((k & MASK) >> 63 << 64) for k in keys], dtype=np.int64))
+        ends = np.cumsum(n)
+        return [None if t is None else ids[b - k:b].tolist() for t, b, k in zip(texts, ends.tolist(), n.tolist())]
 
     def encode(self, text: str | None, key: int = 0) -> list[int] | None:
         return self.encode_many([text], [key])[0]
 
+    def decode_flat(self, ids: np.ndarray, count: np.ndarray) -> list[bytes]:
+        """UTF-8 of texts whose ids stand one after another."""
+        out, start = gathered(self.raw_bytes, self.raw_start[ids], (self.raw_start + self.raw_size)[ids], np.zeros(len(ids), dtype=np.int64))
+        cut = start[np.append(0, np.cumsum(count))].tolist()
+        return [out[a + 1:b].tobytes() for a, b in zip(cut, cut[1:])]
+
     def decode(self, ids: list[int] | None) -> str | None:
         if ids is None:
             return None
@@ -284,19 +364,29 @@ def model_bytes(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(file.read())
 
 
+def _slices(batch):
+    """Parts of a batch with about ``READ`` bytes of text, or one longer text."""
+    size = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    upto, low = np.cumsum(size), 0
+    while low < len(size):
+        high = max(low + 1, int(np.searchsorted(upto, (upto[low - 1] if low else 0) + READ, side="right")))
+        yield batch.slice(low, high - low)
+        low = high
+
+
+def _listed(ids, count, texts):
+    ends = np.append(0, np.cumsum(count))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()), mask=pa.array([t is None for t in texts]))
+
+
 def _encoded(model, rate, seed):
     def run(batches):
         made = Segmenter(model.value, rate, seed)
         for batch in batches:
-            column, texts, keys = [], batch.column("text"), batch.column("key").to_pylist()
-            for lo in range(0, len(keys), 256):
-                rows = made.encode_many(texts.slice(lo, 256).to_pylist(), keys[lo:lo + 256])
-                flat = np.fromiter(chain.from_iterable(r or () for r in rows), dtype=np.int32)
-                ends = [0, *accumulate(len(r or ()) for r in rows)]
-                ids = pa.ListArray.from_arrays(
-                    pa.array(ends, pa.int32()), pa.array(flat), mask=pa.array([r is None for r in rows]))
-                column = batch.slice(lo, 256).drop_columns(["key", "text"])
-                yield pa.RecordBatch.from_arrays([*column.columns, ids], names=[*column.schema.names, "ids"])
+            for rows in _slices(batch):
+                texts = rows.column("text").to_pylist()
+                ids, n = made.encode_flat(texts, rows.column("key").to_numpy())
+                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), _listed(ids, n, texts)], names=["doc_id", "ids"])
     return run
 
 
@@ -341,21 +431,17 @@ def _tripped(model, rate, seed, with_ids):
     def run(batches):
         made = Segmenter(model.value, rate, seed)
         for batch in batches:
-            rows = []
-            for lo in range(0, len(batch), 256):
-                docs, texts, keys = (batch.column(c).slice(lo, 256).to_pylist() for c in ("doc_id", "text", "key"))
-                for doc, text, ids in zip(docs, texts, made.encode_many(texts, keys)):
-                    back = made.decode(ids)
-                    rows.append((doc, len(text or ""), len(ids or ()), hashlib.sha256(np.array(ids or (), "<i4").tobytes()).hexdigest(),
-                                 hashlib.sha256((back or "").encode()).hexdigest(), back == text, ids)[:len(schema)])
-                if with_ids and sum(r[2] for r in rows) > HELD_IDS:
-                    yield made_batch(rows)
-                    rows = []
-            yield made_batch(rows)
-
-    def made_batch(rows):
-        columns = zip(*rows) if rows else [[]] * len(schema)
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+            for rows in _slices(batch):
+                texts = rows.column("text").to_pylist()
+                ids, n = made.encode_flat(texts, rows.column("key").to_numpy())
+                ends = np.cumsum(n).tolist()
+                back = made.decode_flat(ids, n)
+                columns = [
+                    rows.column("doc_id"), pa.array([len(t or "") for t in texts], pa.int64()), pa.array(n, pa.int64()),
+                    pa.array([hashlib.sha256(ids[a:b].astype("<i4").tobytes()).hexdigest() for a, b in zip([0, *ends], ends)], pa.string()),
+                    pa.array([hashlib.sha256(t).hexdigest() for t in back], pa.string()),
+                    pa.array([(t or "").encode() == b for t, b in zip(texts, back)], pa.bool_())]
+                yield pa.RecordBatch.from_arrays([*columns, _listed(ids, n, texts)] if with_ids else columns, schema=schema)
     return run
 
 
