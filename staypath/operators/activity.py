@@ -4,7 +4,7 @@ import datetime
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from staypath.functions.columns import LAST_MILLIS, day_part, day_sql, days_until, event_day, latest_sql, recency_sql, song_title
+from staypath.functions.columns import FIRST_MILLIS, LAST_MILLIS, day_part, day_sql, days_until, event_day, latest_sql, recency_sql, song_title
 from staypath.schema import CANCEL_PAGE, CHURN_PAGES, LOGGED_IN, PAID, PLAY_PAGE
 
 # a played song with a known title; a paid event; an event that counts as churn if it is the last
@@ -51,8 +51,9 @@ def in_window(
 ) -> DataFrame:
     """Rows at least ``min_days`` and at most ``max_days`` before the newest day or ``as_of``, both inclusive.
 
-    Rows after ``as_of`` are left out, so a past day does not see what came later. Compares the raw ``ts``
-    with the first moment of a day, so that the scan can skip row groups.
+    Rows after ``as_of`` are left out, so a past day does not see what came later; so are rows without a valid
+    time once a bound or day is given. Compares the raw ``ts`` with the first moment of a day, so that the scan can
+    skip row groups.
     """
     as_of = windowed_as_of(log, max_days, min_days, as_of)
     if as_of is None:
@@ -61,8 +62,7 @@ def in_window(
     def day_start(days_back: int) -> Column:
         return F.expr(f"unix_millis(timestamp(date_sub(date'{as_of}', {days_back})))")
 
-    if max_days is not None:
-        log = log.where(F.col("ts") >= day_start(max_days))
+    log = log.where(F.col("ts") >= (F.lit(FIRST_MILLIS) if max_days is None else day_start(max_days)))
     return log.where(F.col("ts") < day_start(-1 if min_days is None else min_days - 1))
 
 
@@ -98,25 +98,20 @@ def activity(
 def events_before_last(events: DataFrame, page: str = CANCEL_PAGE) -> DataFrame:
     """Activity rows on ``page`` that are not their user's latest row.
 
-    Of the rows that tie for latest exactly one counts as the latest. Equal rows are folded to a
-    count before any shuffle and spread out again at the end. Rows meet the latest one of their
-    user by (user, recency), so a user with very many rows is spread over all tasks.
+    Of the rows that tie for latest exactly one counts as the latest. Rows meet the latest one of their user by (user,
+    recency), so a user with very many rows is spread over all tasks. Rows that differ from it pass straight; only those
+    that tie with it are folded to counts, numbered and spread out again. Both joins read the same two shuffles, of the
+    columns of ``events``: select those that are wanted first.
     """
     events = events.where("userId is not null")
     columns = events.columns
-    latest = events.groupBy("userId").agg(F.expr(f"{LATEST} as recency")).withColumn("latest", F.lit(True))
-    folded = (
-        events.where(F.col("page") == page)
-        .groupBy(*columns)
-        .agg(F.expr("count(*) as copies"))
-        .withColumn("recency", F.expr(RECENCY))
-        .join(latest, ["userId", "recency"], "left")
-    )
+    latest = events.groupBy("userId").agg(F.expr(f"{LATEST} as recency"))
+    found = events.where(F.col("page") == page).withColumn("recency", F.expr(RECENCY))
+    tied = found.join(latest, ["userId", "recency"], "left_semi").groupBy("recency", *columns).agg(F.expr("count(*) as copies"))
     ties = Window.partitionBy("userId", "recency").orderBy(*columns)
-    left = folded.withColumn("position", F.row_number().over(ties)).withColumn(
-        "copies", F.expr("copies - int(coalesce(latest, false) and position = 1)")
-    )
-    return repeat_rows(left.where("copies > 0"), "copies").select(*columns)
+    left = tied.withColumn("copies", F.col("copies") - (F.row_number().over(ties) == 1).cast("int"))
+    return found.join(latest, ["userId", "recency"], "left_anti").select(*columns).unionByName(
+        repeat_rows(left.where("copies > 0"), "copies").select(*columns))
 
 
 def repeat_rows(df: DataFrame, copies: str, chunk: int = 10_000) -> DataFrame:

@@ -7,35 +7,62 @@ from staypath.operators.activity import IS_PLAY
 
 # grouping_id of the two roll-ups below: a set bit marks a key that is rolled away
 BY_SONG, BY_ARTIST = 1, 2
+#: sums that a fold holds
+FOLDED = ["n", "time", "plays", "play_time"]
 
 
-def content_features(events: DataFrame, length_decimals: int | None = None) -> DataFrame:
-    """``unique_songs, unique_artists, max_song_perc, max_artist_perc`` per user.
-
-    One scan feeds (user, song) and (user, artist) totals; the user level only sees those.
-    """
-    user, song, artist = F.col("userId"), F.col("singer_song"), F.col("artist")
-    heard = (
+def plays_fold(events: DataFrame, length_decimals: int | None = None, *keys: str) -> DataFrame:
+    """One row per (user, artist, song) and any other ``keys``: rows, their length, and plays and their length."""
+    length = length_sql("length", length_decimals)
+    return (
         events.where("userId is not null")
-        .select("userId", "singer_song", "artist", "length", F.expr(f"{IS_PLAY} as played"))
-        .groupingSets([[user, song], [user, artist]], user, song, artist)
+        .select("userId", *keys, "artist", "singer_song", "length", F.expr(f"{IS_PLAY} as played"))
+        .groupBy("userId", *keys, "artist", "singer_song")
         .agg(
-            F.expr("grouping_id() as kind"),
-            F.expr(f"sum({length_sql('length', length_decimals)}) as time"),
-            F.expr(f"sum(case when played then {length_sql('length', length_decimals)} end) as play_time"),
+            F.expr("count(*) as n"),
+            F.expr(f"sum({length}) as time"),
             F.expr("count_if(played) as plays"),
+            F.expr(f"sum(case when played then {length} end) as play_time"),
         )
     )
+
+
+def merged_plays(fold: DataFrame) -> DataFrame:
+    """One row per (user, artist, song) from folds of several days."""
+    return fold.groupBy("userId", "artist", "singer_song").agg(*[F.expr(f"sum({c}) as {c}") for c in FOLDED])
+
+
+def content_features(events: DataFrame, length_decimals: int | None = None) -> DataFrame:
+    """``unique_songs, unique_artists, max_song_perc, max_artist_perc`` per user of the events."""
+    return content_of(plays_fold(events, length_decimals))
+
+
+def content_of(fold: DataFrame) -> DataFrame:
+    """The same from :func:`plays_fold` rows, which feed (user, song) and (user, artist) totals; the user level only sees those."""
+    user, song, artist = F.col("userId"), F.col("singer_song"), F.col("artist")
+    heard = fold.groupingSets([[user, song], [user, artist]], user, song, artist).agg(
+        F.expr("grouping_id() as kind"), *[F.expr(f"sum({c}) as {c}") for c in FOLDED]
+    )
     song_time = f"case when kind = {BY_SONG} then time end"
     artist_time = f"case when kind = {BY_ARTIST} and plays > 0 then play_time end"
     return heard.groupBy("userId").agg(
-        F.expr(f"count(case when kind = {BY_SONG} then singer_song end) as unique_songs"),
+        F.expr(f"count(case when kind = {BY_SONG} and n > 0 then singer_song end) as unique_songs"),
         F.expr(f"count(case when kind = {BY_ARTIST} then artist end) as unique_artists"),
         ratio(f"max({song_time})", f"sum({song_time})", "max_song_perc"),
         ratio(f"max({artist_time})", f"sum({artist_time})", "max_artist_perc"),
     )
 
 
+def folded_song_plays(fold: DataFrame) -> DataFrame:
+    """:func:`song_plays` from :func:`plays_fold` rows.
+
+    Looks at every folded column, so that its input equals that of :func:`content_of` and Spark shuffles the fold once.
+    """
+    every = "case when n > 0 or time is not null or play_time is not null then plays end"
+    played = fold.groupBy("userId", "singer_song").agg(F.expr(f"sum({every}) as plays"))
+    return played.where("plays > 0")
+
+
 def song_plays(events: DataFrame) -> DataFrame:
     """Plays per (user, song)."""
     plays = events.where(f"userId is not null and {IS_PLAY}")
@@ -79,17 +106,19 @@ def popular_songs(popularity: DataFrame, relative_error: float | None = None) ->
     return popularity.where(F.col("listeners") >= popularity_bar(popularity, relative_error).scalar())
 
 
-def popular_song_share(
-    events: DataFrame, relative_error: float | None = None, hot_songs: int = 1000
-) -> DataFrame:
-    """``perc_popular_songs``: share of a user's plays that are plays of popular songs.
+def popular_song_share(events: DataFrame, relative_error: float | None = None, hot_songs: int = 1000) -> DataFrame:
+    """``perc_popular_songs``: share of a user's plays that are plays of popular songs."""
+    return popular_share_of(song_plays(events), relative_error, hot_songs)
+
+
+def popular_share_of(plays: DataFrame, relative_error: float | None = None, hot_songs: int = 1000) -> DataFrame:
+    """The same from plays per (user, song).
 
     The join sees one row per (user, song) instead of one per play. A song with at least 1/1000 of
     these rows is hot; there can be no more than ``hot_songs`` = 1000 of them, so they are broadcast
     and their rows skip the shuffled join: they carry no song there and are scattered over
     ``slot``. No other song can make up more than 1/1000 of the shuffled rows.
     """
-    plays = song_plays(events)
     popularity = listeners_per_song(plays)
     bar = popularity_bar(popularity, relative_error)
     pairs = popularity.agg(F.sum("listeners")).scalar()

@@ -40,6 +40,10 @@ def label_checks(labels: DataFrame) -> DataFrame:
     )
 
 
-def post_cancel_events(log: DataFrame) -> DataFrame:
-    """Cancel events with later activity of the same user."""
-    return events_before_last(activity(log))
+def post_cancel_events(log: DataFrame, columns: tuple[str, ...] | None = None) -> DataFrame:
+    """Cancel events with later activity of the same user; with ``columns`` only these activity columns are carried along."""
+    events = activity(log)
+    if columns is not None:
+        needed = ("userId", "time", "itemInSession", "page", "level")
+        events = events.select(*dict.fromkeys((*columns, *needed)))
+    return events_before_last(events).select(*(columns or events.columns))

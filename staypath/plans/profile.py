@@ -2,7 +2,7 @@
 
 import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from staypath.functions.columns import agent_tokens, days_until, event_day, state_codes
 from staypath.operators.activity import in_window, newest_day
@@ -35,6 +35,19 @@ def list_one_hot(log: DataFrame, source: str, values: list[str] | None = None, o
     return one_hot(listed_values(log, source), LISTS[source][0], values, other)
 
 
+def profile_fold(log: DataFrame, sources=tuple(LISTS), *keys: str) -> DataFrame:
+    """One row per (user, texts of ``sources``) and any other ``keys``: ever logged as female, first registration."""
+    return log.where("userId is not null").groupBy("userId", *keys, *sources).agg(
+        F.expr(f"max(int(coalesce(gender = '{FEMALE}', false))) as female"),
+        F.expr("min(registration) as registration"),
+    )
+
+
+def merged_profile(fold: DataFrame) -> DataFrame:
+    """One row per (user, agent text, location) from folds of several days."""
+    return fold.groupBy("userId", *LISTS).agg(F.expr("max(female) as female"), F.expr("min(registration) as registration"))
+
+
 def static_features(
     log: DataFrame,
     agents: list[str] | None = None,
@@ -44,26 +57,28 @@ def static_features(
 ) -> DataFrame:
     """``female``, ``customer_age`` and ``agent_*`` for every user of the log, logged in or not.
 
-    Users are folded to one row per (user, agent text, location) first; each such text is parsed
-    once. Users with no agent at all keep nulls in ``agent_*``. A user with several registrations
+    Users with no agent at all keep nulls in ``agent_*``. A user with several registrations
     counts from the first; one who was ever logged as female is female. ``states`` adds ``state_*``
     columns (a list fixes them, ``True`` fits them).
     ``activity_log`` gives the newest day if it should come from another table than ``log``. With ``as_of``
     events after that day are left out, and so are users who have no others.
     """
     log = in_window(log, as_of=as_of)
-    wanted = {"userAgent": list_vocabulary(log, "userAgent") if agents is None else agents}
+    today = newest_day(log if activity_log is None else activity_log, as_of)
+    return static_of(profile_fold(log, wanted_sources(states)), today, agents, states)
+
+
+def wanted_sources(states: list[str] | bool) -> list[str]:
+    return ["userAgent"] if states is False else list(LISTS)
+
+
+def static_of(
+    folded: DataFrame, today: Column, agents: list[str] | None = None, states: list[str] | bool = False
+) -> DataFrame:
+    """:func:`static_features` from :func:`profile_fold` rows; each text is parsed once per user."""
+    wanted = {"userAgent": list_vocabulary(folded, "userAgent") if agents is None else agents}
     if states is not False:
-        wanted["location"] = list_vocabulary(log, "location") if states is True else states
-
-    folded = (
-        log.where("userId is not null")
-        .groupBy("userId", *wanted)
-        .agg(
-            F.expr(f"max(int(coalesce(gender = '{FEMALE}', false))) as female"),
-            F.expr("min(registration) as registration"),
-        )
-    )
+        wanted["location"] = list_vocabulary(folded, "location") if states is True else states
     indicators = []
     for source, values in wanted.items():
         name, parse = LISTS[source]
@@ -75,6 +90,5 @@ def static_features(
     people = folded.groupBy("userId").agg(
         F.expr("max(female) as female"), F.expr("min(registration) as registration"), *indicators
     )
-    today = newest_day(log if activity_log is None else activity_log, as_of)
     age = days_until(today, event_day("registration")).alias("customer_age")
     return people.select("userId", "female", age, *people.columns[3:])

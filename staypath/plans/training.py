@@ -4,6 +4,7 @@ import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
+from staypath.operators.activity import windowed_as_of
 from staypath.plans.features import feature_table
 from staypath.plans.labels import churn_label
 from staypath.schema import LABEL
@@ -26,11 +27,14 @@ def training_set(
     features see and the days that decide the label; the label then comes from its own pass.
     """
     windowed = not (feature_max_days is None and feature_min_days is None and label_max_days is None)
+    newest = as_of
+    if windowed and as_of is None:  # one job finds the day for both windows
+        newest = windowed_as_of(log, 0, 0, None)
     features = feature_table(
-        log, feature_max_days, feature_min_days, as_of=as_of, label=not windowed, **feature_options
+        log, feature_max_days, feature_min_days, as_of=as_of, newest=newest, label=not windowed, **feature_options
     )
     if excluded_users:
         features = features.where(~F.col("userId").isin(list(excluded_users)))
     if windowed:
-        return features.fillna(0).join(churn_label(log, label_max_days, as_of), "userId")
+        return features.fillna(0).join(churn_label(log, label_max_days, newest if label_max_days is not None else as_of), "userId")
     return features.where(F.col(LABEL).isNotNull()).fillna(0)

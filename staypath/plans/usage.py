@@ -57,7 +57,12 @@ def sessions_and_days(rows: DataFrame) -> DataFrame:
 
 
 def usage_features(events: DataFrame) -> DataFrame:
-    """Use-time, action and membership columns, plus ``last_status_cancelled``, per user.
+    """Use-time, action and membership columns, plus ``last_status_cancelled``, per user of the events."""
+    return usage_of(session_days(events))
+
+
+def usage_of(rows: DataFrame) -> DataFrame:
+    """The same from :func:`session_days` rows; a session over midnight has a row for each day and is put together here.
 
     A caller that selects some of the columns pays only for those.
     """
@@ -67,7 +72,7 @@ def usage_features(events: DataFrame) -> DataFrame:
     def of_day(column):
         return f"case when kind = {BY_DAY} then {column} end"
 
-    totals = sessions_and_days(session_days(events)).groupBy("userId").agg(*_columns(
+    totals = sessions_and_days(rows).groupBy("userId").agg(*_columns(
         f"count_if(kind = {BY_SESSION}) as sessions",
         f"sum({of_session('n')}) as items",
         f"count_if(kind = {BY_DAY}) as active_days",
