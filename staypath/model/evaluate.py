@@ -4,6 +4,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from staypath.functions.columns import ratio
+from staypath.sources.tables import staged
 
 
 def churn_score(predictions: DataFrame) -> DataFrame:
@@ -11,30 +12,31 @@ def churn_score(predictions: DataFrame) -> DataFrame:
     return predictions.withColumn("score", vector_to_array("probability")[1])
 
 
-def score_totals(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+def score_totals(scored: DataFrame, score: str = "score", label: str = "label", by: tuple[str, ...] = ()) -> DataFrame:
     """Per distinct score, from the highest down: its positives and negatives, and those so far and in all.
 
-    Exact for any scores. Rows are first counted per score, then the scores are cut into ranges at
-    approximate quantiles. Running totals inside a range start from the totals of the ranges above it,
-    so no task orders more than a range, wherever the cuts fall. Rows without score are left out.
+    Exact for any scores. Rows are first counted per score; the counts are stored, as cuts, offsets and totals all read
+    them. The scores are cut into ranges at approximate quantiles. Running totals inside a range start from the totals of
+    the ranges above it, so no task orders more than a range, wherever the cuts fall. Rows without score are left out.
+    ``by`` names columns, such as a run, whose values have curves of their own.
     """
     ranges = max(2, int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    counts = scored.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("threshold")).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
+    counts = staged(scored.where(F.col(score).isNotNull()).groupBy(*by, F.col(score).cast("double").alias("threshold")).agg(
+        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")))
     shares = [i / ranges for i in range(1, ranges)]
     cuts = counts.agg(F.percentile_approx("threshold", shares, F.lit(10 * ranges))).scalar()
     below = F.expr("size(filter(cuts, cut -> cut <= threshold))")
     ranged = counts.withColumn("cuts", cuts).withColumn("part", below).drop("cuts")
-    down = Window.orderBy(F.desc("part"))
+    down = Window.partitionBy(*by).orderBy(F.desc("part"))
     above, every = down.rowsBetween(Window.unboundedPreceding, -1), down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # one row per range, so ordering them and sending them everywhere is bounded by the number of ranges
-    offsets = ranged.groupBy("part").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).select(
-        "part",
+    # one row per range and curve, so ordering them and sending them everywhere is bounded by the number of ranges
+    offsets = ranged.groupBy(*by, "part").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).select(
+        *by, "part",
         F.coalesce(F.sum("pos").over(above), F.lit(0)).alias("pos_above"), F.coalesce(F.sum("neg").over(above), F.lit(0)).alias("neg_above"),
         F.sum("pos").over(every).alias("all_pos"), F.sum("neg").over(every).alias("all_neg"))
-    inside = Window.partitionBy("part").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return ranged.join(F.broadcast(offsets), "part").select(
-        "threshold", "pos", "neg",
+    inside = Window.partitionBy(*by, "part").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return ranged.join(F.broadcast(offsets), [*by, "part"]).select(
+        *by, "threshold", "pos", "neg",
         (F.col("pos_above") + F.sum("pos").over(inside)).alias("tp"), (F.col("neg_above") + F.sum("neg").over(inside)).alias("fp"),
         "all_pos", "all_neg")
 
@@ -51,10 +53,11 @@ def pr_curve(scored: DataFrame, score: str = "score", label: str = "label") -> D
         "threshold", ratio("tp", "all_pos", "recall"), ratio("tp", "tp + fp", "precision"))
 
 
-def area_under_roc(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """One row ``auc``: trapezoids under :func:`roc_curve`, added up in whole numbers."""
+def area_under_roc(scored: DataFrame, score: str = "score", label: str = "label", by: tuple[str, ...] = ()) -> DataFrame:
+    """One row ``auc``, or one for each value of ``by``: trapezoids under :func:`roc_curve`, added up in whole numbers."""
     doubled = "sum(cast(neg as decimal(19, 0)) * (cast(tp as decimal(19, 0)) * 2 - pos))"
-    return score_totals(scored, score, label).agg(ratio(doubled, "double(max(all_pos)) * double(max(all_neg)) * 2", "auc"))
+    auc = ratio(doubled, "double(max(all_pos)) * double(max(all_neg)) * 2", "auc")
+    return score_totals(scored, score, label, by).groupBy(*by).agg(auc)
 
 
 def importance_table(spark: SparkSession, model, names: list[str]) -> DataFrame:

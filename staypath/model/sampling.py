@@ -40,6 +40,24 @@ def copies_without_replacement(draw: str, fraction: float) -> str:
     return f"int({draw} < double('{fraction!r}'))"
 
 
+def copies_sql(
+    minority_multiplier: float, majority_fraction: float, label_col: str = "label", minority_tag: int = 1,
+    *, key: str = "userId", seed: int = 0, jitter: float = 0.01,
+) -> str:
+    """How often :func:`resample` takes a row; null for a row without label."""
+    def untouched(rate):
+        return jitter == 0 and rate == 1
+
+    draw = uniform_sql(key, "sample", seed)
+    minority = "1" if untouched(minority_multiplier) else copies_with_replacement("u", minority_multiplier + jitter)
+    majority = "1" if untouched(majority_fraction) else copies_without_replacement("u", majority_fraction - jitter)
+    # the draw gets a name, so that it is hashed once and not for every step
+    return (
+        f"get(transform(array({draw}), u -> case when {label_col} = {minority_tag} then {minority} "
+        f"when {label_col} <> {minority_tag} then {majority} end), 0)"
+    )
+
+
 def resample(
     df: DataFrame,
     minority_multiplier: float,
@@ -56,21 +74,20 @@ def resample(
     The rates are ``minority_multiplier + jitter`` and ``majority_fraction - jitter``. With
     ``jitter=0`` a multiplier or fraction of 1 leaves its class as it is.
     """
-    def untouched(rate):
-        return jitter == 0 and rate == 1
+    copies = copies_sql(minority_multiplier, majority_fraction, label_col, minority_tag, key=key, seed=seed, jitter=jitter)
+    return repeated(df.withColumn("_copies", F.expr(copies)), "_copies").drop("_copies")
 
-    minority = "1" if untouched(minority_multiplier) else \
-        copies_with_replacement("_draw", minority_multiplier + jitter)
-    majority = "1" if untouched(majority_fraction) else \
-        copies_without_replacement("_draw", majority_fraction - jitter)
-    copies = F.expr(
-        f"case when {label_col} = {minority_tag} then {minority} when {label_col} <> {minority_tag} then {majority} end"
-    )
-    drawn = df.withColumn("_draw", F.expr(uniform_sql(key, "sample", seed))).withColumn("_copies", copies).where("_copies > 0")
-    return drawn.withColumn("_copy", F.expr("explode(sequence(1, _copies))")).drop("_draw", "_copies", "_copy")
+
+def repeated(df: DataFrame, copies: str) -> DataFrame:
+    """Each row as often as the expression ``copies`` says."""
+    return df.where(f"{copies} > 0").withColumn("_copy", F.expr(f"explode(sequence(1, {copies}))")).drop("_copy")
+
+
+def in_train_sql(train_share: float = 0.7, *, key: str = "userId", seed: int = 100) -> str:
+    return f"{uniform_sql(key, 'split', seed)} < double('{train_share!r}')"
 
 
 def split(df: DataFrame, train_share: float = 0.7, *, key: str = "userId", seed: int = 100):
     """Train and test rows; the draw is the same rule in every class, so each is split alike."""
-    in_train = f"{uniform_sql(key, 'split', seed)} < double('{train_share!r}')"
+    in_train = in_train_sql(train_share, key=key, seed=seed)
     return df.where(in_train), df.where(f"not ({in_train})")

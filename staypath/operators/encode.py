@@ -5,12 +5,19 @@ import re
 from pyspark.sql import DataFrame, functions as F
 
 
-def vocabulary(df: DataFrame, column: str) -> list[str]:
-    """Sorted distinct non-null values of ``column``; they become column names, so they reach the driver.
+#: values that may become columns when no list is given
+MAX_COLUMNS = 1000
 
-    For very many values keep the long form, or pass a list and count the others with ``other``.
+
+def vocabulary(df: DataFrame, column: str, max_values: int = MAX_COLUMNS) -> list[str]:
+    """Sorted distinct non-null values of ``column``; they become column names, so at most ``max_values`` reach the driver.
+
+    More values are an error, not cut off: ``dictionary.sparse_rows`` has no such limit, a given list is wide at any
+    length, and ``other`` counts what a list leaves out.
     """
-    values = df.where(F.col(column).isNotNull()).select(column).distinct().collect()
+    values = df.where(F.col(column).isNotNull()).select(column).distinct().limit(max_values + 1).collect()
+    if len(values) > max_values:
+        raise ValueError(f"{column} has more than {max_values} values; use a dictionary and sparse rows, or name the values")
     return sorted(row[0] for row in values)
 
 
