@@ -24,25 +24,23 @@ def feature_histogram(
     """Equal-width histogram of every column: ``feature, bin, lower, upper, n``, empty bins included.
 
     The last bin is closed; a column with a single value gets a range of one around it, and nulls
-    are left out. Reads ``features`` twice, so pass a stored table. The range table has one row per
-    column.
+    are left out. ``features`` is read once: it is folded to how often each value of a column occurs, and ranges and bins
+    both come from that fold, which is shuffled once. The range table has one row per column.
     """
     columns = list(columns)
-    values = features.selectExpr(*[
-        f"double({hours_sql(c) if c in hour_columns else c}) as {c}" for c in columns
+    values = features.select(*[
+        F.expr(f"double({hours_sql(f'`{c}`') if c in hour_columns else f'`{c}`'})").alias(c) for c in columns
     ])
-    span = values.agg(*[F.expr(f"{f}({c}) as {f}_{c}") for c in columns for f in ("min", "max")])
-    entries = ", ".join(f"named_struct('feature', '{c}', 'lo', min_{c}, 'hi', max_{c})" for c in columns)
-    ranges = (
-        span.selectExpr(f"inline(array({entries}))")
-        .where("lo is not null")
-        .selectExpr("feature", "if(lo = hi, lo - 0.5D, lo) as lo", "if(lo = hi, hi + 0.5D, hi) as hi")
-    )
-    long = values.unpivot([], columns, "feature", "value").where("value is not null")
+    long = values.unpivot([], [f"`{c}`" for c in columns], "feature", "value").where("value is not null")
+    fold = long.groupBy("feature", "value").agg(F.expr("count(*) as n"))
+    # looking at n keeps this branch's input equal to the one joined below, so Spark shuffles the fold once
+    ranges = fold.groupBy("feature").agg(
+        F.expr("min(case when n > 0 then value end) as lo"), F.expr("max(case when n > 0 then value end) as hi")
+    ).selectExpr("feature", "if(lo = hi, lo - 0.5D, lo) as lo", "if(lo = hi, hi + 0.5D, hi) as hi")
     counted = (
-        long.join(F.broadcast(ranges), "feature")  # one row per requested column
+        fold.join(F.broadcast(ranges), "feature")  # one row per requested column
         .groupBy("feature", F.expr(f"int(least(floor((value - lo) / (hi - lo) * {bins}) + 1, {bins})) as bin"))
-        .agg(F.expr("count(*) as n"))
+        .agg(F.expr("sum(n) as n"))
     )
     frame = ranges.selectExpr("feature", f"explode(sequence(1, {bins})) as bin", "lo", "hi")
     return frame.join(counted, ["feature", "bin"], "left").selectExpr(
@@ -57,8 +55,8 @@ def feature_histogram(
 def columns_with_nulls(features: DataFrame) -> DataFrame:
     """Number of columns that hold any null."""
     counts = null_counts(features)
-    with_nulls = " + ".join(f"int(`{c}` > 0)" for c in counts.columns)
-    return counts.selectExpr(f"{with_nulls} as columns_with_nulls")
+    held = F.array(*[F.col(f"`{c}`") for c in counts.columns])
+    return counts.select(F.size(F.filter(held, lambda n: n > 0)).alias("columns_with_nulls"))
 
 
 def threshold_shares(features: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from staypath.operators import explore, report
 from staypath.operators.encode import encoded_names, one_hot
 from staypath.sources import tables
 from staypath.plans.features import feature_table
+from staypath.schema import EVENT_SCHEMA
 from tests.conftest import by_user
 from tests.test_features import random_rows
 
@@ -104,3 +105,39 @@ def test_feature_files_round_trip(spark, make_log, tmp_path):
     staged = tables.staged(features)
     assert staged.schema == features.schema and by_user(staged) == want
     assert "Exchange" not in staged._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rejected_lines_are_kept_apart(spark, tmp_path):
+    lines = [
+        '{"userId": "1", "ts": 5, "page": "Home"}', '{"userId": "2", "ts": "late"}', '{"userId": "3", "ts": 7', "no json", "[1, 2]", "", "   ",
+        '{"userId": "4", "other": 1}', "{}", '{"userId": {"a": 1}, "length": "x"}', "7", "null", '{"ts": 1e3}',
+    ]
+    path = tmp_path / "log"
+    path.mkdir()
+    (path / "a.json").write_text("\n".join(lines) + "\n")
+    events, rejects = tables.read_checked_log(spark, str(path))
+    assert events.columns == EVENT_SCHEMA.names
+    got = {(r.reason, r.line) for r in rejects.collect()}
+    kept = [r.userId for r in events.collect()]
+    assert ("type", lines[1]) in got and {("broken", x) for x in (lines[2], "no json")} <= got
+    assert rejects.count() + events.count() == len([x for x in lines if x.strip()])
+    assert {"1", "4"} <= set(kept) and "2" not in kept and "3" not in kept
+    assert events.select("page").where("page is not null").count() == 1  # the same rows whichever columns are read
+    assert {r.file for r in rejects.collect()} == {"a.json"}
+    tables.write_rejects(rejects, str(tmp_path / "rejects"))
+    tables.write_rejects(rejects, str(tmp_path / "rejects"))
+    assert spark.read.parquet(str(tmp_path / "rejects")).count() == 2 * len(got)
+
+
+@pytest.mark.parametrize("files", [1, 3, 50])
+def test_csv_parts_are_joined(spark, tmp_path, files):
+    df = spark.range(1000).selectExpr("id", "if(id % 7 = 0, null, concat('a,\"b\" ', id)) as text", "id / 3 as x").repartition(9)
+    path = str(tmp_path / "csv")
+    tables.write_features_csv(df, path, files=files)
+    names = [p.name for p in (tmp_path / "csv").glob("*.csv")]
+    assert 1 <= len(names) <= min(files, 9) and [p.name for p in tmp_path.iterdir()] == ["csv"]
+    back = tables.read_features_csv(spark, path, df.schema)
+    assert back.count() == 1000
+    assert {tuple(r) for r in back.collect()} == {tuple(r) for r in df.collect()}
+    tables.write_features_csv(df.limit(0), path, files=files)
+    assert tables.read_features_csv(spark, path, df.schema).count() == 0
