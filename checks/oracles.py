@@ -4,6 +4,8 @@ Every statement starts from the same event log, which is derived from ``events``
 ``nation``; see ``FIXTURES.md``.
 """
 
+import math
+
 from staypath.schema import HISTOGRAM_COLUMNS, LABEL_PROFILE_COLUMNS
 
 # The split seed, and the cumulative Poisson probabilities for a mean of 3.01.
@@ -79,6 +81,9 @@ log as (
   left join nation n on n.n_nationkey = c.c_nationkey
 )"""
 
+LOG_END = "left join nation n on n.n_nationkey = c.c_nationkey\n)"
+TODAY = "today as (select max(cast(make_timestamp(ts * 1000) as date)) as day from log where auth = 'Logged In')"
+
 ACT = """,
 today as (select max(cast(make_timestamp(ts * 1000) as date)) as day from log where auth = 'Logged In'),
 act as (
@@ -370,6 +375,36 @@ select s.feature, cast(b.bin as integer) as bin, lo + (hi - lo) / {bins} * (b.bi
 from span s, (select unnest(range(1, {bins} + 1)) as bin) b"""
 
 
+def at_day(sql: str, day: str) -> str:
+    """The same statement as seen at a past day: later events are left out, and that day is today."""
+    sql = sql.replace("\nlog as (", "\nwhole_log as (", 1).replace(
+        LOG_END, f"{LOG_END},\nlog as (select * from whole_log where cast(make_timestamp(ts * 1000) as date) <= date '{day}')", 1)
+    return sql.replace(TODAY, f"today as (select date '{day}' as day)", 1)
+
+
+def poisson(rate: float) -> list[float]:
+    """Cumulative Poisson probabilities as far as doubles tell them from 1."""
+    steps, total, k = [], 0.0, 0
+    while k < 60 and total < 1 - 1e-15:
+        total += math.exp(-rate + k * math.log(rate) - math.lgamma(k + 1))
+        steps.append(total)
+        k += 1
+    return steps
+
+
+def run_sizes(multipliers=(3.0, 2.0, 1.5, 1.0), runs=3) -> str:
+    """Body: sizes of the training part of each run."""
+    lines = []
+    for m in multipliers:
+        steps = " + ".join(f"cast(u >= {step!r}::double as integer)" for step in poisson(m + 0.01))
+        for run in range(runs):
+            lines.append(f"""
+select {m!r}::double as multiplier, {run} as run, cast(coalesce(sum(case when label = 1 then {steps} end), 0) as bigint) as n_pos,
+       cast(coalesce(sum(case when label = 0 then cast(u < 0.99::double as integer) end), 0) as bigint) as n_neg
+from (select last_status_cancelled as label, {draw('sample', run)} as u from training where {draw('split', SPLIT_SEED)} < 0.7::double)""")
+    return "\nunion all".join(lines)
+
+
 def statements() -> dict[str, str]:
     rounded_means = ", ".join(f"cast(round(cast(avg(agent_{a}) as decimal(18, 10)), 2) as double) as agent_{a}"
                               for a in AGENTS)
@@ -482,6 +517,44 @@ parted as (
 select part, label, cast(sum(case when part = 'test' then 1 when label = 1 then {steps}
                                   else cast(u < 0.99::double as integer) end) as bigint) as n
 from parted group by part, label"""
+    past = "2024-01-20"
+    sql["feature_table_past"] = at_day(features(" and days_before_today <= 10") + "\nselect * from features", past)
+    sql["activity_past"] = at_day(LOG + ACT + """
+select userId, time, page, days_before_today from act where days_before_today between 1 and 5""", past)
+    sql["churn_label_past"] = at_day(LOG + ACT + LABEL.format(window=" and days_before_today <= 10") + "\nselect * from label", past)
+    sql["feature_table_fitted"] = features() + f""",
+states as ({_wide('state_tokens', 'state', STATES)})
+select * from features left join states using (userId)"""
+    sql["state_feature_table"] = sql["state_by_days"] = sql["feature_table"]
+    sql["state_feature_table_window"] = sql["feature_table_window"]
+    sql["state_feature_table_past"] = sql["feature_table_past"]
+    for name in ("agent", "state"):
+        words = f"""
+select {name} as value, row_number() over (order by {name}) - 1 as position, count(*) as users from {name}_tokens group by {name}"""
+        sql[f"{name}_dictionary"] = LOG + PARSED + words
+        sql[f"{name}_vectors"] = LOG + PARSED + f""",
+known as ({words})
+select userId, cast((select count(*) from known) as integer) as size, string_agg(cast(position as varchar), ',' order by position) as positions,
+       string_agg('1', ',' order by position) as counts
+from {name}_tokens join known on value = {name} group by userId"""
+    whole = "itemInSession % 50 not in (0, 1, 2)"
+    sql["log_rejects"] = LOG + f"""
+select case when itemInSession % 50 in (0, 2) then 'broken' when itemInSession % 50 = 1 then 'type' else 'event' end as reason, count(*) as n
+from log group by 1"""
+    sql["checked_log"] = LOG + f"\nselect * from log where {whole}"
+    sql["features_csv_one_file"] = sql["feature_table"]
+    sql["sampling_run_sizes"] = training() + run_sizes()
+    names = ", ".join(f"'{c}'" for c in ["(intercept)", *FEATURE_NUMBERS])
+    sql["lr_optimum"] = f"select unnest([{names}]) as feature, true as at_optimum"
+    sql["tree_scores"] = training() + f""",
+tested as (select count(*) as n from training where not ({draw('split', SPLIT_SEED)} < 0.7::double))
+select model, part, if(part = 'scores', n, {len(FEATURE_NUMBERS)}) as n, if(part = 'scores', n, {len(FEATURE_NUMBERS)}) as n_equal
+from tested, (select unnest(['forest', 'boosted']) as model), (select unnest(['scores', 'importances']) as part)"""
+    bar = seen() + POPULARITY + "\nselect bar from bar"
+    sql["popularity_bar"] = sql["popularity_bar_approx"] = bar
+    sql["log_preview"] = LOG + ACT + """
+select * replace (cast(registration_date as varchar) as registration_date, cast(event_date as varchar) as event_date) from act
+order by md5(concat(coalesce(userId, ''), '|', coalesce(cast(time as varchar), ''), '|', coalesce(cast(itemInSession as varchar), ''))) limit 10"""
     sql["agent_onehot_fitted"] = sql["agent_onehot"]
     sql["agent_onehot_other"] = LOG + PARSED + """
 select userId, count(*) filter (agent = 'Chrome') as agent_Chrome, count(*) filter (agent <> 'Chrome') as agent_other

@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks.oracles import AGENTS, STATES
 from staypath.functions.columns import days_until, event_day
-from staypath.model import evaluate, fit, prepare, sampling
+from staypath.model import evaluate, fit, prepare, sampling, trees
+from staypath.model.optimum import loss_gradient
 from staypath.operators import explore, report
 from staypath.operators.activity import activity
+from staypath.operators.dictionary import dictionary, sparse_rows
 from staypath.plans import content, labels
 from staypath.plans.features import feature_table
-from staypath.plans.profile import list_one_hot, listed_values, static_features
+from staypath.plans.profile import LISTS, list_one_hot, listed_values, static_features
+from staypath.plans.state import DailyState, write_state
 from staypath.plans.training import training_set
 from staypath.plans.usage import usage_features
 from staypath.schema import (
@@ -24,6 +27,8 @@ from staypath.sources import star, tables
 
 # lengths in the driver's tables have two decimals
 CENTS = 2
+# days inside the driver's log: one to look back from, and one from which days are added to a state
+PAST, LATER = "2024-01-20", "2024-01-21"
 
 
 def _session(spark: SparkSession) -> None:
@@ -80,8 +85,68 @@ def _customer_ages(spark, d):
 
 
 def _post_cancel(spark, d):
-    columns = ["userId", "sessionId", "itemInSession", "time", "page", "level"]
-    return labels.post_cancel_events(_log(spark, d)).select(*columns)
+    return labels.post_cancel_events(_log(spark, d), ("userId", "sessionId", "itemInSession", "time", "page", "level"))
+
+
+def _state(spark, d):
+    path = _new_path(spark)
+    write_state(_log(spark, d), path, length_decimals=CENTS, profile_log=_full(spark, d))
+    return DailyState(spark, path)
+
+
+def _from_state(*days, **options):
+    return lambda spark, d: _state(spark, d).feature_table(*days, agents=AGENTS, **options)
+
+
+def _state_by_days(spark, d):
+    """The state of all but the last ten days first, then those days added to it."""
+    path, log, full = _new_path(spark), _log(spark, d), _full(spark, d)
+    cut = f"ts < unix_millis(timestamp'{LATER}')"
+    write_state(log.where(cut), path, length_decimals=CENTS, profile_log=full.where(cut))
+    write_state(log, path, first_day=LATER, length_decimals=CENTS, profile_log=full)
+    return DailyState(spark, path).feature_table(agents=AGENTS)
+
+
+def _dictionary(source):
+    def query(spark, d):
+        name = LISTS[source][0]
+        return dictionary(listed_values(_full(spark, d), source), name).withColumnsRenamed({name: "value", "n": "users"})
+    return query
+
+
+def _sparse(source):
+    """Positions and counts as text, which both engines write alike."""
+    def query(spark, d):
+        name, values = LISTS[source][0], tables.staged(listed_values(_full(spark, d), source))
+        rows = sparse_rows(values, name, dictionary(values, name))
+        return rows.selectExpr("userId", "size", "array_join(indices, ',') as positions", "array_join(transform(values, v -> int(v)), ',') as counts")
+    return query
+
+
+def _damaged_log(spark, d):
+    """The log as JSON lines of which some are cut off, some hold a text for a number, and some are no JSON."""
+    path = _new_path(spark)
+    line = "to_json(struct(*))"
+    damaged = f"""case itemInSession % 50
+        when 0 then left({line}, 40) when 1 then replace({line}, '"ts":', '"ts":"late",\"was\":') when 2 then 'no event' else {line} end"""
+    _full(spark, d).selectExpr(f"{damaged} as value").write.text(path)
+    return tables.read_checked_log(spark, path)
+
+
+def _reject_counts(spark, d):
+    events, rejects = _damaged_log(spark, d)
+    return rejects.groupBy("reason").agg(F.count("*").alias("n")).unionByName(events.agg(F.lit("event").alias("reason"), F.count("*").alias("n")))
+
+
+def _csv_one_file(spark, d):
+    path, features = _new_path(spark), _features(spark, d)
+    tables.write_features_csv(features, path, files=1)
+    return tables.read_features_csv(spark, path, features.schema)
+
+
+def _preview(spark, d):
+    events = _activity(spark, d)
+    return explore.preview(events, keys=("userId", "time", "itemInSession"))
 
 
 def _agent_onehot(spark, d):
@@ -155,18 +220,20 @@ def _scaled_train_test(spark, d):
     return both.groupBy("part", "label").agg(F.count("*").alias("n"))
 
 
+MULTIPLIERS = (3.0, 2.0, 1.5, 1.0)
+
+
 def _sampling_runs(estimator):
     """Three runs for each size of the minority class."""
     def query(spark, d):
-        data, _ = _data(spark, d)
-        runs = [
-            fit.sampling_runs(data, estimator(), size, 1, runs=3).withColumn("multiplier", F.lit(size))
-            for size in (3.0, 2.0, 1.5, 1.0)
-        ]
-        return reduce(DataFrame.unionByName, runs)
+        return fit.repeated_runs(_data(spark, d)[0], estimator(), MULTIPLIERS, 1, runs=3)
     return query
 
 
+def _sampling_run_sizes(spark, d):
+    return fit.run_sizes(*fit.drawn_runs(_data(spark, d)[0], MULTIPLIERS, 1, 3))
+
+
 def _grid(estimator, values):
     def query(spark, d):
         data, _ = _data(spark, d)
@@ -175,10 +242,60 @@ def _grid(estimator, values):
     return query
 
 
+def _searched(estimator, values):
+    """Grid search, then curves and importances of the best model."""
+    def query(spark, d):
+        data, names = _data(spark, d)
+        return fit.search_report(fit.tune(data, estimator(), fit.param_grid(estimator(), values), 3, 1), names)
+    return query
+
+
+def _final_runs(spark, d):
+    """Ten runs each of the chosen and of the default boosted trees."""
+    data, _ = _data(spark, d)
+    runs = {name: fit.sampling_runs(data, estimator, 3, 1, runs=10) for name, estimator in (("final", fit.gbt(**fit.GBT_FINAL)), ("default", fit.gbt()))}
+    final, default = (df.withColumn("model", F.lit(name)) for name, df in runs.items())
+    return final.unionByName(default)
+
+
+def _stored_rows(spark, d):
+    """The stored training set with its label as ``label``, and the names of its features."""
+    stored = tables.staged(_training(spark, d))
+    return stored.withColumnRenamed(LABEL, "label"), prepare.feature_names(stored)
+
+
+def _fitted_lr(spark, d):
+    stored, names = _stored_rows(spark, d)
+    train, _ = prepare.train_test(prepare.assemble(stored, "label"), 3, 1)
+    model = fit.logistic_regression(tol=1e-10, maxIter=1000).fit(train)
+    drawn = sampling.resample(sampling.split(stored, seed=prepare.SPLIT_SEED)[0], 3, 1)
+    return loss_gradient(model, drawn, names)
+
+
+def _lr_optimum(spark, d):
+    return _fitted_lr(spark, d).select("feature", (F.abs("gradient") < 1e-4).alias("at_optimum"))
+
+
+def _tree_scores(spark, d):
+    """Test rows that the node table of a model scores as the model does, and features it weighs alike."""
+    stored, names = _stored_rows(spark, d)
+    train, test = prepare.train_test(prepare.assemble(stored, "label"), 3, 1)
+    rows = []
+    for name, estimator in (("forest", fit.random_forest()), ("boosted", fit.gbt())):
+        model = estimator.fit(train)
+        boosted, nodes = name == "boosted", tables.staged(trees.tree_nodes(spark, model, names))
+        own = evaluate.churn_score(model.transform(test)).select("userId", F.col("score").alias("own"))
+        near = F.abs(F.col("own") - F.col("score")) < 1e-12
+        scores = trees.scored_by_nodes(stored, nodes, boosted).join(own, "userId").agg(F.count("*").alias("n"), F.count_if(near).alias("n_equal"))
+        known = evaluate.importance_table(spark, model, names).withColumnRenamed("score", "own")
+        alike = F.abs(F.col("own") - F.coalesce("score", F.lit(0.0))) < 1e-12
+        weights = known.join(trees.importances_of(nodes, boosted), "feature", "left").agg(F.count("*").alias("n"), F.count_if(alike).alias("n_equal"))
+        rows += [df.select(F.lit(name).alias("model"), F.lit(part).alias("part"), "n", "n_equal") for part, df in (("scores", scores), ("importances", weights))]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def _fit_lr(spark, d):
-    data, names = _data(spark, d)
-    train, _ = prepare.train_test(data, 3, 1)
-    return evaluate.importance_table(spark, fit.logistic_regression().fit(train), names)
+    return _fitted_lr(spark, d)
 
 
 def _feature_importance(spark, d):
@@ -232,13 +349,32 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "label_checks": lambda s, d: labels.label_checks(labels.churn_label(_log(s, d))),
         "feature_table": _features,
         "feature_table_window": lambda s, d: _features(s, d, 20, 7),
+        "feature_table_past": lambda s, d: _features(s, d, 10, as_of=PAST),
+        "feature_table_fitted": lambda s, d: feature_table(
+            _log(s, d), profile_log=_full(s, d), states=True, length_decimals=CENTS),
+        "activity_past": lambda s, d: activity(_log(s, d), 5, 1, as_of=PAST).select("userId", "time", "page", "days_before_today"),
+        "churn_label_past": lambda s, d: labels.churn_label(_log(s, d), 10, as_of=PAST),
+        "state_feature_table": _from_state(),
+        "state_feature_table_window": _from_state(20, 7),
+        "state_feature_table_past": _from_state(10, as_of=PAST),
+        "state_by_days": _state_by_days,
+        "agent_dictionary": _dictionary("userAgent"),
+        "state_dictionary": _dictionary("location"),
+        "agent_vectors": _sparse("userAgent"),
+        "state_vectors": _sparse("location"),
+        "log_rejects": _reject_counts,
+        "checked_log": lambda s, d: _damaged_log(s, d)[0],
+        "features_csv_one_file": _csv_one_file,
+        "sampling_run_sizes": _sampling_run_sizes,
+        "popularity_bar": lambda s, d: content.popularity_bar(content.song_popularity(activity(_log(s, d)))),
+        "popularity_bar_approx": lambda s, d: content.popularity_bar(content.song_popularity(activity(_log(s, d))), 1e-6),
         "feature_table_extended": lambda s, d: _features(
             s, d, states=STATES, max_artist_perc=True, active_day_share=True),
         "training_set": _training,
         "training_set_gap": lambda s, d: _training(s, d, feature_min_days=14, label_max_days=7),
         "null_audit": lambda s, d: explore.null_counts(_features(s, d), ["female", "customer_age"]),
         "null_age_users": lambda s, d: explore.rows_with_null(_features(s, d), "customer_age"),
-        "feature_histogram": lambda s, d: report.feature_histogram(tables.staged(_features(s, d))),
+        "feature_histogram": lambda s, d: report.feature_histogram(_features(s, d)),
         "null_columns": lambda s, d: report.columns_with_nulls(_features(s, d)),
         "threshold_shares": lambda s, d: report.threshold_shares(_features(s, d)),
         "label_balance": _label_balance,
@@ -252,13 +388,18 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "features_csv": _features_csv,
         "training_parquet": _training_parquet,
         "scaling": _scaling,
-        "log_preview": lambda s, d: explore.preview(activity(_full(s, d))),
+        "log_preview": _preview,
         "scaled_train_test": _scaled_train_test,
         "sampling_runs": _sampling_runs(fit.random_forest),
         "sampling_runs_gbt": _sampling_runs(fit.gbt),
         "sampling_runs_lr": _sampling_runs(fit.logistic_regression),
         "cv_gbt": _grid(fit.gbt, fit.GBT_GRID),
         "cv_rf": _grid(fit.random_forest, fit.FOREST_GRID),
+        "searched_gbt": _searched(fit.gbt, fit.GBT_GRID),
+        "searched_rf": _searched(fit.random_forest, fit.FOREST_GRID),
+        "final_runs": _final_runs,
+        "tree_scores": _tree_scores,
+        "lr_optimum": _lr_optimum,
         "fit_lr": _fit_lr,
         "model_curve": _model_curve,
         "feature_importance": _feature_importance,
