@@ -43,7 +43,7 @@ def test_node_table_scores_and_weighs_like_its_model(spark, rows, data, boosted)
     assert [weights.get(n, 0.0) for n in NAMES] == pytest.approx(list(model.featureImportances.toArray()), abs=1e-12)
     node_table = nodes.toPandas()  # noqa: F841
     shares = "sum(gain * rows) / sum(sum(gain * rows)) over (partition by tree)" if not boosted else "sum(gain * rows)"
-    sql = f"select feature, sum(g) / sum(sum(g)) over () from (select tree, feature, {shares} as g from node_table where feature is not null group by all) group by 1"
+    sql = f"select feature, sum(g) / sum(sum(g)) over () from (select tree, feature, {shares} as g from node_table where feature is not null group by tree, feature) group by feature"
     assert dict(duckdb.sql(sql).fetchall()) == pytest.approx(weights, abs=1e-12)
 
 
