@@ -15,7 +15,9 @@ takes the l with the least estimated cost.
    and in another component, that it shares most prefix tokens with.
 5. Rest: pairs that meet under enough prefix tokens of step 3's order, and are not in one component yet, are compared.
    A pair that meets under frequent tokens only shares no rare one, as those come first in both prefixes; so at most
-   the smaller number of frequent tokens is common, which rules out most pairs of a group with edits of their own.
+   the smaller number of frequent tokens is common. And each class carries a bit table of the tokens it shares with
+   others: every bit that one table has and the other lacks is a token that is not common. Both bounds are part of the
+   join, so most pairs of a group with edits of their own are never made.
 So copies are never expanded into all pairs, and every link between different components is found.
 """
 
@@ -38,6 +40,8 @@ VERIFY_COST = 8
 STARS, ROUNDS = 4, 1
 #: tokens of at most so many classes are rare; the pairs under them grow with the number of entries
 RARE = 8
+#: 64-bit words of a class's bit table; sets of many more tokens fill it, and then it rules nothing out
+BITS = 16
 #: a fixed second scatter of tokens, the random order of step 2
 ORDER = 0x5851F42D4C957F2D
 
@@ -86,7 +90,7 @@ SHARED = pa.schema([("part", pa.int32()), ("keys", pa.binary()), ("owners", pa.b
 SHARED_DDL = "part int, keys binary, owners binary, counts binary"
 
 
-def _met(keys, owners, ranges):
+def _blocks_met(keys, owners, ranges):
     """Blocks of (token, owner); owner 0 stands for two or more, which are then counted here."""
     order = np.lexsort((owners, keys))
     keys, owners = keys[order], owners[order]
@@ -120,10 +124,10 @@ def _prefixes(size, percent, ranges):
                         owners.append(np.full(len(keys[-1]), class_of(tokens), dtype=np.uint64))
                         held += len(keys[-1])
                 if held >= HELD:
-                    yield _met(np.concatenate(keys), np.concatenate(owners), ranges)
+                    yield _blocks_met(np.concatenate(keys), np.concatenate(owners), ranges)
                     keys, owners, held = [], [], 0
         if held:
-            yield _met(np.concatenate(keys), np.concatenate(owners), ranges)
+            yield _blocks_met(np.concatenate(keys), np.concatenate(owners), ranges)
     return run
 
 
@@ -220,8 +224,16 @@ def choose_l(n: int, df: np.ndarray, percent: int) -> int:
 
 
 INDEX = pa.schema([("token", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("shared", pa.int64()), ("common", pa.int64()),
-                   ("l", pa.int32()), ("inner", pa.bool_()), ("rare", pa.bool_())])
-INDEX_DDL = "token bigint, cls bigint, n bigint, shared bigint, common bigint, l int, inner boolean, rare boolean"
+                   ("l", pa.int32()), ("inner", pa.bool_()), ("rare", pa.bool_()), ("bits", pa.list_(pa.int64()))])
+INDEX_DDL = "token bigint, cls bigint, n bigint, shared bigint, common bigint, l int, inner boolean, rare boolean, bits array<bigint>"
+
+
+def bit_table(tokens: np.ndarray) -> np.ndarray:
+    """A bit for the hash of each token."""
+    at = (mix(tokens.view(np.uint64)) >> np.uint64(32)).astype(np.int64) % (64 * BITS)
+    out = np.zeros(64 * BITS, dtype=np.uint8)
+    out[at] = 1
+    return np.packbits(out, bitorder="little").view("<i8")
 
 
 def _index(percent):
@@ -231,7 +243,7 @@ def _index(percent):
     """
     def run(batches):
         for batch in batches:
-            out = [[] for _ in INDEX]
+            out, bits = [[] for _ in INDEX.names[:-1]], []
             for cls, n, pairs in zip(batch.column("cls").to_pylist(), batch.column("n").to_pylist(), batch.column("pairs")):
                 df, token = (pairs.values.field(f).to_numpy() for f in ("df", "token"))
                 order = np.lexsort((token, df))
@@ -247,8 +259,11 @@ def _index(percent):
                 made = np.r_[heads, token[:keep]], same(cls), same(n), same(len(df)), same(int((df > RARE).sum())), each, inner, rare
                 for column, values in zip(out, made):
                     column.append(values)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(c) if c else [], f.type) for c, f in zip(out, INDEX)], schema=INDEX)
+                # only entries of frequent tokens are met by way of the table
+                own = bit_table(token)
+                bits += [None if r or not e else own for r, e in zip(rare.tolist(), each.tolist())]
+            columns = [pa.array(np.concatenate(c) if c else [], f.type) for c, f in zip(out, INDEX)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(bits, INDEX.field("bits").type)], schema=INDEX)
     return run
 
 
@@ -259,6 +274,16 @@ def _possible(percent: int, known: str = "shared") -> F.Column:
             & (100 * both >= percent * (F.col("n_a") + F.col("n_b") - both)))
 
 
+def _bits_allow(percent: int) -> F.Column:
+    """Whether the bit tables allow a link: tokens of a whose bit b lacks are not in b, and the other way round."""
+    def side(x, y):
+        # as a function of arrays it is not unrolled into the join's generated code, which stays small enough to be compiled
+        lacking = f"aggregate(zip_with(bits_{x}, bits_{y}, (i, j) -> bit_count(i & ~j)), 0, (s, c) -> s + c)"
+        return F.expr(f"{100 + percent} * (shared_{x} - {lacking}) >= {percent} * (n_a + n_b)")
+
+    return side("a", "b") & side("b", "a")
+
+
 def _verified(percent):
     def run(batches):
         for batch in batches:
@@ -288,8 +313,12 @@ def _candidates(met: DataFrame, percent: int) -> DataFrame:
     return met.groupBy("a", "b").agg(F.count("*").alias("hits"), F.max(least).alias("least")).where("hits >= least")
 
 
-def grouped(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, text_hash, n_shingles, group`` of ``documents`` rows; rows without words have no group."""
+def _side(rows: DataFrame, k: str) -> DataFrame:
+    return rows.withColumnsRenamed({"cls": k, **{c: f"{c}_{k}" for c in ("n", "shared", "common", "l", "inner", "rare", "component", "bits")}})
+
+
+def _indexed(docs: DataFrame, size: int, percent: int):
+    """Stored tables of steps 1 to 3: the class of each row, the sets of the classes left, and their index entries."""
     spark = docs.sparkSession
     ddl = "doc_id bigint, text_hash bigint, n_shingles bigint, cls bigint"
     classes = staged(docs.mapInArrow(_classes(size), ddl))
@@ -304,13 +333,40 @@ def grouped(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFr
     ordered = tokens.groupBy("cls", "n").agg(F.collect_set(F.struct("df", "token")).alias("pairs"))
     entries = staged(ordered.mapInArrow(_index(percent), INDEX_DDL))
     forget(spark)
-    side = lambda rows, k: rows.withColumnsRenamed({"cls": k, **{c: f"{c}_{k}" for c in ("n", "shared", "common", "l", "inner", "rare", "component")}})
-    heads, index = entries.where("l = 0").drop("l", "inner", "rare"), entries.where("l > 0")
+    return classes, sets, entries
+
+
+def _met(entries: DataFrame, apart: F.Column, percent: int) -> DataFrame:
+    """Pairs a and the smaller b that meet under tokens of their prefixes and that no bound rules out."""
+    smaller = F.struct("n_b", "b") < F.struct("n_a", "a")
+    meet = lambda rows: _side(rows, "a").join(_side(rows.where("inner"), "b"), "token").where(apart & smaller)
+    by_rare = meet(entries.where("rare")).where(_possible(percent)).select("a", "b")
+    by_frequent = meet(entries.where("not rare")).where(_possible(percent, "common") & _bits_allow(percent))
+    return by_rare.unionByName(_candidates(by_frequent, percent).select("a", "b")).distinct()
+
+
+def class_links(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """Members ``doc_id, text_hash, n_shingles, cls, n_links``, and all links ``a, b`` between classes of equal sets.
+
+    Equal sets are one class, so copies are never paired; ``n_links`` counts the other classes a row's class is linked
+    with. The links are as many as there are pairs of similar different texts.
+    """
+    classes, sets, entries = _indexed(documents(docs), size, percent)
+    links = _links(_met(entries.where("l > 0"), F.lit(True), percent), sets, percent)
+    ends = links.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count("*").alias("n_links"))
+    members = classes.join(ends, "cls", "left").select("doc_id", "text_hash", "n_shingles", "cls", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return members, links
+
+
+def grouped(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """``doc_id, text_hash, n_shingles, group`` of ``documents`` rows; rows without words have no group."""
+    classes, sets, entries = _indexed(docs, size, percent)
+    heads, index = entries.where("l = 0").drop("l", "inner", "rare", "bits"), entries.where("l > 0")
     # the centre of a group of copies has the fewest tokens of its own
     own = (F.col("n") - F.col("shared")) / F.col("n")
     hub = heads.groupBy("token").agg(F.min(F.struct(own.alias("own"), "cls", "n", "shared")).alias("hub"), F.count("*").alias("held"))
     hubs = hub.where("held > 1").select("token", "hub.cls", "hub.n", "hub.shared")
-    met = side(heads, "a").join(side(hubs, "b"), "token").where((F.col("a") != F.col("b")) & _possible(percent))
+    met = _side(heads, "a").join(_side(hubs, "b"), "token").where((F.col("a") != F.col("b")) & _possible(percent))
     stars = _links(met.select("a", "b").distinct(), sets, percent)
     group = components(stars)
     links, tested = [stars], []
@@ -318,7 +374,7 @@ def grouped(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFr
         known = index.join(group.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
         hub = known.groupBy("token").agg(F.min(F.struct(own.alias("own"), "cls", "n", "shared", "component")).alias("hub"))
         hubs = hub.select("token", "hub.cls", "hub.n", "hub.shared", "hub.component")
-        met = side(known, "a").join(side(hubs, "b"), "token").where((F.col("component_a") != F.col("component_b")) & _possible(percent))
+        met = _side(known, "a").join(_side(hubs, "b"), "token").where((F.col("component_a") != F.col("component_b")) & _possible(percent))
         hits = met.groupBy("a", "b").agg(F.count("*").alias("hits"))
         if tested:
             hits = hits.join(reduce(DataFrame.unionByName, tested), ["a", "b"], "left_anti")
@@ -328,12 +384,7 @@ def grouped(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFr
     known = staged(index.join(group.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls")))
     mixed = known.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
     open_rows = known.join(mixed, "token")
-    smaller = F.struct("n_b", "b") < F.struct("n_a", "a")
-    apart = (F.col("component_a") != F.col("component_b")) & smaller
-    meet = lambda rows: side(rows, "a").join(side(rows.where("inner"), "b"), "token").where(apart)
-    by_rare = meet(open_rows.where("rare")).where(_possible(percent)).select("a", "b")
-    by_frequent = _candidates(meet(open_rows.where("not rare")).where(_possible(percent, "common")), percent).select("a", "b")
-    links.append(_links(by_rare.unionByName(by_frequent).distinct(), sets, percent))
+    links.append(_links(_met(open_rows, F.col("component_a") != F.col("component_b"), percent), sets, percent))
     final = components(reduce(DataFrame.unionByName, links)).withColumnRenamed("node", "cls")
     return classes.join(final, "cls", "left").select("doc_id", "text_hash", "n_shingles", F.coalesce("component", "cls").alias("group"))
 
