@@ -115,7 +115,8 @@ def chunk_keys(data: np.ndarray, starts: np.ndarray, piece: int = PIECE):
     for _, offset, part, begins in pieces([(0, data, starts)], piece):
         window, place, grams = anchors(part, begins)
         spots = np.unique(place[runs(window, place)[0]])
-        found.append((offset + spots, grams[spots]))
+        # an anchor is a least hash; scattered once more, keys fill all ranges evenly
+        found.append((offset + spots, mix(grams[spots])))
     spots, keys = map(np.concatenate, zip(*found)) if found else (np.empty(0, np.int64), np.empty(0, np.uint64))
     if len(found) > 1:
         # windows on both sides of a border can share an anchor
@@ -208,7 +209,7 @@ def _strings(ranges, piece):
                     lo, hi = runs(window, place)
                     if not len(lo):
                         continue
-                    key = grams[place[lo]]
+                    key = mix(grams[place[lo]])
                     at = np.minimum(np.searchsorted(known, key), len(known) - 1)
                     take = np.flatnonzero(known[at] == key)
                     raw = data.tobytes()
