@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from staypath.llm.exchange import HELD, merge_counts, parts, range_starts
+from staypath.llm.exchange import merge_counts, parts, range_starts
 from staypath.llm.frames import staged
 from staypath.llm.spans import gathered, separators, word_spans
 from staypath.llm.words import BASE, Counts, Table, chunks, mix
@@ -28,6 +28,8 @@ LEAST, LONGEST, TOP, COVERED = 30, 4, 2000, 80
 ENDS, BLANKS = b".,;:!?\n\v\f\r", b" \t"
 #: bits of a table that answers whether a phrase may be frequent (16 MB), and slices in which it is made
 BITS, SLICES = 27, 8
+#: words or phrases that a task holds before it sends them
+HELD = 1_000_000
 #: candidates of one trie
 TRIE = 1 << 21
 NO_LANG = "und"
@@ -281,81 +283,108 @@ def _candidates(least):
 
 
 class Trie:
-    """Double array over the words of some phrases: ``base[state] + word`` is the next state if its ``check`` is the state.
+    """Double array over the words of some phrases: ``base[state] + digit`` is the next state if its ``check`` is the state.
 
-    Words are numbered from 1; state 0 is the root, whose children are the words themselves. Every beginning of two words or
-    more of a phrase has to be a phrase, so each state but those of single words accepts.
+    Words are numbered from 1. State 0 is the root, whose children are the words themselves; from there on a word is two
+    steps, by its number's two digits to the base ``radix``, so that no state has many children and the array stays dense.
+    Every beginning of two words or more of a phrase has to be a phrase.
     """
 
     def __init__(self, phrases: list[np.ndarray], seed: int = 7):
         """``phrases``: per number of words, from 2 on, an array with a row per phrase."""
-        words = np.unique(np.concatenate([p.reshape(-1) for p in phrases])) if phrases else np.empty(0, dtype=np.uint64)
-        self.table = Table(words)
-        self.size = len(words) + 1
-        self.base = np.full(self.size, -1, dtype=np.int64)
-        self.check = np.full(self.size, -1, dtype=np.int64)
-        self.check[1:] = 0
+        words = np.unique(np.concatenate([p.reshape(-1) for p in phrases]))
+        self.words = words
+        self.radix = int(np.sqrt(len(words))) + 1
+        self.base = np.full(len(words) + 1, -1, dtype=np.int64)
+        self.check = np.zeros(len(words) + 1, dtype=np.int64)
+        self.check[0] = -1
+        self.free = np.zeros(len(words) + 1, dtype=bool)
         self.states = []
-        rng = np.random.default_rng(seed)
+        self.random = np.random.default_rng(seed)
         for level, rows in enumerate(phrases):
             ids = np.searchsorted(words, rows) + 1
-            parent = ids[:, 0]
+            state = ids[:, 0]
             for k in range(1, level + 1):
-                parent = self.base[parent] + ids[:, k]
-            self.states.append(self._place(parent, ids[:, -1], rng))
-
-    def _place(self, parent, word, rng):
-        """States of new children; each parent gets a base at which the slots of all its words are free."""
-        order = np.lexsort((word, parent))
-        p, w = parent[order], word[order]
+                state = self.base[self.base[state] + ids[:, k] // self.radix] + ids[:, k] % self.radix
+            self.states.append(self._place(self._place(state, ids[:, -1] // self.radix), ids[:, -1] % self.radix))
+
+    def _grow(self, n):
+        self.free = np.concatenate([self.free, np.ones(n, dtype=bool)])
+        self.base = np.concatenate([self.base, np.full(n, -1, dtype=np.int64)])
+        self.check = np.concatenate([self.check, np.full(n, -1, dtype=np.int64)])
+
+    def _take(self, parent, base, child, digit):
+        """Bases of parents, and the slots of their children."""
+        self.base[parent] = base
+        slot = self.base[child] + digit
+        self.free[slot] = False
+        self.check[slot] = child
+
+    def _place(self, parent, digit):
+        """States of new children; each parent gets a base at which the slots of all its digits are free."""
+        key = np.unique(parent * self.radix + digit)
+        p, d = key // self.radix, key % self.radix
         first = np.flatnonzero(np.r_[True, p[1:] != p[:-1]]) if len(p) else np.empty(0, dtype=np.int64)
         size = np.diff(np.append(first, len(p)))
-        most = int(word.max()) if len(word) else 0
-        free = self.check < 0
-        free[0] = False
-
-        def grow(n):
-            nonlocal free
-            free = np.concatenate([free, np.ones(n, dtype=bool)])
-            self.base = np.concatenate([self.base, np.full(n, -1, dtype=np.int64)])
-            self.check = np.concatenate([self.check, np.full(n, -1, dtype=np.int64)])
-
-        many = np.flatnonzero(size > 1)
-        for g in many[np.argsort(-size[many], kind="stable")].tolist():
-            own = w[first[g]:first[g] + size[g]]
-            tries, base = 0, None
+        # the largest one by one, near the end of the array
+        large = np.flatnonzero(size >= 8)
+        for g in large[np.argsort(-size[large], kind="stable")].tolist():
+            own = d[first[g]:first[g] + size[g]]
+            base = None
             while base is None:
-                span = len(free) - most
-                if span > 0:
-                    bases = rng.integers(0, span, max(8, min(256, 65536 // len(own))))
-                    fits = np.flatnonzero(free[bases[:, None] + own].all(axis=1))
+                low, high = max(0, len(self.free) - 12 * self.radix), len(self.free) - self.radix
+                if high > low:
+                    bases = self.random.integers(low, high, 256)
+                    fits = np.flatnonzero(self.free[bases[:, None] + own].all(axis=1))
                     base = int(bases[fits[0]]) if len(fits) else None
-                    tries += 1
-                if base is None and (span <= 0 or tries >= 8):
-                    grow(max(most, len(free) // 2))
-                    tries = 0
-            free[base + own] = False
-            self.check[base + own] = p[first[g]]
-            self.base[p[first[g]]] = base
-        # single children take what is left; their bases may be anywhere
+                if base is None:
+                    self._grow(4 * self.radix)
+            self._take(p[first[g]], base, p[first[g]], own)
+        # small ones all at once: bases are drawn, and kept where nothing else lies or is drawn
+        small = np.flatnonzero((size > 1) & (size < 8))
+        self._grow(max(0, 3 * int(size[small].sum()) + 2 * self.radix - int(self.free.sum())))
+        claims = np.full(len(self.free), -1, dtype=np.int64)
+        while len(small):
+            row = np.repeat(np.arange(len(small)), size[small])
+            at = np.repeat(first[small] - (np.cumsum(size[small]) - size[small]), size[small]) + np.arange(len(row))
+            begin = np.cumsum(size[small]) - size[small]
+            base = self.random.integers(0, len(self.free) - self.radix, len(small))
+            slot = base[row] + d[at]
+            fits = np.logical_and.reduceat(self.free[slot], begin)
+            some = fits[row]
+            claims[slot[some]] = row[some]
+            fits &= np.logical_and.reduceat(claims[slot] == row, begin)
+            claims[slot[some]] = -1
+            some = fits[row]
+            self._take(p[first[small[fits]]], base[fits], p[at[some]], d[at[some]])
+            small = small[~fits]
+        # single children take what is left
         one = first[size == 1]
-        slots = np.flatnonzero(free)
-        slots = slots[slots > most]
+        slots = np.flatnonzero(self.free)
+        slots = slots[slots >= self.radix]
         if len(slots) < len(one):
-            low = max(len(free), most + 1)
-            grow(low - len(free) + len(one))
-            slots = np.concatenate([slots, np.arange(low, len(free))])
+            n = len(self.free)
+            self._grow(self.radix + len(one))
+            slots = np.concatenate([slots, np.arange(max(n, self.radix), len(self.free))])
         slots = slots[:len(one)]
-        self.check[slots] = p[one]
-        self.base[p[one]] = slots - w[one]
-        self.size = len(self.check)
-        return self.base[parent] + word
+        self._take(p[one], slots - d[one], p[one], d[one])
+        return self.base[parent] + digit
 
     def frozen(self, keys: list[np.ndarray]):
-        """What tasks need: word table, base, check, and the phrases' keys by state."""
+        """What tasks need: words, radix, base, check, and the phrases' keys by state."""
         state, key = np.concatenate(self.states), np.concatenate(keys)
         order = np.argsort(state)
-        return self.table.keys, self.base.astype(np.int32), self.check.astype(np.int32), state[order].astype(np.int32), key[order]
+        return self.words, self.radix, self.base.astype(np.int32), self.check.astype(np.int32), state[order].astype(np.int32), key[order]
+
+
+def stepped(base, check, state, digit):
+    """Next states, and a mask of those that there are."""
+    step = base[state].astype(np.int64)
+    go = step >= 0
+    step += digit
+    go &= step < len(check)
+    go[go] = check[step[go]] == state[go]
+    return step, go
 
 
 COUNTS_DDL = "part int, states binary, counts binary"
@@ -365,7 +394,7 @@ COUNTS = pa.schema([("part", pa.int32()), ("states", pa.binary()), ("counts", pa
 def _walked(shared, longest, ranges):
     """Counts of the accepting states that the positions of a task's texts come to."""
     def run(batches):
-        words, base, check, _, _ = shared.value
+        words, radix, base, check, _, _ = shared.value
         reader, table = Reader(), Table(words)
         counts = np.zeros(len(check), dtype=np.int64)
         for batch in batches:
@@ -374,10 +403,11 @@ def _walked(shared, longest, ranges):
                 at = np.flatnonzero((ids > 0) & joined)
                 state = ids[at]
                 for k in range(1, longest):
-                    step = base[state].astype(np.int64) + ids[at + k]
-                    go = (base[state] >= 0) & (ids[at + k] > 0) & (step < len(check))
-                    go[go] = check[step[go]] == state[go]
-                    at, state = at[go], step[go]
+                    go = ids[at + k] > 0
+                    at, state = at[go], state[go]
+                    for digit in (ids // radix, ids % radix):
+                        step, go = stepped(base, check, state, digit[at + k])
+                        at, state = at[go], step[go]
                     counts += np.bincount(state, minlength=len(check))
                     go = joined[at + k]
                     at, state = at[go], state[go]
@@ -398,7 +428,7 @@ def _summed(shared):
         own, at = np.unique(states, return_inverse=True)
         total = np.zeros(len(own), dtype=np.int64)
         np.add.at(total, at, counts)
-        _, _, _, state, key = shared.value
+        _, _, _, _, state, key = shared.value
         return pa.table({"key": pa.array(key[np.searchsorted(state, own)].view(np.int64)), "f": pa.array(total)})
     return run
 

@@ -72,16 +72,18 @@ def test_double_array_knows_its_phrases_only(words, many):
     pairs = np.unique(np.minimum(rng.zipf(1.3, (many, 2)), words) - 1, axis=0)
     triples = np.unique(np.concatenate([pairs[rng.integers(0, len(pairs), many)], rng.integers(0, words, (many, 1))], axis=1), axis=0)
     trie = phrases.Trie([ids[pairs], ids[triples]])
-    table, base, check, state, _ = trie.frozen([np.arange(len(pairs)), np.arange(len(triples))])
+    table, radix, base, check, state, _ = trie.frozen([np.arange(len(pairs)), np.arange(len(triples))])
     numbers = {int(w): i + 1 for i, w in enumerate(table)}
     states = [s for level in trie.states for s in level.tolist()]
     assert len(set(states)) == len(pairs) + len(triples) == len(state)
+    assert len(check) < words + 12 * (len(pairs) + len(triples)) + 100 * radix
 
     def walk(phrase):
         at = numbers.get(int(ids[phrase[0]]), 0)
         for w in phrase[1:]:
             w = numbers.get(int(ids[w]), 0)
-            at = base[at] + w if at and w and base[at] >= 0 and base[at] + w < len(check) and check[base[at] + w] == at else 0
+            for digit in (w // radix, w % radix):
+                at = base[at] + digit if at and w and base[at] >= 0 and base[at] + digit < len(check) and check[base[at] + digit] == at else 0
         return at
     known = {tuple(p) for p in pairs.tolist()}
     for p, s in zip(pairs.tolist(), trie.states[0].tolist()):
