@@ -267,7 +267,7 @@ def _stored_rows(spark, d):
 def _fitted_lr(spark, d):
     stored, names = _stored_rows(spark, d)
     train, _ = prepare.train_test(prepare.assemble(stored, "label"), 3, 1)
-    model = fit.logistic_regression(tol=1e-10, maxIter=1000).fit(train)
+    model = fit.logistic_regression(tol=1e-10, maxIter=300).fit(train)
     drawn = sampling.resample(sampling.split(stored, seed=prepare.SPLIT_SEED)[0], 3, 1)
     return loss_gradient(model, drawn, names)
 
