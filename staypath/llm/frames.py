@@ -1,15 +1,17 @@
 """Small DataFrame helpers that several corpus operators share."""
 
 import gc
+import pickle
 import uuid
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from staypath.sources.tables import staged
 
-__all__ = ["documents", "merged", "packed", "read", "session", "staged", "unpacked"]
+__all__ = ["documents", "merged", "packed", "read", "received", "session", "shipped", "staged", "unpacked"]
 
 
 def session(spark: SparkSession) -> SparkSession:
@@ -60,8 +62,8 @@ def _pack(batches):
 
 def packed(docs: DataFrame) -> DataFrame:
     """Texts squeezed to bytes, for frames that are about to be shuffled."""
-    fields = ", ".join(f"`{f.name}` {'binary' if f.name == 'text' else f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(_pack, fields)
+    fields = [T.StructField(f.name, T.BinaryType()) if f.name == "text" else f for f in docs.schema]
+    return docs.mapInArrow(_pack, T.StructType(fields))
 
 
 def unpacked(column: pa.Array) -> pa.Array:
@@ -70,6 +72,16 @@ def unpacked(column: pa.Array) -> pa.Array:
     return pa.array([None if t is None else expand(t) for t in column.to_pylist()], pa.binary())
 
 
+def shipped(spark: SparkSession, value):
+    """Broadcast of an object of this package, pickled by value, so that executors need not have the package."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(shared):
+    """Inside a task: the object that :func:`shipped` sent."""
+    return pickle.loads(shared.value)
+
+
 def forget(spark: SparkSession) -> None:
     """Let the session drop shuffle files of finished steps, which go when their plans are collected."""
     gc.collect()

@@ -1,34 +1,48 @@
 """Language model scoring with a probabilistic suffix tree over words.
 
-States are contexts of up to ``depth`` words that make up at least ``LEAST`` of the training tokens; so each level
-has at most 1 / LEAST of them, however large the corpus, and the tree can be sent to every task. A state stays in
-the tree if its next-word distribution diverges enough from that of its suffix, or a longer state that does ends
-in it. Distributions are smoothed by absolute discounting towards the suffix state's; the root has
-(c + 0.1) / (N + 0.1 * (V + 1)) for every word, seen or not. A word is scored in the longest suffix of what comes
-before it that is a state.
-
-Counts cover all training text. They are summed in tasks, travel as packed blocks and are merged by range. Rare
-words are not in the tree: their (document, word) pairs meet in the range of the word, which knows its count.
+Contexts are sequences of up to ``depth`` words, and with each of them the words that follow it, that the training text holds
+``least`` times or more; that number is the same for a corpus of any size. A context is a state of the tree if its next-word
+distribution diverges enough from that of its suffix, or a longer state ends in it. Distributions are smoothed by absolute
+discounting towards the suffix's; the root has (c + 0.1) / (N + 0.1 * (V + 1)) for every word, seen or not. A word is scored
+in the longest suffix of what comes before it that is a state.
+
+1. Words, then sequences of 2 to ``depth`` + 1 words are counted over all training text: summed in tasks, sent as packed
+   blocks and merged by key range. A longer sequence is only looked at where its two shorter ones may be frequent, which bit
+   tables of fixed size answer; they never deny one that is.
+2. Contexts are dealt by their last word, so a context, its suffixes and what follows them meet in one part, where
+   divergences are tested and distributions smoothed. Only states and their next words are stored.
+3. States are sent to the tasks in groups of bounded size; the text is read once for each group, and what a group adds to
+   the score of a text is summed up. The root's part needs no group: words that make up 2^-20 of all tokens are sent along,
+   and all others meet their (document, word) pairs in the range of the word.
 """
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from staypath.llm.exchange import BLOCK_DDL, HELD, blocks, merge_counts, parts, range_starts
-from staypath.llm.frames import documents, forget, staged
-from staypath.llm.words import Counts, Table, chunks, mix, unmix, word_hashes
+from staypath.llm.frames import documents, forget, received, shipped, staged
+from staypath.llm.phrases import Grams, bit_table, longer, may_hold, phrase_keys
+from staypath.llm.words import Counts, Table, chunks, mix, word_hashes
 
-LEAST = 2.0 ** -20
+#: occurrences of a context, and of a word after it, that are enough
+LEAST = 8
 DEPTH = 3
 DISCOUNT = 0.5
 #: bits of code length that a state has to save over its suffix
 DIVERGENCE = 32.0
 ADDED = 0.1
 END = np.uint64(0x0E17D0000000001)
-ID_BITS = 20
+#: share of the tokens above which a word's root probability is sent to the tasks; other words are looked up by shuffle
+SENT = 2.0 ** -20
+#: next words of states that are sent to the tasks at once, and that are fitted in one part
+GROUP, PART = 1 << 21, 1 << 17
+#: sequences that a task holds before it sends them
+HELD_SEQUENCES = 1_000_000
 
 
 def tokens(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -43,37 +57,21 @@ def tokens(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 @dataclass
-class Tree:
-    """Frequent words and word sequences level by level; a sequence is (id of all but its last word) and last word."""
+class Words:
+    """Frequent words with the root's log10 probabilities."""
 
     words: np.ndarray
-    keys: list[np.ndarray]
+    chance: np.ndarray
     total: int
     distinct: int
 
     def __post_init__(self):
-        self.index = [Table(self.words), *[Table(mix(k.view(np.uint64))) for k in self.keys]]
+        self.index = Table(self.words)
 
     @property
     def space(self) -> float:
         return self.total + ADDED * (self.distinct + 1)
 
-    def ids(self, found: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
-        """Per level, the id of the sequence that ends at each token, -1 where it is not held or would leave its text."""
-        out = [self.index[0].find(found)]
-        begins = np.zeros(len(found), dtype=bool)
-        begins[at[:-1]] = True
-        for level in range(1, len(self.keys) + 1):
-            before = np.empty_like(out[-1])
-            before[:1], before[1:] = -1, out[-1][:-1]
-            before[begins] = -1
-            some = np.flatnonzero((before >= 0) & (out[0] >= 0))
-            key = before[some].astype(np.int64) << ID_BITS | out[0][some]
-            made = np.full(len(found), -1, dtype=np.int32)
-            made[some] = self.index[level].find(mix(key.view(np.uint64)))
-            out.append(made)
-        return out
-
 
 def _word_counts(ranges):
     def run(batches):
@@ -103,131 +101,204 @@ def _frequent(least):
     return run
 
 
-def _sequence_counts(shared, ranges):
-    """Counts of sequences one word longer than the tree has: those whose two shorter ones are in it."""
+SEQUENCES = pa.schema([("part", pa.int32()), ("words", pa.binary()), ("counts", pa.binary())])
+
+
+def _sequence_blocks(size, shared, ranges):
+    """Counts of the sequences of ``size`` tokens whose two shorter ones may be frequent."""
+    def block(grams):
+        keys, words, n = grams.total()
+        at = range_starts(keys, ranges)
+        used = np.flatnonzero(np.diff(at))
+        return pa.RecordBatch.from_arrays([
+            pa.array(used, pa.int32()), pa.array([words[at[i]:at[i + 1]].tobytes() for i in used], pa.binary()),
+            pa.array([n[at[i]:at[i + 1]].astype("<i8").tobytes() for i in used], pa.binary())], schema=SEQUENCES)
+
     def run(batches):
-        tree: Tree = shared.value
-        counts = Counts()
+        bits, grams = shared.value, Grams(size)
         for batch in batches:
             for _, data, starts in chunks(batch.column("text")):
                 found, at = tokens(data, starts)
-                ids = tree.ids(found, at)
-                top = ids[-1]
-                begins = np.zeros(len(found), dtype=bool)
-                begins[at[:-1]] = True
-                here = np.flatnonzero((top[1:] >= 0) & (top[:-1] >= 0) & ~begins[1:]) + 1
-                keys = top[here - 1].astype(np.int64) << ID_BITS | ids[0][here]
-                counts.add(mix(keys.view(np.uint64)))
-        keys, n = counts.total()
-        if len(keys):
-            yield blocks(keys, n, ranges)
+                if len(found) < size:
+                    continue
+                shorter = found
+                for k in range(1, size - 1):
+                    shorter = longer(shorter[:len(found) - k], found[k:])
+                good = may_hold(bits, shorter)
+                text = np.repeat(np.arange(len(at) - 1), np.diff(at))
+                here = np.flatnonzero(good[:-1] & good[1:] & (text[:len(found) - size + 1] == text[size - 1:]))
+                grams.add(found[here[:, None] + np.arange(size)])
+            if grams.known + grams.waiting >= HELD_SEQUENCES:
+                yield block(grams)
+                grams = Grams(size)
+        if grams.known + grams.waiting:
+            yield block(grams)
     return run
 
 
-def _at_least(least):
+SEQUENCE_DDL = "key bigint, words array<bigint>, n bigint"
+
+
+def _sequences(size, least):
     def run(table):
-        keys, n = merge_counts(table)
+        grams = Grams(size)
+        grams.words = [np.frombuffer(w, np.uint64).reshape(-1, size) for w in table.column("words").to_pylist()]
+        grams.counts = [np.frombuffer(c, "<i8") for c in table.column("counts").to_pylist()]
+        keys, words, n = grams.total()
         kept = n >= least
-        return pa.table({"key": unmix(keys[kept]).view(np.int64), "n": n[kept]})
+        words = words[kept].view(np.int64)
+        return pa.table({"key": pa.array(keys[kept].view(np.int64)), "words": pa.ListArray.from_arrays(
+            pa.array(np.arange(len(words) + 1) * size, pa.int32()), pa.array(words.reshape(-1))), "n": pa.array(n[kept])})
     return run
 
 
-def _collected(frame: DataFrame):
-    """Keys and counts of at most 1 / LEAST rows."""
-    table = frame.toArrow()
-    key, n = table.column("key").to_numpy(), table.column("n").to_numpy()
-    order = np.argsort(key)
-    return key[order], n[order]
+@dataclass
+class Level:
+    """States of one length and what follows them: keys, log10 weights of what is left to the suffix, and log10 gains over the root."""
 
+    states: np.ndarray = field(default_factory=lambda: np.empty(0, dtype=np.uint64))
+    rest: np.ndarray = field(default_factory=lambda: np.empty(0))
+    entries: np.ndarray = field(default_factory=lambda: np.empty(0, dtype=np.uint64))
+    gain: np.ndarray = field(default_factory=lambda: np.empty(0))
 
-@dataclass
-class Model:
-    """A tree with, per level, log10 probabilities of its sequences' last words and log10 weights of what is left to the suffix."""
-
-    tree: Tree
-    chance: list[np.ndarray]
-    rest: list[np.ndarray]
-    state: list[np.ndarray]
-
-
-def fit_model(tree: Tree, counts: list[np.ndarray], divergence: float = DIVERGENCE) -> Model:
-    """Prunes states and smooths distributions. ``counts`` has the counts of words and of each level's sequences."""
-    words = (1 << ID_BITS) - 1
-    # suffix of each sequence: the sequence without its first word, one level down
-    suffix = [None]
-    for level, keys in enumerate(tree.keys, 1):
-        context, word = keys >> ID_BITS, keys & words
-        if level == 1:
-            suffix.append(word)
-        else:
-            key = suffix[level - 1][context].astype(np.int64) << ID_BITS | word
-            suffix.append(tree.index[level - 1].find(mix(key.view(np.uint64))).astype(np.int64))
-    root = (counts[0] + ADDED) / tree.space
+
+def fit_levels(contexts, entries, divergence: float = DIVERGENCE) -> list[Level]:
+    """Prunes contexts and smooths distributions of one part.
+
+    Per length: ``contexts`` has words (a row each) and counts, ``entries`` context and next word, counts and log10 root
+    probabilities. A part has the suffixes of all its contexts.
+    """
+    depth = len(contexts)
+    own = [phrase_keys(w) for w, _ in contexts]
+    order = [np.argsort(k) for k in own]
+    keys = [k[o] for k, o in zip(own, order)]
+    counts = [n[o].astype(float) for (_, n), o in zip(contexts, order)]
+    tails = [None if not d else np.searchsorted(keys[d - 1], phrase_keys(contexts[d][0][order[d]][:, 1:])) for d in range(depth)]
+    made = [phrase_keys(w) for w, _, _ in entries]
+    by = [np.argsort(k) for k in made]
+    made = [k[o] for k, o in zip(made, by)]
+    words = [w[o] for (w, _, _), o in zip(entries, by)]
+    seen = [n[o].astype(float) for (_, n, _), o in zip(entries, by)]
+    root = [10.0 ** r[o] for (_, _, r), o in zip(entries, by)]
+    context = [np.searchsorted(keys[d], phrase_keys(words[d][:, :-1])) for d in range(depth)]
+    below_at = [None if not d else np.searchsorted(made[d - 1], phrase_keys(words[d][:, 1:])) for d in range(depth)]
 
     def smoothed(state):
-        chance, rest = [root], []
-        for level, keys in enumerate(tree.keys, 1):
-            context = keys >> ID_BITS
-            seen = counts[level - 1].astype(float)
-            part = (counts[level] - DISCOUNT) / seen[context]
-            left = 1.0 - np.bincount(context, part, minlength=len(seen))
-            left = np.where(state[level - 1], np.maximum(left, 1e-12), 1.0)
-            below = chance[level - 1][suffix[level]]
-            chance.append(np.where(state[level - 1][context], part + left[context] * below, below))
+        chance, rest, lower = [], [], []
+        for d in range(depth):
+            part = (seen[d] - DISCOUNT) / counts[d][context[d]]
+            left = 1.0 - np.bincount(context[d], part, minlength=len(keys[d]))
+            left = np.where(state[d], np.maximum(left, 1e-12), 1.0)
+            below = root[d] if not d else chance[d - 1][below_at[d]]
+            chance.append(np.where(state[d][context[d]], part + left[context[d]] * below, below))
             rest.append(left)
-        return chance, rest
+            lower.append(below)
+        return chance, rest, lower
 
-    every = [np.ones(len(c), dtype=bool) for c in counts[:-1]]
-    chance, rest = smoothed(every)
+    chance, rest, lower = smoothed([np.ones(len(k), dtype=bool) for k in keys])
     state = []
-    for level, keys in enumerate(tree.keys, 1):
-        context = keys >> ID_BITS
-        n = counts[level - 1]
-        seen = np.bincount(context, counts[level], minlength=len(n))
-        saved = np.bincount(context, counts[level] * np.log2(chance[level] / chance[level - 1][suffix[level]]), minlength=len(n))
-        saved = saved + (n - seen) * np.log2(rest[level - 1])
-        state.append(saved >= divergence)
-    for level in range(len(state) - 1, 0, -1):
-        state[level - 1][suffix[level][state[level]]] = True
-    chance, rest = smoothed(state)
-    return Model(tree, [np.log10(c) for c in chance], [np.log10(r) for r in rest], state)
+    for d in range(depth):
+        follow = np.bincount(context[d], seen[d], minlength=len(keys[d]))
+        saved = np.bincount(context[d], seen[d] * np.log2(chance[d] / lower[d]), minlength=len(keys[d]))
+        state.append((saved + (counts[d] - follow) * np.log2(rest[d]) >= divergence) & (follow > 0))
+    for d in range(depth - 1, 0, -1):
+        state[d - 1][tails[d][state[d]]] = True
+    chance, rest, _ = smoothed(state)
+    out = []
+    for d in range(depth):
+        kept = state[d][context[d]]
+        out.append(Level(keys[d][state[d]], np.log10(rest[d][state[d]]), made[d][kept], np.log10(chance[d][kept]) - np.log10(root[d][kept])))
+    return out
 
 
-ROWS = pa.schema([("doc_id", pa.int64()), ("owner", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
-                  ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
-ROWS_DDL = "doc_id bigint, owner bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double"
+FITTED_DDL = "part int, level int, n bigint, states binary, rest binary, entries binary, gain binary"
+FITTED = pa.schema([("part", pa.int32()), ("level", pa.int32()), ("n", pa.int64()), *[(c, pa.binary()) for c in ("states", "rest", "entries", "gain")]])
 
 
-def token_scores(model: Model, found: np.ndarray, at: np.ndarray):
-    """Per token: whether it is frequent, its log10 base probability and its log10 probability in its state.
+def _fit_part(depth, divergence):
+    def run(table):
+        part = table.column("part")[0].as_py()
+        words, n, root = (table.column(c).combine_chunks() for c in ("words", "n", "root"))
+        sizes = pc.list_value_length(words).to_numpy()
+        follows = table.column("root").combine_chunks().is_valid().to_numpy(zero_copy_only=False)
+
+        def rows(size, chosen):
+            at = np.flatnonzero((sizes == size) & (follows == chosen))
+            flat = words.take(pa.array(at)).flatten().to_numpy().view(np.uint64).reshape(-1, size)
+            return flat, n.take(pa.array(at)).to_numpy(), root.take(pa.array(at)).to_numpy(zero_copy_only=False)
+
+        fitted = fit_levels([rows(k, False)[:2] for k in range(1, depth + 1)], [rows(k + 1, True) for k in range(1, depth + 1)], divergence)
+        return pa.Table.from_arrays([
+            pa.array([part] * depth, pa.int32()), pa.array(range(1, depth + 1), pa.int32()), pa.array([len(x.entries) + len(x.states) for x in fitted], pa.int64()),
+            *[pa.array([getattr(x, c).tobytes() for x in fitted], pa.binary()) for c in ("states", "rest", "entries", "gain")]], schema=FITTED)
+    return run
+
+
+class States:
+    """States of some parts, ready to score tokens."""
+
+    def __init__(self, rows):
+        """``rows`` as (level, states, rest, entries, gain)."""
+        self.levels = []
+        for level in range(1, max((r[0] for r in rows), default=0) + 1):
+            own = [r for r in rows if r[0] == level]
+            states, rest, entries, gain = (np.frombuffer(b"".join(r[c] for r in own), kind) for c, kind in ((1, np.uint64), (2, "<f8"), (3, np.uint64), (4, "<f8")))
+            self.levels.append((Table(states), rest, Table(entries), gain))
+
+    def gains(self, found: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Per token: what its state adds to the root's log10 probability."""
+        out = np.zeros(len(found))
+        place = np.arange(len(found)) - np.repeat(at[:-1], np.diff(at))
+        here = np.flatnonzero(place >= 1)
+        for length, (states, rest, entries, gain) in enumerate(self.levels, 1):
+            key = found[here - length]
+            for k in range(length - 1, 0, -1):
+                key = longer(key, found[here - k])
+            state = states.find(key)
+            held = state >= 0
+            here, key, state = here[held], key[held], state[held]
+            entry = entries.find(longer(key, found[here]))
+            out[here] = np.where(entry >= 0, gain[entry] if len(gain) else 0.0, out[here] + rest[state])
+            here = here[place[here] > length]
+        return out
+
+
+@dataclass
+class Model:
+    """Words sent along, and the stored parts of the tree in groups."""
+
+    tree: Words
+    fitted: DataFrame
+    groups: int
+
+    def group(self, number: int) -> States:
+        rows = self.fitted.where(F.pmod("part", F.lit(self.groups)) == number).collect()
+        return States([(r["level"], bytes(r["states"]), bytes(r["rest"]), bytes(r["entries"]), bytes(r["gain"])) for r in rows])
+
+
+def token_scores(words: Words, states: States, found: np.ndarray, at: np.ndarray):
+    """Per token: whether it is a word sent along, its log10 base probability and its log10 probability in its state.
 
     For other tokens both leave out the factor of the root.
     """
-    ids = model.tree.ids(found, at)
-    known = ids[0] >= 0
-    base = np.where(known, model.chance[0][ids[0]], 0.0) if len(model.chance[0]) else np.zeros(len(found))
-    score = base.copy()
-    begins = np.zeros(len(found), dtype=bool)
-    begins[at[:-1]] = True
-    for level in range(len(model.rest)):
-        before = np.empty_like(ids[level])
-        before[:1], before[1:] = -1, ids[level][:-1]
-        before[begins] = -1
-        some = np.flatnonzero(before >= 0)
-        some = some[model.state[level][before[some]]]
-        grown = ids[level + 1][some]
-        score[some] = np.where(grown >= 0, model.chance[level + 1][grown] if len(model.chance[level + 1]) else 0.0, score[some] + model.rest[level][before[some]])
-    return known, base, score
+    ids = words.index.find(found)
+    base = np.where(ids >= 0, words.chance[ids], 0.0) if len(words.chance) else np.zeros(len(found))
+    return ids >= 0, base, base + states.gains(found, at)
+
+
+ROWS = pa.schema([("doc_id", pa.int64()), ("owner", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
+                  ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
+ROWS_DDL = "doc_id bigint, owner bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double"
 
 
 def _scored(shared):
     def run(batches):
-        model: Model = shared.value
+        words, states = received(shared)
         for batch in batches:
             out = []
             for _, data, starts in chunks(batch.column("text")):
                 found, at = tokens(data, starts)
-                known, base, score = token_scores(model, found, at)
+                known, base, score = token_scores(words, states, found, at)
                 out.append((np.diff(at), *(np.add.reduceat(x, at[:-1]) for x in (known.astype(np.int64), base, score))))
             n, known, base, score = map(np.concatenate, zip(*out)) if out else [np.empty(0)] * 4
             yield pa.RecordBatch.from_arrays(
@@ -236,6 +307,19 @@ def _scored(shared):
     return run
 
 
+def _gained(shared):
+    """What one more group of states adds to each text."""
+    def run(batches):
+        states = received(shared)
+        for batch in batches:
+            gains = [np.empty(0)]
+            for _, data, starts in chunks(batch.column("text")):
+                found, at = tokens(data, starts)
+                gains.append(np.add.reduceat(states.gains(found, at), at[:-1]))
+            yield pa.RecordBatch.from_arrays([batch.column("owner"), pa.array(np.concatenate(gains))], names=["owner", "gain"])
+    return run
+
+
 RARE_DDL = "part int, keys binary, owners binary, times binary"
 RARE = pa.schema([("part", pa.int32()), ("keys", pa.binary()), ("owners", pa.binary()), ("times", pa.binary())])
 
@@ -251,7 +335,7 @@ def _rare(shared, ranges):
         return pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), cut(keys), cut(owners), cut(times)], schema=RARE)
 
     def run(batches):
-        frequent = shared.value
+        frequent = received(shared)
         held, n = [], 0
         for batch in batches:
             owner = np.array(batch.column("owner").to_pylist(), dtype=np.int64)
@@ -325,27 +409,42 @@ def held_out() -> "F.Column":
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10 == 0
 
 
-def learn(docs: DataFrame, depth: int = DEPTH, least: float = LEAST, divergence: float = DIVERGENCE) -> Model:
+def learn(docs: DataFrame, depth: int = DEPTH, least: int = LEAST, divergence: float = DIVERGENCE, group: int = GROUP) -> Model:
     """The model of the rows of ``doc_id, text, held_out`` that are not held out."""
     spark = docs.sparkSession
-    ranges = parts(spark, 1)
+    ranges = parts(spark)
     train = docs.where(~F.col("held_out")).select("text")
     vocabulary = staged(train.mapInArrow(_word_counts(ranges), BLOCK_DDL).groupBy("part").applyInArrow(
         _vocabulary, "keys binary, counts binary, total bigint, words bigint"))
     total, distinct = (x or 0 for x in vocabulary.agg(F.sum("total"), F.sum("words")).first())
-    enough = max(2, int(np.ceil(least * total)))
-    key, n = _collected(vocabulary.select("keys", "counts").mapInArrow(_frequent(enough), "key bigint, n bigint"))
-    tree, counts = Tree(key.view(np.uint64), [], total, distinct), [n]
-    for _ in range(depth):
-        shared = spark.sparkContext.broadcast(tree)
-        longer = train.mapInArrow(_sequence_counts(shared, ranges), BLOCK_DDL).groupBy("part").applyInArrow(
-            _at_least(enough), "key bigint, n bigint")
-        key, n = _collected(longer)
-        tree, counts = Tree(tree.words, [*tree.keys, key], total, distinct), [*counts, n]
-    return fit_model(tree, counts, divergence)
-
-
-def text_scores(docs: DataFrame, depth: int = DEPTH, least: float = LEAST, divergence: float = DIVERGENCE) -> DataFrame:
+    space = total + ADDED * (distinct + 1)
+    packed_words = vocabulary.select("keys", "counts")
+    # at most 2^20 words, as they make up that share of the tokens each
+    sent = packed_words.mapInArrow(_frequent(max(2, int(np.ceil(SENT * total)))), "key bigint, n bigint").toArrow()
+    key, n = sent.column("key").to_numpy().view(np.uint64), sent.column("n").to_numpy()
+    order = np.argsort(key)
+    words = Words(key[order], np.log10((n[order] + ADDED) / space), total, distinct)
+    known = staged(packed_words.mapInArrow(_frequent(least), "key bigint, n bigint"))
+    counted, before = [known.select("key", F.array("key").alias("words"), "n")], known
+    for size in range(2, depth + 2):
+        shared = spark.sparkContext.broadcast(bit_table(before))
+        made = train.mapInArrow(_sequence_blocks(size, shared, ranges), "part int, words binary, counts binary")
+        before = staged(made.groupBy("part").applyInArrow(_sequences(size, least), SEQUENCE_DDL))
+        counted.append(before)
+    followed = reduce(DataFrame.unionByName, counted[1:])
+    n_parts = 1 + followed.count() // PART
+    part = lambda word: F.pmod(F.xxhash64(word), F.lit(n_parts)).cast("int").alias("part")
+    contexts = reduce(DataFrame.unionByName, counted[:-1]).select(
+        part(F.element_at("words", -1)), "words", "n", F.lit(None).cast("double").alias("root"))
+    root = known.select(F.col("key").alias("next"), F.log10((F.col("n") + ADDED) / space).alias("root"))
+    entries = followed.withColumn("next", F.element_at("words", -1)).join(root, "next").select(
+        part(F.element_at("words", -2)), "words", "n", "root")
+    fitted = staged(contexts.unionByName(entries).groupBy("part").applyInArrow(_fit_part(depth, divergence), FITTED_DDL))
+    size = fitted.agg(F.sum("n")).first()[0] or 0
+    return Model(words, fitted, max(1, -(-size // group)))
+
+
+def text_scores(docs: DataFrame, depth: int = DEPTH, least: int = LEAST, divergence: float = DIVERGENCE, group: int = GROUP) -> DataFrame:
     """Per row: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
     Words are lower-cased (A-Z) runs of bytes other than space and 0x09 to 0x0D, and every text, null and empty
@@ -354,15 +453,22 @@ def text_scores(docs: DataFrame, depth: int = DEPTH, least: float = LEAST, diver
     """
     spark = docs.sparkSession
     rows = documents(docs).withColumn("held_out", held_out())
-    model = learn(rows, depth, least, divergence)
+    model = learn(rows, depth, least, divergence, group)
     forget(spark)
-    shared, words = spark.sparkContext.broadcast(model), spark.sparkContext.broadcast(model.tree.index[0])
     owned = rows.select("doc_id", "text", "held_out", F.xxhash64(F.coalesce("doc_id", F.lit(-1)), "text_hash").alias("owner"))
-    scored = owned.mapInArrow(_scored(shared), ROWS_DDL)
+    scored = owned.mapInArrow(_scored(shipped(spark, (model.tree, model.group(0)))), ROWS_DDL)
     ranges = parts(spark, 1)
-    pairs = owned.mapInArrow(_rare(words, ranges), RARE_DDL).groupBy("part").applyInArrow(_rare_sums(model.tree.space, ranges), SUMS_DDL)
+    pairs = owned.mapInArrow(_rare(shipped(spark, model.tree.index), ranges), RARE_DDL).groupBy("part").applyInArrow(_rare_sums(model.tree.space, ranges), SUMS_DDL)
     sums = pairs.groupBy("part").applyInArrow(_owner_sums, "owner bigint, more_known bigint, more double")
+    scored = scored.join(sums, "owner", "left")
+    if model.groups > 1:
+        gains = [staged(owned.select("owner", "text").mapInArrow(_gained(shipped(spark, model.group(g))), "owner bigint, gain double").groupBy("owner").agg(F.max("gain").alias("gain")))
+                 for g in range(1, model.groups)]
+        scored = scored.join(reduce(DataFrame.unionByName, gains).groupBy("owner").agg(F.sum("gain").alias("gain")), "owner", "left")
+    else:
+        scored = scored.withColumn("gain", F.lit(0.0))
     more = F.coalesce("more", F.lit(0.0))
-    return scored.join(sums, "owner", "left").select(
+    return scored.select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-        F.lit(model.tree.total).cast("bigint").alias("train_tokens"), (F.col("base") + more).alias("base_score"), (F.col("score") + more).alias("score"))
+        F.lit(model.tree.total).cast("bigint").alias("train_tokens"), (F.col("base") + more).alias("base_score"),
+        (F.col("score") + more + F.coalesce("gain", F.lit(0.0))).alias("score"))
