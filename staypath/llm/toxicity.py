@@ -1,20 +1,23 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
 A document is read as slots: hashed words and beginnings of words. A slot's evidence is how much more often
-it is in confirmed toxic documents than in unlabelled ones; as unlabelled text holds toxic documents with
-the class prior, no slot can be more frequent in the first than 1 / prior times, which sets the scale of the
-evidence. A linear classifier over the shares of a document's slots above each level of evidence is then
-fitted to the non-negative PU risk. Evidence and classifier come from different halves of the sample.
+it is in confirmed toxic documents than in unlabelled text, which is all training text without a look at its labels. As that
+holds toxic documents with the class prior, no slot can be more frequent in the first than 1 / prior times, which sets the
+scale of the evidence. How many documents have a slot is counted over the whole corpus. A linear classifier over the shares
+of a document's slots above each level of evidence is then fitted to the non-negative PU risk, on a bounded sample. Evidence
+and classifier come from different halves of the documents.
 """
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from staypath.llm.frames import staged
 from staypath.llm.words import chunks, mix, word_heads
 
-#: the classifiers are fitted on at most so many confirmed and unlabelled documents
+#: evidence comes from at most so many confirmed documents and all unlabelled ones, classifiers are fitted on at most so many of either
 POSITIVES, UNLABELLED = 3000, 9000
 MODELS = 2
 BITS, LEVELS = 20, 16
@@ -85,20 +88,60 @@ def minimise(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps:
     return w
 
 
+SEEN = pa.schema([("half", pa.int32()), ("part", pa.int32()), ("counts", pa.binary()), ("n", pa.int64())])
+SEEN_DDL = "half int, part int, counts binary, n bigint"
+#: parts in which the counts of a half travel
+SEEN_PARTS = 64
+
+
+def _seen(batches):
+    """How many texts of a task have each slot, for either half."""
+    counts, n = np.zeros((2, 1 << BITS), dtype=np.int32), [0, 0]
+    for batch in batches:
+        half = batch.column("half").to_numpy()
+        for h in (0, 1):
+            own = batch.column("text").filter(pa.array(half == h))
+            counts[h] += presence(own)
+            n[h] += len(own)
+    for h in (0, 1):
+        for i, part in enumerate(np.split(counts[h], SEEN_PARTS)):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([h], pa.int32()), pa.array([i], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary()), pa.array([n[h]])], schema=SEEN)
+
+
+def _total(table):
+    total = np.zeros((1 << BITS) // SEEN_PARTS, dtype=np.int64)
+    for counts in table.column("counts").to_pylist():
+        total += np.frombuffer(zlib.decompress(counts), np.int32)
+    return pa.table({"half": table.column("half")[:1], "part": table.column("part")[:1], "counts": pa.array([total.tobytes()], pa.binary()),
+                     "n": pa.array([sum(table.column("n").to_pylist())], pa.int64())})
+
+
+def frequencies(rows: DataFrame) -> tuple[np.ndarray, list[int]]:
+    """Of each half of ``text, half`` rows, how many texts have each slot, and how many there are; 2^20 numbers a half."""
+    totals = rows.mapInArrow(_seen, SEEN_DDL).groupBy("half", "part").applyInArrow(_total, SEEN_DDL).collect()
+    counts, n = np.zeros((2, SEEN_PARTS, (1 << BITS) // SEEN_PARTS), dtype=np.int64), [0, 0]
+    for row in totals:
+        counts[row["half"], row["part"]] = np.frombuffer(row["counts"], np.int64)
+        n[row["half"]] = row["n"]
+    return counts.reshape(2, -1), n
+
+
 MODEL = pa.schema([("model", pa.int32()), ("level", pa.binary()), ("weights", pa.binary())])
 
 
-def _fit(prior):
+def _fit(prior, shared):
     def run(table):
         m = table.column("model")[0].as_py()
+        counts, n = shared.value
         toxic = np.array(table.column("toxic").to_pylist(), dtype=bool)
         half = np.array(table.column("half").to_pylist()) == m % 2
         part = lambda chosen: table.column("text").filter(pa.array(chosen)).combine_chunks()
-        text = [part(chosen) for chosen in (toxic & half, ~toxic & half, toxic & ~half, ~toxic & ~half)]
-        if min(map(len, text)) == 0:
+        known, p, u = part(toxic & half), part(toxic & ~half), part(~toxic & ~half)
+        if min(len(known), len(p), len(u), n[m % 2]) == 0:
             return MODEL.empty_table()
-        level = evidence(presence(text[0]), presence(text[1]), len(text[0]), len(text[1]), prior)
-        p, u = shares(text[2], level), shares(text[3], level)
+        level = evidence(presence(known), counts[m % 2], len(known), n[m % 2], prior)
+        p, u = shares(p, level), shares(u, level)
         middle, spread = u.mean(axis=0), u.std(axis=0) + 1e-3
         w = minimise((p - middle) / spread, (u - middle) / spread, prior)
         scaled = np.append(w[:-1] / spread, w[-1] - (w[:-1] * middle / spread).sum())
@@ -114,10 +157,13 @@ def held_out() -> "F.Column":
 def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> list:
     """Classifiers as (levels, weights): an empty list if there are too few examples of either kind.
 
-    Confirmed are documents with a label row that says toxic; unlabelled are those without any label row. The
-    prior is the toxic share of labelled documents. Of either kind the documents with the smallest hash of
-    their id are taken, up to the given numbers; held-out rows never are.
+    Confirmed are documents with a label row that says toxic (the largest of several label rows counts); unlabelled are all
+    training documents, labelled or not, as only so they hold toxic ones with the prior, which is the toxic share of
+    labelled documents. Slots are counted over all of them. For the rest the documents with the smallest hash of their
+    id are taken, up to the given numbers of either kind; ties of the hash go by id. Held-out rows never are, nor rows
+    without id; repeated rows count each time.
     """
+    spark = docs.sparkSession
     known = (
         labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
         .where("doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(~held_out()))
@@ -129,12 +175,13 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     draw = F.xxhash64("doc_id", F.lit(1))
     some = known.where("toxic = 1").select("doc_id").join(ids.distinct(), "doc_id", "left_semi")
     confirmed = some.orderBy(draw, "doc_id").limit(positives).withColumn("toxic", F.lit(True))
-    labelled = labels.select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct()
-    others = ids.distinct().join(labelled, "doc_id", "left_anti").orderBy(draw, "doc_id").limit(unlabelled).withColumn("toxic", F.lit(False))
+    others = ids.distinct().orderBy(draw, "doc_id").limit(unlabelled).withColumn("toxic", F.lit(False))
     chosen = staged(confirmed.unionByName(others))  # at most positives + unlabelled ids
-    sample = rows.join(F.broadcast(chosen), "doc_id").withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(2)))
+    halved = rows.where("doc_id is not null").withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(2)).cast("int"))
+    shared = spark.sparkContext.broadcast(frequencies(halved.where(~held_out()).select("text", "half")))
+    sample = halved.join(F.broadcast(chosen), "doc_id")
     copies = sample.withColumn("model", F.explode(F.array(*[F.lit(m) for m in range(MODELS)])))
-    fitted = copies.groupBy("model").applyInArrow(_fit(prior), "model int, level binary, weights binary").collect()
+    fitted = copies.groupBy("model").applyInArrow(_fit(prior, shared), "model int, level binary, weights binary").collect()
     return [(np.frombuffer(r.level, np.uint8), np.frombuffer(r.weights)) for r in sorted(fitted, key=lambda r: r.model)]
 
 
@@ -176,4 +223,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, u
     """The rows of ``docs`` that are not predicted to be toxic, with all their columns."""
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, positives, unlabelled))
     rows = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("_text"))
-    return rows.mapInArrow(_clean(shared), f"row {rows.schema['row'].dataType.simpleString()}").select("row.*")
+    return rows.mapInArrow(_clean(shared), T.StructType([rows.schema["row"]])).select("row.*")
