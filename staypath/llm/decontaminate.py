@@ -16,8 +16,9 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
+from staypath.llm.frames import received, shipped
 from staypath.llm.words import Table, chunks, joined, word_hashes
 
 #: words of a window, and from one window to the next
@@ -102,7 +103,7 @@ def item_block(rows) -> tuple[list[int], list[np.ndarray]]:
 
 def _document_frequency(shared):
     def run(batches):
-        table, n = shared.value, 0
+        table, n = received(shared), 0
         total = np.zeros(len(table.keys), dtype=np.int64)
         for batch in batches:
             n += len(batch)
@@ -146,7 +147,7 @@ def _sum(docs: DataFrame, task, shape) -> np.ndarray:
 def _sketch(shared, width, seed):
     """A'A times a random matrix, over the windows of a task's texts."""
     def run(batches):
-        items: Items = shared.value
+        items: Items = received(shared)
         draw = np.random.default_rng(seed).standard_normal((len(items.terms), width)).astype(np.float32)
         weighted = draw * items.idf[:, None].astype(np.float32)
         total = np.zeros((len(items.terms), width))
@@ -166,7 +167,7 @@ def _sketch(shared, width, seed):
 def _gram(shared):
     """Products of the windows' coordinates in the sketched basis."""
     def run(batches):
-        items: Items = shared.value
+        items: Items = received(shared)
         total = np.zeros((items.basis.shape[1],) * 2)
         for batch in batches:
             for _, data, starts in chunks(batch.column("text")):
@@ -180,9 +181,9 @@ def _gram(shared):
 
 def latent_space(docs: DataFrame, ids: list[int], words: list[np.ndarray], rank: int = RANK) -> Items:
     """The block's items with frequencies and latent basis learned from all of ``docs`` (``text``)."""
-    context = docs.sparkSession.sparkContext
+    spark = docs.sparkSession
     terms = np.unique(np.concatenate(words))
-    counts = _sum(docs, _document_frequency(context.broadcast(Table(terms))), (len(terms) + 1,))
+    counts = _sum(docs, _document_frequency(shipped(spark, Table(terms))), (len(terms) + 1,))
     df, n = counts[:-1], max(1.0, counts[-1])
     telling = df <= MOST * n
     for own in words:
@@ -190,7 +191,7 @@ def latent_space(docs: DataFrame, ids: list[int], words: list[np.ndarray], rank:
         telling[at[np.argsort(df[at], kind="stable")[:KEPT_TERMS]]] = True
     items = Items(ids, words, terms[telling], np.log((n + 1) / (df[telling] + 1)) + 1)
     width = min(len(items.terms), rank + MORE)
-    sketch = _sum(docs, _sketch(context.broadcast(items), width, 0), (len(items.terms), width))
+    sketch = _sum(docs, _sketch(shipped(spark, items), width, 0), (len(items.terms), width))
     first, term, which, _ = items.rows(*_as_texts(words))
     own = np.zeros((len(first), len(items.terms)), dtype=np.float32)
     np.add.at(own, (np.repeat(np.arange(len(first)), np.diff(np.append(first, len(term)))), term), items.idf[term].astype(np.float32))
@@ -198,7 +199,7 @@ def latent_space(docs: DataFrame, ids: list[int], words: list[np.ndarray], rank:
     # the items are passages of the matrix, too, so that the space knows terms that no document has
     frame, _ = np.linalg.qr(sketch + own.T @ (own @ draw))
     items.basis = (frame * items.idf[:, None]).astype(np.float32)
-    gram = _sum(docs, _gram(context.broadcast(items)), (width, width)) + (own @ frame).T @ (own @ frame)
+    gram = _sum(docs, _gram(shipped(spark, items)), (width, width)) + (own @ frame).T @ (own @ frame)
     _, turn = np.linalg.eigh(gram)
     items.basis = (items.basis @ turn[:, ::-1][:, :rank]).astype(np.float32)
     vectors = np.zeros((len(ids), items.basis.shape[1]), dtype=np.float32)
@@ -341,7 +342,7 @@ def found_items(items: Items, judge: Judge, data, starts) -> list[list[int]]:
 
 def _search(shared):
     def run(batches):
-        items: Items = shared.value
+        items: Items = received(shared)
         judge = Judge(items)
         for batch in batches:
             found = []
@@ -362,12 +363,12 @@ def with_items(docs: DataFrame, benchmark: DataFrame, block: int = ITEMS) -> Dat
     blocks = -(-items.count() // block)
     text = F.col("text").cast("string")
     rows = docs.select(F.struct("*").alias("row"), text.alias("_text"), F.array().cast("array<bigint>").alias("_items"))
-    ddl = f"row {rows.schema['row'].dataType.simpleString()}, _text string, _items array<bigint>"
+    schema = T.StructType([rows.schema["row"], T.StructField("_text", T.StringType()), T.StructField("_items", T.ArrayType(T.LongType()))])
     for b in range(blocks):
         ids, words = item_block(items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).orderBy("item_id", "text").collect())
         if ids:
             space = latent_space(docs.select(text.alias("text")), ids, words)
-            rows = rows.mapInArrow(_search(spark.sparkContext.broadcast(space)), ddl)
+            rows = rows.mapInArrow(_search(shipped(spark, space)), schema)
     return rows.select("row", F.array_sort(F.array_distinct("_items")).alias("_items"))
 
 

@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from staypath.llm.frames import documents, merged, staged
 from staypath.llm.words import SPACES
@@ -166,9 +166,9 @@ def drop_shared_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int
     named = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"),
                         F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.col("text").cast("string").alias("text"))
     joined = merged(named, bitmaps).select("row", "text", "keep")
-    whole = joined.schema["row"].dataType.simpleString()
-    done = joined.mapInArrow(_applied, f"row {whole}, text string")
-    return done.select(*[(F.col("text") if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    done = joined.mapInArrow(_applied, T.StructType([joined.schema["row"], joined.schema["text"]]))
+    quoted = {c: c.replace("`", "``") for c in docs.columns}
+    return done.select(*[(F.col("text") if c == "text" else F.col(f"row.`{quoted[c]}`")).alias(c) for c in docs.columns])
 
 
 def _digests(batches):
