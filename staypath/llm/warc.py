@@ -19,7 +19,7 @@ DATE = "2024-01-01T00:00:00Z"
 #: a range is read over gaps of so many bytes, and up to so many bytes at once
 GAP, RANGE_BYTES = 64 << 10, 4 << 20
 #: a reading task covers about so many bytes of a file
-SPLIT_BYTES = 64 << 20
+SPLIT_BYTES = 16 << 20
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX = pa.schema([
     ("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("url", pa.string()), ("digest", pa.string()),
@@ -161,5 +161,8 @@ def read_records(index: DataFrame) -> DataFrame:
     Give it a filtered index to read a selection; only the bytes of selected records, and small gaps, are read.
     """
     place = index.select("file", "offset", "length", F.floor(F.col("offset") / SPLIT_BYTES).alias("split"))
-    ordered = place.repartition("file", "split").sortWithinPartitions("file", "offset")
+    # by bytes to read, not by the size of the index, which says little; a fixed number is not merged by AQE
+    total = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, -(-total // SPLIT_BYTES))
+    ordered = place.repartition(tasks, "file", "split").sortWithinPartitions("file", "offset")
     return ordered.select("file", "offset", "length").mapInArrow(_read, RECORD_DDL)
