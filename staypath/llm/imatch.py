@@ -66,7 +66,10 @@ class SubLexicons:
         self.bits = bits
 
     def signatures(self, texts: list[bytes | None]) -> np.ndarray:
-        """32-bit signature of each text (rows) under each sub-lexicon; 0 where it keeps no term."""
+        """32-bit signature of each text (rows) under each sub-lexicon; 0 where it keeps no term.
+
+        A text that has words, but none of the lexicon, has the hash of its whole term set everywhere.
+        """
         data, starts = joined(texts)
         words, at = word_hashes(data, starts)
         found = self.table.find(words)
@@ -75,6 +78,8 @@ class SubLexicons:
             own = np.unique(found[a:b])
             own = own[1:] if len(own) and own[0] < 0 else own
             if not len(own):
+                if b > a:  # no term of the band: only an equal set of terms is alike
+                    out[i] = xxhash.xxh32_intdigest(np.unique(words[a:b]).tobytes()) | 1
                 continue
             subset, index = np.nonzero(self.bits[own].T)
             kept = self.terms[own[index]].tobytes()
@@ -165,8 +170,8 @@ def fingerprints(docs: DataFrame, least: float = LEAST, most: float = MOST) -> D
     """Per row: ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``.
 
     Rows are ordered by (doc_id, text hash), null ids first; the next one of the last is the first, and a
-    lone row is its own next one. A fingerprint has 8 hex digits for each sub-lexicon; texts without a term
-    of the lexicon (null, empty) share the fingerprint of zeros. An empty table gives no rows.
+    lone row is its own next one. A fingerprint has 8 hex digits for each sub-lexicon; texts without words
+    (null, empty) share the fingerprint of zeros, and those without a term of the lexicon agree with equal term sets only. An empty table gives no rows.
 
     Documents are ranged by id; each range also gets the first row of the one after it.
     """
