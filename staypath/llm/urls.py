@@ -14,6 +14,8 @@ RULES = (
 ALLOW, BLOCK = "verdict=allow", "verdict=block"
 #: support is a share of the labelled URLs
 MIN_SUPPORT, MIN_CONFIDENCE = 0.002, 0.5
+#: labelled URLs that a rule has to hold for at least, and deviations by which its confidence is lowered
+MIN_COUNT, DEVIATIONS = 5, 1.64
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -64,20 +66,26 @@ RULE_SCHEMA = "rule_tokens array<string>, verdict string, confidence double, sup
 def mined_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """Token combinations that tell a verdict, from ``url, block`` rows, as ``rule_tokens, verdict, confidence, support, size``.
 
-    FP-growth runs on the tokens of each URL and its verdict. Kept are rules that meet support and confidence,
-    beat the verdict's own frequency, and have no shorter rule of the same verdict inside them that is as
-    confident. Without labelled URLs there are no rules.
+    FP-growth runs on the tokens of each URL and its verdict. Kept are rules that meet support and confidence, hold for
+    ``MIN_COUNT`` labelled URLs or more, beat the verdict's own frequency even by the lower bound of their confidence, and
+    have no shorter rule of the same verdict inside them that is as confident. Without labelled URLs there are no rules.
     """
     spark = labelled.sparkSession
     rows = labelled.where("block is not null").select(
         F.concat(tokens(F.col("url")), F.array(F.when(F.col("block"), BLOCK).otherwise(ALLOW))).alias("items"))
-    if rows.isEmpty():
+    total = rows.count()
+    if total < MIN_COUNT:
         return spark.createDataFrame([], RULE_SCHEMA)
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(rows)
+    least = max(min_support, min(1.0, MIN_COUNT / total))
+    model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=min_confidence).fit(rows)
+    # Wilson's lower bound of the confidence, from the rule's own number of URLs
+    n, z2 = F.col("support") / F.col("confidence") * total, DEVIATIONS ** 2
+    p = F.col("confidence")
+    lowest = (p + z2 / (2 * n) - DEVIATIONS * F.sqrt(p * (1 - p) / n + z2 / (4 * n * n))) / (1 + z2 / n)
     verdict = F.col("consequent")[0]
     rules = model.associationRules.where(
         verdict.isin(ALLOW, BLOCK) & ~F.array_contains("antecedent", ALLOW) & ~F.array_contains("antecedent", BLOCK)
-        & (F.col("lift") > 1)
+        & (F.col("lift") > 1) & (lowest > p / F.col("lift"))
     ).select(F.array_sort("antecedent").alias("rule_tokens"), F.substring_index(verdict, "=", -1).alias("verdict"), "confidence", "support",
              F.size("antecedent").alias("size"))
     # a rule's shorter rules share one of its tokens, so they meet there

@@ -301,6 +301,61 @@ def test_toxicity_learns_from_confirmed_and_unlabelled(spark, docs, empty):
     assert kept.schema.names == SCHEMA.replace(",", "").split()[::2] and kept.count() == sum(1 - r.predicted for r in out.values())
 
 
+def test_toxicity_without_unlabelled_documents(spark):
+    rows, _ = toxic_rows()
+    labels = spark.createDataFrame([(i, 1, int(i % 8 == 0)) for i, _ in rows], "doc_id bigint, quality int, toxic int")
+    out = {r.doc_id: r.predicted for r in toxicity.toxicity(make(spark, rows), labels).collect()}
+    assert np.mean([out[i] == (i % 8 == 0) for i in out]) > 0.95
+    assert toxicity.toxicity(make(spark, rows), labels.where("toxic = 0")).where("predicted = 1").count() == 0
+    assert toxicity.drop_toxic(make(spark, []), labels).count() == 0
+
+
+def test_slots_are_counted_over_all_texts(spark):
+    rows, _ = toxic_rows()
+    frame = spark.createDataFrame([(t, i % 2) for i, t in rows] + [(None, 0), ("", 1)], "text string, half int").repartition(5)
+    counts, n = toxicity.frequencies(frame)
+    import pyarrow as pa
+    for h in (0, 1):
+        assert (counts[h] == toxicity.presence(pa.array([t for i, t in rows if i % 2 == h], pa.string()))).all() and n[h] == 751
+
+
+@pytest.mark.parametrize("stage", [
+    lambda d: toxicity.drop_toxic(d, d.sparkSession.createDataFrame([(1, 1, 1)], "doc_id bigint, quality int, toxic int")),
+    lambda d: lines.drop_shared_lines(d), lambda d: jaccard.drop_near_copies(d),
+    lambda d: decontaminate.drop_contaminated(d, d.sparkSession.createDataFrame([(1, "one two three four")], "item_id bigint, text string")),
+])
+def test_stages_keep_columns_of_any_name(spark, stage):
+    schema = T.StructType([T.StructField(n, t) for n, t in (
+        ("doc_id", T.LongType()), ("text", T.StringType()), ("a.b", T.DoubleType()), ("se`lect x", T.StructType([T.StructField("in ner", T.LongType())])))])
+    rows = [(1, "some words of a text", 0.5, (1,)), (2, None, None, None), (None, "", 1.5, (2,))]
+    docs = spark.createDataFrame(rows, schema)
+    out = stage(docs)
+    assert out.columns == docs.columns and sorted(map(str, out.collect())) == sorted(map(str, docs.collect()))
+    assert stage(docs.limit(0)).count() == 0
+
+
+def test_objects_are_shipped_by_value(spark, tmp_path):
+    import pickletools
+    from staypath.llm.frames import received, shipped
+    sent = shipped(spark, suffix_tree.Words(np.arange(3, dtype=np.uint64), np.zeros(3), 5, 3))
+    modules = {arg for op, arg, _ in pickletools.genops(sent.value) if op.name in ("SHORT_BINUNICODE", "BINUNICODE") and str(arg).startswith("staypath")}
+    assert received(sent).total == 5
+    # names may be carried along, but nothing is looked up in the package
+    assert not [1 for op, arg, _ in pickletools.genops(sent.value) if op.name == "GLOBAL" and "staypath" in str(arg)], modules
+
+
+def test_texts_without_a_term_of_the_lexicon_are_alike_only_if_equal(spark):
+    rows = [(i, f"only{i} words{i} here{i}") for i in range(60)] + [(60, "only1 words1 here1"), (61, ""), (62, None)]
+    out = {r.doc_id: r for r in imatch.fingerprints(make(spark, rows), 0.5, 0.9).collect()}
+    assert out[1].fingerprint == out[60].fingerprint and len({out[i].fingerprint for i in range(60)}) == 60
+    assert out[1].near_next == 0 and out[61].near_next == 1 and set(out[61].fingerprint) == {"0"}
+
+
+def test_rules_need_more_than_a_few_urls(spark):
+    labelled = spark.createDataFrame([(f"http://one{i}.org/p{i}", i % 4 == 0) for i in range(80)], "url string, block boolean")
+    assert urls.mined_rules(labelled).where("verdict = 'block' and support < 0.05").count() == 0
+
+
 def test_non_negative_risk_does_not_fall_below_zero_by_overfitting():
     rng = np.random.default_rng(0)
     p, u = rng.normal(2, 1, (60, 5)), np.r_[rng.normal(2, 1, (40, 5)), rng.normal(-2, 1, (360, 5))]
@@ -466,19 +521,67 @@ def test_language_model(spark, docs):
     assert all(r.score > r.base_score for r in fluent)
 
 
+def scores_by_hand(rows, depth=3, least=8, divergence=32.0):
+    """The suffix tree from its definition, word by word."""
+    texts = [((t or "").encode().lower().split() + [b"\n"], zlib.crc32(str(i).encode()) % 10 == 0) for i, t in rows]
+    n = Counter()
+    for tokens, held in texts:
+        if not held:
+            for k in range(1, depth + 2):
+                n.update(tuple(tokens[i:i + k]) for i in range(len(tokens) - k + 1))
+    total, distinct = sum(c for s, c in n.items() if len(s) == 1), sum(len(s) == 1 for s in n)
+    root = lambda w: (n[w,] + 0.1) / (total + 0.1 * (distinct + 1))
+    after = {}
+    for s, c in n.items():
+        if len(s) > 1 and c >= least:
+            after.setdefault(s[:-1], {})[s[-1]] = c
+    states = set(after)
+
+    def left(context):
+        return max(1 - sum(c - 0.5 for c in after[context].values()) / n[context], 1e-12)
+
+    def chance(context, w):
+        while context and context not in states:
+            context = context[1:]
+        if not context:
+            return root(w)
+        c = after[context].get(w)
+        return left(context) * chance(context[1:], w) + ((c - 0.5) / n[context] if c else 0)
+    kept = set()
+    for context, words_ in after.items():
+        saved = sum(c * math.log2(chance(context, w) / chance(context[1:], w)) for w, c in words_.items())
+        saved += (n[context] - sum(words_.values())) * math.log2(left(context))
+        if saved >= divergence:
+            kept |= {context[k:] for k in range(len(context))}
+    states = kept & set(after)
+    return [sum(math.log10(chance(tuple(tokens[max(0, i - depth):i]), w)) for i, w in enumerate(tokens)) for tokens, _ in texts], len(states)
+
+
+@pytest.mark.parametrize("group", [1 << 21, 40])
+def test_scores_equal_the_definition(spark, group):
+    rng = random.Random(8)
+    units = ["the cat sat on the mat", "on the other hand", "w1 w2 w3 w4 w5", "a b", "x", "y y y"]
+    rows = [(i, " ".join(rng.choice(units) for _ in range(rng.randrange(40)))) for i in range(150)] + [(900, None), (901, "never seen before the cat")]
+    want, many = scores_by_hand(rows)
+    assert many > 20
+    got = {r.doc_id: r.score for r in suffix_tree.text_scores(make(spark, rows).repartition(3), group=group).collect()}
+    assert [got[i] for i, _ in rows] == pytest.approx(want, abs=1e-6)
+
+
 def test_next_word_distributions_sum_to_one(spark):
     rows = [(i, prose(i, 60, 12)) for i in range(200)]
     table = make(spark, rows).withColumn("held_out", suffix_tree.held_out())
     model = suffix_tree.learn(table, depth=2, divergence=0.0)
+    states = model.group(0)
     names = sorted({w for _, t in rows for w in t.split()})
     every, _ = words.word_hashes(*words.joined([" ".join(names).encode()]))
-    assert any(s.any() for s in model.state)
+    assert all(len(rest) for _, rest, _, _ in states.levels)
     for context in (["w1", "w2"], ["w3"], ["w5", "w5"], []):
         own, _ = words.word_hashes(*words.joined([" ".join(context).encode()]))
         total = 0.0
         for word in [*every, suffix_tree.END, np.uint64(12345)]:
             sequence = np.append(own, word).astype(np.uint64)
-            known, _, score = suffix_tree.token_scores(model, sequence, np.array([0, len(sequence)]))
+            known, _, score = suffix_tree.token_scores(model.tree, states, sequence, np.array([0, len(sequence)]))
             assert known[-1] == (word != 12345)
             total += 10 ** score[-1] * (1 if known[-1] else 0.1 / model.tree.space)
         assert total == pytest.approx(1.0, abs=1e-6)
