@@ -2,13 +2,14 @@
 
 Documents are read in overlapping windows of words. Windows and benchmark items are TF-IDF vectors over the items'
 less frequent terms, with document frequencies of the whole corpus. A randomised SVD of the windows' matrix, whose
-products are summed over the corpus, gives a latent space. Items near a window in it are candidates, and a
-candidate holds if the longest common subsequence with the words there covers enough of the item and the item's
-answer, its most telling terms, is found as well. Items come in blocks of bounded size, each sent to every task.
-
-Nearness in the latent space depends on the block's other items and on the window's length. So candidates are also
-all items of which a passage has as many of the rarest words as every passage that holds the item must have: this
-misses nothing, whatever the item's length or the block.
+products are summed over the corpus, gives a latent space. An item whose cosine with a passage there is large enough is a
+candidate, and a candidate holds if the longest common subsequence with the words there covers enough of the item and the
+item's answer, its most telling terms, is found as well. Items come in blocks of bounded size, each sent to every task.
+
+Every candidate comes through the latent space, by one of two kinds of passages. Windows are compared as a whole with all
+items. Their vectors also hold terms of the block's other items, and miss items much longer or shorter than a window; so
+passages of an item's own length around its rarest words are compared with that item alone, as vectors of its own terms.
+That cosine does not depend on what else is in the block or in the passage.
 """
 
 from dataclasses import dataclass
@@ -18,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from staypath.llm.frames import received, shipped
+from staypath.llm.frames import received, shipped, text_of
 from staypath.llm.words import Table, chunks, joined, word_hashes
 
 #: words of a window, and from one window to the next
@@ -37,8 +38,8 @@ COVERED, SPREAD, EXACT = 0.6, 1.5, 0.9
 ANSWER, ANSWERED = 5, 0.6
 #: passages start at every word, or for items of more words so many times in their length
 FINE = 64
-#: items of a block
-ITEMS = 2000
+#: items of a block, and bytes of their texts, which bound its terms
+ITEMS, ITEM_BYTES = 2000, 1 << 19
 
 _PLAIN = np.arange(256, dtype=np.uint8)
 for _c in range(128):
@@ -93,6 +94,12 @@ class Items:
         made = np.add.reduceat(self.basis[term], first, axis=0)
         return made / np.maximum(np.linalg.norm(made, axis=1, keepdims=True), 1e-9)
 
+    def nearness(self, item: int, words: np.ndarray, known) -> float:
+        """Cosine in the latent space of an item and those words of a passage that are its own."""
+        term = self.table.find(np.array(sorted(known.intersection(words.tolist())), dtype=np.uint64))
+        made = self.basis[term[term >= 0]].sum(axis=0)
+        return float(made @ self.vectors[item]) / max(float(np.linalg.norm(made)), 1e-9)
+
 
 def item_block(rows) -> tuple[list[int], list[np.ndarray]]:
     data, starts = joined([(r.text or "").encode() for r in rows])
@@ -191,19 +198,27 @@ def latent_space(docs: DataFrame, ids: list[int], words: list[np.ndarray], rank:
         telling[at[np.argsort(df[at], kind="stable")[:KEPT_TERMS]]] = True
     items = Items(ids, words, terms[telling], np.log((n + 1) / (df[telling] + 1)) + 1)
     width = min(len(items.terms), rank + MORE)
-    sketch = _sum(docs, _sketch(shipped(spark, items), width, 0), (len(items.terms), width))
-    first, term, which, _ = items.rows(*_as_texts(words))
-    own = np.zeros((len(first), len(items.terms)), dtype=np.float32)
-    np.add.at(own, (np.repeat(np.arange(len(first)), np.diff(np.append(first, len(term)))), term), items.idf[term].astype(np.float32))
+    sketch = _sum(docs, _sketch(shipped(spark, items), width, 0), (len(items.terms), width)).copy()
+    # whole items are rows of the matrix, too, so that the space knows terms that no window has
+    flat, at = _as_texts(words)
+    term = items.table.find(flat)
+    owner, term = np.repeat(np.arange(len(ids)), np.diff(at))[term >= 0], term[term >= 0]
+
+    def of_items(by_term):
+        """Sums over each item's terms."""
+        made = np.zeros((len(ids), by_term.shape[1]))
+        np.add.at(made, owner, by_term[term])
+        return made
+
     draw = np.random.default_rng(0).standard_normal((len(items.terms), width)).astype(np.float32)
-    # the items are passages of the matrix, too, so that the space knows terms that no document has
-    frame, _ = np.linalg.qr(sketch + own.T @ (own @ draw))
+    np.add.at(sketch, term, of_items(draw * items.idf[:, None])[owner] * items.idf[term][:, None])
+    frame, _ = np.linalg.qr(sketch)
     items.basis = (frame * items.idf[:, None]).astype(np.float32)
-    gram = _sum(docs, _gram(shipped(spark, items)), (width, width)) + (own @ frame).T @ (own @ frame)
+    own = of_items(items.basis)
+    gram = _sum(docs, _gram(shipped(spark, items)), (width, width)) + own.T @ own
     _, turn = np.linalg.eigh(gram)
     items.basis = (items.basis @ turn[:, ::-1][:, :rank]).astype(np.float32)
-    vectors = np.zeros((len(ids), items.basis.shape[1]), dtype=np.float32)
-    np.add.at(vectors, np.repeat(which, np.diff(np.append(first, len(term)))), items.basis[term])
+    vectors = of_items(items.basis).astype(np.float32)
     items.vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
     return items
 
@@ -232,6 +247,7 @@ class Judge:
     def __init__(self, items: Items):
         self.items, self.bits, self.answer = items, [], []
         self.plain = [own.tolist() for own in items.words]
+        self.known = [frozenset(own) for own in self.plain]
         weight = dict(zip(items.terms.tolist(), items.idf.tolist()))
         for own in self.plain:
             bits: dict[int, int] = {}
@@ -335,18 +351,18 @@ def found_items(items: Items, judge: Judge, data, starts) -> list[list[int]]:
             if judge.holds(i, words[start:end].tolist(), start - int(at[t])):
                 out[t].append(items.ids[i])
     for t, i, start, end in judge.regions(words, at):
-        if items.ids[i] not in out[t] and judge.holds(i, words[start:end].tolist(), start - int(at[t])):
+        if items.ids[i] not in out[t] and items.nearness(i, words[start:end], judge.known[i]) >= COSINE and judge.holds(i, words[start:end].tolist(), start - int(at[t])):
             out[t].append(items.ids[i])
     return out
 
 
-def _search(shared):
+def _search(shared, place):
     def run(batches):
         items: Items = received(shared)
         judge = Judge(items)
         for batch in batches:
             found = []
-            for _, data, starts in chunks(batch.column("_text")):
+            for _, data, starts in chunks(text_of(batch.column("row"), place)):
                 found += found_items(items, judge, data, starts)
             held = [(old or []) + new for old, new in zip(batch.column("_items").to_pylist(), found)]
             yield batch.set_column(batch.schema.get_field_index("_items"), "_items", pa.array(held, pa.list_(pa.int64())))
@@ -360,15 +376,16 @@ def with_items(docs: DataFrame, benchmark: DataFrame, block: int = ITEMS) -> Dat
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null")
-    blocks = -(-items.count() // block)
+    n, size = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    blocks = max(-(-n // block), -(-size // ITEM_BYTES))
     text = F.col("text").cast("string")
-    rows = docs.select(F.struct("*").alias("row"), text.alias("_text"), F.array().cast("array<bigint>").alias("_items"))
-    schema = T.StructType([rows.schema["row"], T.StructField("_text", T.StringType()), T.StructField("_items", T.ArrayType(T.LongType()))])
+    rows = docs.select(F.struct("*").alias("row"), F.array().cast("array<bigint>").alias("_items"))
+    schema = T.StructType([rows.schema["row"], T.StructField("_items", T.ArrayType(T.LongType()))])
     for b in range(blocks):
         ids, words = item_block(items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).orderBy("item_id", "text").collect())
         if ids:
             space = latent_space(docs.select(text.alias("text")), ids, words)
-            rows = rows.mapInArrow(_search(shipped(spark, space)), schema)
+            rows = rows.mapInArrow(_search(shipped(spark, space), docs.columns.index("text")), schema)
     return rows.select("row", F.array_sort(F.array_distinct("_items")).alias("_items"))
 
 
