@@ -5,17 +5,27 @@ import pickle
 import uuid
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from staypath.sources.tables import staged
 
-__all__ = ["documents", "merged", "packed", "read", "received", "session", "shipped", "staged", "unpacked"]
+__all__ = ["documents", "merged", "packed", "read", "received", "session", "shipped", "staged", "text_of", "unpacked"]
+
+
+#: setting for the bytes of a batch that goes to a Python worker, its value as Spark comes, and ours
+BATCH_BYTES, USUAL, BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20, 8 << 20
 
 
 def session(spark: SparkSession) -> SparkSession:
-    """A run on one machine may lack a shared folder; a cluster has to name one."""
+    """A run on one machine may lack a shared folder; a cluster has to name one.
+
+    Rows are long here, so batches are kept to 8 MB, unless the session has a limit of its own.
+    """
+    if spark.conf.get(BATCH_BYTES) in (f"{USUAL}b", str(USUAL)):
+        spark.conf.set(BATCH_BYTES, str(BATCH))
     if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
@@ -66,6 +76,12 @@ def packed(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(_pack, T.StructType(fields))
 
 
+def text_of(rows: pa.Array, at: int) -> pa.Array:
+    """Inside a task: the text among the columns of whole rows."""
+    column = pc.struct_field(rows, at)
+    return column if pa.types.is_string(column.type) else column.cast(pa.string())
+
+
 def unpacked(column: pa.Array) -> pa.Array:
     """Inside a task: the texts that ``packed`` squeezed, as bytes; null stays null."""
     expand = zstandard.ZstdDecompressor().decompress

@@ -163,11 +163,12 @@ def _applied(batches):
 def drop_shared_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = 1) -> DataFrame:
     """``docs`` with the dropped lines taken out of ``text``; all columns stay, null texts stay null."""
     bitmaps = keep_bitmaps(docs, min_docs, min_chars).select("doc_id", "text_hash", "keep")
-    named = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"),
+    others = [c for c in docs.columns if c != "text"]
+    quoted = {c: c.replace("`", "``") for c in others}
+    named = docs.select(F.struct(*[F.col(f"`{quoted[c]}`") for c in others]).alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"),
                         F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.col("text").cast("string").alias("text"))
     joined = merged(named, bitmaps).select("row", "text", "keep")
     done = joined.mapInArrow(_applied, T.StructType([joined.schema["row"], joined.schema["text"]]))
-    quoted = {c: c.replace("`", "``") for c in docs.columns}
     return done.select(*[(F.col("text") if c == "text" else F.col(f"row.`{quoted[c]}`")).alias(c) for c in docs.columns])
 
 

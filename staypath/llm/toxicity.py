@@ -12,9 +12,9 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
-from staypath.llm.frames import staged
+from staypath.llm.frames import staged, text_of
 from staypath.llm.words import chunks, mix, word_heads
 
 #: evidence comes from at most so many confirmed documents and all unlabelled ones, classifiers are fitted on at most so many of either
@@ -211,16 +211,15 @@ def toxicity(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unl
     return rows.withColumn("held_out", held_out()).mapInArrow(_scored(shared), ddl)
 
 
-def _clean(shared):
+def _clean(shared, at):
     def run(batches):
         for batch in batches:
-            keep = score(batch.column("_text"), shared.value) < 0.5
-            yield batch.drop_columns(["_text"]).filter(pa.array(keep))
+            yield batch.filter(pa.array(score(text_of(batch.column("row"), at), shared.value) < 0.5))
     return run
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> DataFrame:
     """The rows of ``docs`` that are not predicted to be toxic, with all their columns."""
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, positives, unlabelled))
-    rows = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("_text"))
-    return rows.mapInArrow(_clean(shared), T.StructType([rows.schema["row"]])).select("row.*")
+    rows = docs.select(F.struct("*").alias("row"))
+    return rows.mapInArrow(_clean(shared, docs.columns.index("text")), rows.schema).select("row.*")
