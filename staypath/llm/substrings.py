@@ -177,6 +177,25 @@ HELD_STRINGS = 50_000
 COMPARED, TOGETHER = 4096, 1 << 19
 
 
+def shared_strings(batch, piece):
+    """(key, string, (id, text hash, start)) of the runs of windows around repeated anchors, text by text."""
+    ids, hashes = batch.column("id").to_pylist(), batch.column("text_hash").to_pylist()
+    blobs = batch.column("keys").to_pylist()
+    for i, (text, blob) in enumerate(zip(unpacked(batch.column("text")), blobs)):
+        known = np.unique(np.frombuffer(b"".join(blob), np.int64).view(np.uint64))
+        for _, offset, data, starts in pieces([(0, *joined([text.as_py()]))], piece):
+            window, place, grams = anchors(data, starts)
+            lo, hi = runs(window, place)
+            if not len(lo):
+                continue
+            key = mix(grams[place[lo]])
+            at = np.minimum(np.searchsorted(known, key), len(known) - 1)
+            take = np.flatnonzero(known[at] == key)
+            raw = data.tobytes()
+            for a, begin, end in zip(key[take].tolist(), window[lo[take]].tolist(), window[hi[take]].tolist()):
+                yield a, raw[begin:end + LENGTH], (ids[i], hashes[i], offset + begin)
+
+
 def _strings(ranges, piece):
     def run(batches):
         kept: dict[bytes, tuple] = {}
@@ -200,31 +219,16 @@ def _strings(ranges, piece):
             return made
 
         for batch in batches:
-            ids, hashes = batch.column("id").to_pylist(), batch.column("text_hash").to_pylist()
-            blobs = batch.column("keys").to_pylist()
-            for i, (text, blob) in enumerate(zip(unpacked(batch.column("text")), blobs)):
-                known = np.unique(np.frombuffer(b"".join(blob), np.int64).view(np.uint64))
-                for _, offset, data, starts in pieces([(0, *joined([text.as_py()]))], piece):
-                    window, place, grams = anchors(data, starts)
-                    lo, hi = runs(window, place)
-                    if not len(lo):
-                        continue
-                    key = mix(grams[place[lo]])
-                    at = np.minimum(np.searchsorted(known, key), len(known) - 1)
-                    take = np.flatnonzero(known[at] == key)
-                    raw = data.tobytes()
-                    for a, begin, end in zip(key[take].tolist(), window[lo[take]].tolist(), window[hi[take]].tolist()):
-                        string = raw[begin:end + LENGTH]
-                        row = (ids[i], hashes[i], offset + begin)
-                        digest = xxhash.xxh3_128_digest(string)
-                        old = kept.get(digest)
-                        if old is None:
-                            kept[digest] = (a, string, row)
-                        elif old[2] <= row:
-                            repeat(row, len(string))
-                        else:
-                            kept[digest] = (a, string, row)
-                            repeat(old[2], len(string))
+            for a, string, row in shared_strings(batch, piece):
+                digest = xxhash.xxh3_128_digest(string)
+                old = kept.get(digest)
+                if old is None:
+                    kept[digest] = (a, string, row)
+                elif old[2] <= row:
+                    repeat(row, len(string))
+                else:
+                    kept[digest] = (a, string, row)
+                    repeat(old[2], len(string))
                 if len(kept) + len(gone) > HELD_STRINGS:
                     yield flush()
         yield flush()
@@ -341,12 +345,8 @@ def _kept(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 5, ROWS)], schema=ROWS)
 
 
-def repeat_spans(docs: DataFrame, piece: int = PIECE) -> tuple[DataFrame, DataFrame]:
-    """(firsts, spans) of ``documents`` rows.
-
-    ``firsts`` has each distinct text's first row as ``text_hash, n_bytes, first``; ``spans`` the repeated strings
-    of those rows as ``id, text_hash, start, length``. Rows without id come first.
-    """
+def _sought(docs: DataFrame, piece: int):
+    """(firsts, held): each distinct text's first row, and those texts with the keys of their repeated anchors."""
     spark = docs.sparkSession
     ranges = parts(spark)
     keyed = docs.select(F.coalesce("doc_id", F.lit(FIRST)).alias("id"), "text", "text_hash", F.coalesce(F.octet_length("text"), F.lit(0)).alias("n_bytes"))
@@ -356,11 +356,74 @@ def repeat_spans(docs: DataFrame, piece: int = PIECE) -> tuple[DataFrame, DataFr
     sought = staged(firsts.withColumn("owner", F.col("text_hash").bitwiseOR(F.lit(1))).join(known, "owner").select(
         F.col("first").alias("id"), "text_hash", "keys"))
     forget(spark)
-    held = merged(packed(keyed.select("id", "text", "text_hash")), sought, ("id", "text_hash"), "inner")
-    strings = held.mapInArrow(_strings(ranges, piece), STRINGS_DDL)
+    return firsts, merged(packed(keyed.select("id", "text", "text_hash")), sought, ("id", "text_hash"), "inner")
+
+
+def repeat_spans(docs: DataFrame, piece: int = PIECE) -> tuple[DataFrame, DataFrame]:
+    """(firsts, spans) of ``documents`` rows.
+
+    ``firsts`` has each distinct text's first row as ``text_hash, n_bytes, first``; ``spans`` the repeated strings
+    of those rows as ``id, text_hash, start, length``. Rows without id come first.
+    """
+    firsts, held = _sought(docs, piece)
+    strings = held.mapInArrow(_strings(parts(docs.sparkSession), piece), STRINGS_DDL)
     return firsts, staged(strings.groupBy("part").applyInArrow(_spans, SPANS_DDL))
 
 
+def _digest(string: bytes) -> int:
+    """A string's 64-bit hash as a signed number."""
+    return int(np.uint64(xxhash.xxh3_64_intdigest(string)).astype(np.int64))
+
+
+PLACES_DDL = "string bigint, id bigint, text_hash bigint, start bigint"
+
+
+def _places(piece):
+    """Where each string around a repeated anchor is, equal ones included."""
+    def run(batches):
+        for batch in batches:
+            rows = [(_digest(string), *row) for _, string, row in shared_strings(batch, piece)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[]] * 4)], names=["string", "id", "text_hash", "start"])
+    return run
+
+
+GROUPS_DDL = "group bigint, length bigint, string bigint, place bigint"
+
+
+def _groups(table):
+    """Maximal repeat groups over the distinct strings of each anchor, and each string as a group of its own: places in strings."""
+    out, by_anchor = set(), {}
+    for _, anchor, string, *_ in zip(*(table.column(f.name).to_pylist() for f in STRINGS)):
+        if string is not None:
+            by_anchor.setdefault(anchor, set()).add(string)
+    for strings in map(sorted, by_anchor.values()):
+        own = [_digest(s) for s in strings]
+        out.update((d, len(s), d, 0) for d, s in zip(own, strings))
+        if len(strings) > 1:
+            for length, owner, place in maximal_repeats(strings):
+                name = _digest(strings[owner[0]][place[0]:place[0] + length])
+                out.update((name, length, own[o], p) for o, p in zip(owner.tolist(), place.tolist()))
+    columns = list(zip(*out)) or [[], [], [], []]
+    return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("group", "length", "string", "place"), columns)})
+
+
+def repeat_groups(docs: DataFrame, piece: int = PIECE) -> DataFrame:
+    """``group, length, id, text_hash, start``: all occurrences of each maximal repeat of ``LENGTH`` bytes or more.
+
+    A group is known by the hash of its bytes; its rows are all places of these bytes in the distinct texts (``id`` is a text's
+    first row, the least number if that has no id). Repeats are maximal within the windows that share an anchor: what goes
+    on under another anchor is a group of its own. Groups come from the distinct strings of an anchor and meet the strings'
+    places in a join, so a passage that very many texts hold is never gathered in one task.
+    """
+    _, held = _sought(documents(docs), piece)
+    strings = held.mapInArrow(_strings(parts(docs.sparkSession), piece), STRINGS_DDL)
+    groups = staged(strings.groupBy("part").applyInArrow(_groups, GROUPS_DDL))
+    places = staged(held.mapInArrow(_places(piece), PLACES_DDL))
+    found = groups.join(places, "string").select("group", "length", "id", "text_hash", (F.col("start") + F.col("place")).alias("start")).distinct()
+    many = found.groupBy("group").agg(F.count("*").alias("n")).where("n > 1").select("group")
+    return found.join(many, "group").select("group", "length", "id", "text_hash", "start")
+
+
 def remove_repeats(docs: DataFrame, piece: int = PIECE) -> DataFrame:
     """Per row: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``.
 

@@ -207,6 +207,37 @@ def test_maximal_repeat_groups():
     assert groups == {(120, ((0, 20), (1, 10), (2, 10))), (130, ((0, 20), (1, 10))), (130, ((1, 0), (2, 0)))}
 
 
+def test_groups_list_every_occurrence(spark):
+    rng = random.Random(3)
+    passages = ["".join(rng.choices("abcdef ", k=n)) for n in (100, 130, 260, 480)]
+    rows = []
+    for i in range(40):
+        text = "".join(rng.choices("ghij ", k=rng.randrange(60)))
+        for p in rng.sample(passages, rng.randrange(4)):
+            text += p[rng.choice([0, 0, 7]):] + "".join(rng.choices("ghij ", k=rng.randrange(1, 60)))
+        rows.append((i, text))
+    rows += [(50, rows[3][1]), (51, passages[1] * 2), (None, passages[2] + "x"), (52, None), (53, "short")]
+    first = {}
+    for i, t in rows:
+        i = substrings.FIRST if i is None else i
+        first[t] = min(first.get(t, i), i)
+    texts = {i: t for t, i in first.items() if t}
+    found = {}
+    for r in substrings.repeat_groups(make(spark, rows).repartition(4)).collect():
+        found.setdefault((r.group, r.length), set()).add((r.id, r.start))
+    contents = {}
+    for (group, length), places in found.items():
+        own = {texts[i][a:a + length] for i, a in places}
+        assert len(own) == 1 and length >= 100
+        content = own.pop()
+        assert places == {(i, a) for i, t in texts.items() for a in range(len(t) - length + 1) if t.startswith(content, a)} and len(places) > 1
+        contents[content] = len(places)
+    # every repeated window is in a group
+    seen = Counter(t[a:a + 100] for t in texts.values() for a in range(len(t) - 99))
+    for window, n in seen.items():
+        assert n == 1 or any(window in c for c in contents), window
+
+
 def test_fingerprints(docs):
     rows = sorted(odd_rows(), key=lambda r: (r[0] is not None, r[0] or 0))
     out = imatch.fingerprints(docs).collect()
