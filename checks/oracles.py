@@ -6,7 +6,17 @@ Every statement starts from the same event log, which is derived from ``events``
 
 import math
 
-from staypath.schema import HISTOGRAM_COLUMNS, LABEL_PROFILE_COLUMNS
+# Columns shown as histograms, and columns averaged per label.
+HISTOGRAM_COLUMNS = [
+    "active_days", "sessions_per_day", "time_per_session", "time_per_day",
+    "avg_items_per_session", "unique_songs", "unique_artists",
+    "perc_1_6", "perc_6_12", "perc_12_18", "perc_18_1",
+    "perc_addlist", "perc_thdn", "perc_thup", "perc_popular_songs",
+    "perc_paid_days", "female", "last_status_paid", "customer_age",
+]
+LABEL_PROFILE_COLUMNS = [
+    "customer_age", "perc_1_6", "perc_addlist", "perc_12_18", "time_per_day", "perc_popular_songs",
+]
 
 # The split seed, and the cumulative Poisson probabilities for a mean of 3.01.
 SPLIT_SEED = 100

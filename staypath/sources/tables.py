@@ -115,13 +115,23 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def _staging(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/staged-{spark.sparkContext.applicationId}"
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     For tables that several jobs read: the work is done once, lineage ends at files that survive a
-    lost executor, and later readers prune columns.
+    lost executor, and later readers prune columns. :func:`clear_staged` removes them.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
+    path = f"{_staging(spark)}/{uuid.uuid4().hex}"
     write_features(df, path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Remove all tables that this application has staged; call it when its results are written."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_staging(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -60,6 +60,21 @@ def test_plays_are_shuffled_once(spark):
     assert len(re.findall(r"ReusedExchange \[singer_song", final)) >= 1
 
 
+def test_the_fold_of_plays_is_shuffled_once_and_expanded_after(spark):
+    from staypath.plans.content import content_of, folded_song_plays, plays_fold, popular_share_of
+    from staypath.operators.activity import activity
+    from staypath.sources import star, tables
+    events = activity(tables.staged(star.event_log(spark, SF_DIR)))
+    fold = plays_fold(events, 2)
+    both = content_of(fold).join(popular_share_of(folded_song_plays(fold)), "userId", "left")
+    plan = executed(both).split("\n+- == Initial Plan ==")[0]
+    assert len(re.findall(r"ReusedExchange \[userId#\d+, artist", plan)) >= 1
+    scans = [line for line in plan.splitlines() if "Scan parquet" in line or "FileScan" in line]
+    assert len(scans) == 1, scans
+    # what is expanded is the fold: the scan lies below an exchange below the Expand
+    assert plan.index("Expand") < plan.index("Exchange hashpartitioning(userId", plan.index("Expand")) < plan.index("FileScan")
+
+
 def test_narrow_query_reads_narrow_columns(spark):
     plan = QUERIES["auth_counts"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert re.findall(r"ReadSchema: struct<([^>]*)>", plan) == ["props:string"]

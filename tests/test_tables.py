@@ -141,3 +141,15 @@ def test_csv_parts_are_joined(spark, tmp_path, files):
     assert {tuple(r) for r in back.collect()} == {tuple(r) for r in df.collect()}
     tables.write_features_csv(df.limit(0), path, files=files)
     assert tables.read_features_csv(spark, path, df.schema).count() == 0
+
+
+def test_staged_tables_are_removed_together(spark):
+    first, second = tables.staged(spark.range(5)), tables.staged(spark.range(7))
+    assert (first.count(), second.count()) == (5, 7)
+    kept = f"{tables.shared_folder(spark)}/kept"
+    spark.range(3).write.parquet(kept)
+    tables.clear_staged(spark)
+    tables.clear_staged(spark)
+    with pytest.raises(Exception):
+        first.count()
+    assert spark.read.parquet(kept).count() == 3 and tables.staged(spark.range(2)).count() == 2
