@@ -1,4 +1,8 @@
-"""Training-data pipeline: each stage works on what the one before kept."""
+"""Training-data pipeline: each stage works on what the one before kept.
+
+Null and empty texts, rows without id, repeated rows and columns of any name go through all stages; only ``ngram_jaccard``
+keeps one of several equal rows. An empty table stays one. The last stage gives null texts null ids.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
 

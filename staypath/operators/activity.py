@@ -4,7 +4,7 @@ import datetime
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from staypath.functions.columns import FIRST_MILLIS, LAST_MILLIS, day_part, day_sql, days_until, event_day, latest_sql, recency_sql, song_title
+from staypath.functions.columns import FIRST_MILLIS, LAST_MILLIS, day_part, days_until, event_day, latest_sql, recency_sql, song_title
 from staypath.schema import CANCEL_PAGE, CHURN_PAGES, LOGGED_IN, PAID, PLAY_PAGE
 
 # a played song with a known title; a paid event; an event that counts as churn if it is the last
