@@ -390,7 +390,7 @@ def with_items(docs: DataFrame, benchmark: DataFrame, block: int = ITEMS) -> Dat
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Per row: ``doc_id, contaminated, item_ids``."""
+    """Per row: ``doc_id, contaminated, item_ids``; repeated rows and rows without id are judged each, no rows give none."""
     found = with_items(docs.select("doc_id", "text"), benchmark)
     return found.select(F.col("row.doc_id").cast("bigint").alias("doc_id"), (F.size("_items") > 0).alias("contaminated"), F.col("_items").alias("item_ids"))
 

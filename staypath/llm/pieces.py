@@ -446,7 +446,10 @@ def _tripped(model, rate, seed, with_ids):
 
 
 def round_trips(docs: DataFrame, model: str = MODEL, rate: float = 0.1, seed: int = 0, with_ids: bool = False) -> DataFrame:
-    """Encodes and decodes every text: sizes, digests of ids and decoded text, whether nothing was lost, and the ids if asked for."""
+    """Encodes and decodes every text: sizes, digests of ids and decoded text, whether nothing was lost, and the ids if asked for.
+
+    Null texts count as empty, their ids are null. Repeated rows, and rows without id that have equal texts, get equal ids.
+    """
     shared = model_bytes(docs.sparkSession, model)
     ddl = "doc_id bigint, n_chars bigint, n_pieces bigint, ids_sha256 string, decoded_sha256 string, lossless boolean"
     return _keyed(docs).mapInArrow(_tripped(shared, rate, seed, with_ids), ddl + ", ids array<int>" * with_ids)

@@ -204,7 +204,10 @@ def _scored(shared):
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> DataFrame:
-    """Per row: ``doc_id, held_out, score, predicted``. Texts without words get the score of no evidence."""
+    """Per row: ``doc_id, held_out, score, predicted``. Texts without words get the score of no evidence.
+
+    Equal texts have equal scores, repeated rows and rows without id among them; a score of 0.5 counts as toxic.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, positives, unlabelled))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ddl = "doc_id bigint, held_out boolean, score double, predicted int"

@@ -120,7 +120,9 @@ def url_verdicts(pages: DataFrame, labelled: DataFrame, rules=RULES, min_support
     """Per row of ``pages``: ``page_id, host, path, rule, verdict``.
 
     The longest listed rule decides; URLs without one get the verdict of the most confident mined rule, and
-    where none fits, ``default``. Null URLs have empty host and path and no rule.
+    where none fits, ``default``. Of mined rules that are equally confident the longer one counts, then the greater verdict
+    (block). Null URLs have empty host and path and no rule; repeated rows all stay; an empty table gives no rows, and
+    labels that are empty or all null no mined rules.
     """
     mined = matched(pages.select("url"), mined_rules(labelled, min_support, min_confidence))
     host, path = parts(F.col("url"))

@@ -625,6 +625,18 @@ def test_empty_tables_give_no_rows(empty, run):
     assert run(empty).count() == 0
 
 
+def test_empty_tables_of_two_table_operators(spark, docs, empty):
+    labels = spark.createDataFrame([(1, 1, 1), (2, 0, 0)], "doc_id bigint, quality int, toxic int")
+    items = spark.createDataFrame([(1, "one two three")], "item_id bigint, text string")
+    pages = spark.createDataFrame([(1, "http://a.org/1", "<p>x")], "page_id bigint, url string, html string")
+    assert toxicity.toxicity(empty, labels).count() == 0 and toxicity.toxicity(docs, labels.limit(0)).count() == docs.count()
+    assert decontaminate.contaminated(empty, items).count() == 0
+    assert urls.url_verdicts(pages.limit(0), urls.labelled_urls(pages, labels)).count() == 0
+    assert urls.url_verdicts(pages, urls.labelled_urls(pages, labels.limit(0))).count() == 1
+    index = warc.write_archives(pages.limit(0))
+    assert index.count() == 0 and warc.read_records(index).count() == 0
+
+
 def test_only_unusable_rows(spark):
     rows = make(spark, [(None, None), (None, None), (1, None), (2, "")])
     assert {r.n_dropped for r in lines.line_digests(rows).collect()} == {0}
