@@ -131,6 +131,16 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Remove staged tables whose readers have all been written; anything else is left alone."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            if path.toUri().getPath().startswith(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_staging(spark)).toUri().getPath()):
+                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def clear_staged(spark: SparkSession) -> None:
     """Remove all tables that this application has staged; call it when its results are written."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_staging(spark))
