@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from staypath.llm.frames import staged
+from staypath.llm.frames import discard, forget, staged
 
 
 #: edges of a file
@@ -32,10 +32,12 @@ def components(edges: DataFrame) -> DataFrame:
     known, files = None, 1 + edges.count() // EDGES
     while True:
         # stars do not add edges beyond one a node; few of them need few files
-        edges = staged(_star(_star(edges, True), False).coalesce(files))
+        before, edges = edges, staged(_star(_star(edges, True), False).coalesce(files))
+        discard(before)
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == known:
             break
         known = state
+    forget(edges.sparkSession)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -10,9 +10,9 @@ import zstandard
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from staypath.sources.tables import staged
+from staypath.sources.tables import discard, staged
 
-__all__ = ["documents", "merged", "packed", "read", "received", "session", "shipped", "staged", "text_of", "unpacked"]
+__all__ = ["discard", "documents", "merged", "packed", "read", "received", "session", "shipped", "staged", "text_of", "unpacked"]
 
 
 #: setting for the bytes of a batch that goes to a Python worker, its value as Spark comes, and ours

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from staypath.llm.components import components
 from staypath.llm.exchange import HELD, counted, blocks, merge_counts, parts, range_starts
-from staypath.llm.frames import documents, forget, merged, packed, staged, unpacked
+from staypath.llm.frames import discard, documents, forget, merged, packed, staged, unpacked
 from staypath.llm.words import Counts, chunks, mix, shingle_hashes, word_hashes, joined
 
 SIZE, PERCENT = 5, 80
@@ -326,6 +326,7 @@ def _indexed(docs: DataFrame, size: int, percent: int):
     forget(spark)
     kept = merged(packed(docs), left, how="inner").select("cls", "n_shingles", "text")
     sets = staged(kept.mapInArrow(_sets(size), "cls bigint, n bigint, tokens binary"))
+    discard(left)
     forget(spark)
     ranges = parts(spark, 1)
     frequency = counted(sets, _frequencies(ranges), _frequent, "token bigint, df bigint")
@@ -385,7 +386,9 @@ def grouped(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFr
     mixed = known.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
     open_rows = known.join(mixed, "token")
     links.append(_links(_met(open_rows, F.col("component_a") != F.col("component_b"), percent), sets, percent))
+    discard(entries, sets, known, *tested)
     final = components(reduce(DataFrame.unionByName, links)).withColumnRenamed("node", "cls")
+    discard(*links)
     return classes.join(final, "cls", "left").select("doc_id", "text_hash", "n_shingles", F.coalesce("component", "cls").alias("group"))
 
 
