@@ -94,12 +94,6 @@ class Items:
         made = np.add.reduceat(self.basis[term], first, axis=0)
         return made / np.maximum(np.linalg.norm(made, axis=1, keepdims=True), 1e-9)
 
-    def nearness(self, item: int, words: np.ndarray, known) -> float:
-        """Cosine in the latent space of an item and those words of a passage that are its own."""
-        term = self.table.find(np.array(sorted(known.intersection(words.tolist())), dtype=np.uint64))
-        made = self.basis[term[term >= 0]].sum(axis=0)
-        return float(made @ self.vectors[item]) / max(float(np.linalg.norm(made)), 1e-9)
-
 
 def item_block(rows) -> tuple[list[int], list[np.ndarray]]:
     data, starts = joined([(r.text or "").encode() for r in rows])
@@ -247,7 +241,11 @@ class Judge:
     def __init__(self, items: Items):
         self.items, self.bits, self.answer = items, [], []
         self.plain = [own.tolist() for own in items.words]
-        self.known = [frozenset(own) for own in self.plain]
+        self.terms = []
+        for own in items.words:
+            word = np.unique(own)
+            term = items.table.find(word)
+            self.terms.append(dict(zip(word[term >= 0].tolist(), term[term >= 0].tolist())))
         weight = dict(zip(items.terms.tolist(), items.idf.tolist()))
         for own in self.plain:
             bits: dict[int, int] = {}
@@ -312,11 +310,19 @@ class Judge:
             if begin >= 0:
                 yield t, i, begin, end
 
+    def lacks(self, item: int, near: set[int]) -> bool:
+        """Whether too few of the item's words are there at all for a common subsequence."""
+        return sum(w in near for w in self.plain[item]) < COVERED * len(self.plain[item])
+
+    def nearness(self, item: int, near: set[int]) -> float:
+        """Cosine in the latent space of an item and those words of a passage that are its own."""
+        made = self.items.basis[[term for word, term in self.terms[item].items() if word in near]].sum(axis=0)
+        return float(made @ self.items.vectors[item]) / max(float(np.sqrt(made @ made)), 1e-9)
+
     def holds(self, item: int, words: list[int], begin: int = 0) -> bool:
         """Whether passages of these words, the first one of which is word ``begin`` of its text, hold the item."""
-        size, bits, answer, near = len(self.plain[item]), self.bits[item], self.answer[item], set(words)
-        # a common subsequence is no longer than the number of the item's words that are there at all
-        if sum(w in near for w in self.plain[item]) < COVERED * size:
+        size, bits, answer = len(self.plain[item]), self.bits[item], self.answer[item]
+        if self.lacks(item, set(words)):
             return False
         length, step = self.length(item), self.step(item)
         count = [0, *accumulate(w in bits for w in words)]
@@ -351,7 +357,12 @@ def found_items(items: Items, judge: Judge, data, starts) -> list[list[int]]:
             if judge.holds(i, words[start:end].tolist(), start - int(at[t])):
                 out[t].append(items.ids[i])
     for t, i, start, end in judge.regions(words, at):
-        if items.ids[i] not in out[t] and items.nearness(i, words[start:end], judge.known[i]) >= COSINE and judge.holds(i, words[start:end].tolist(), start - int(at[t])):
+        if items.ids[i] in out[t]:
+            continue
+        part = words[start:end].tolist()
+        near = set(part)
+        # a passage that cannot hold the item needs no vector
+        if not judge.lacks(i, near) and judge.nearness(i, near) >= COSINE and judge.holds(i, part, start - int(at[t])):
             out[t].append(items.ids[i])
     return out
 
