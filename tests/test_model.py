@@ -168,3 +168,10 @@ def test_rows_without_key_stay(spark):
     df = spark.createDataFrame([(None, 1), (None, 1), ("a", 1)], "userId string, label int")
     train, test = sampling.split(df)
     assert train.count() + test.count() == 3
+
+
+def test_runs_fit_at_once(data):
+    """Fits that run side by side give what they give one after another."""
+    one = fit.repeated_runs(data, fit.logistic_regression(), [2, 1], 1, runs=2, parallelism=1).orderBy("multiplier", "run").collect()
+    four = fit.repeated_runs(data, fit.logistic_regression(), [2, 1], 1, runs=2, parallelism=4).orderBy("multiplier", "run").collect()
+    assert len(one) == 4 and four == one
