@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from staypath.llm.exchange import BLOCK_DDL, HELD, blocks, merge_counts, parts, range_starts
-from staypath.llm.frames import documents, forget, received, shipped, staged
+from staypath.llm.frames import discard, documents, forget, received, shipped, staged
 from staypath.llm.phrases import Grams, bit_table, longer, may_hold, phrase_keys
 from staypath.llm.words import Counts, Table, chunks, mix, word_hashes
 
@@ -441,6 +441,8 @@ def learn(docs: DataFrame, depth: int = DEPTH, least: int = LEAST, divergence: f
         part(F.element_at("words", -2)), "words", "n", "root")
     fitted = staged(contexts.unionByName(entries).groupBy("part").applyInArrow(_fit_part(depth, divergence), FITTED_DDL))
     size = fitted.agg(F.sum("n")).first()[0] or 0
+    # the model reads only the fitted parts: the counts it was fitted from go before the texts are scored
+    discard(vocabulary, *counted)
     return Model(words, fitted, max(1, -(-size // group)))
 
 

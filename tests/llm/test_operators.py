@@ -644,3 +644,17 @@ def test_only_unusable_rows(spark):
     assert {r.n_removed for r in substrings.remove_repeats(rows).collect()} == {0}
     assert imatch.fingerprints(rows).count() == 4
     assert suffix_tree.text_scores(rows).count() == 4
+
+
+def test_learn_leaves_only_the_fitted_parts_staged(spark):
+    from staypath.sources.tables import _staging
+    rows = [(i, prose(i, 60, 12)) for i in range(200)]
+    table = make(spark, rows).withColumn("held_out", suffix_tree.held_out())
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_staging(spark))
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    listed = lambda: {s.getPath().getName() for s in system.listStatus(folder)} if system.exists(folder) else set()
+    before = listed()
+    model = suffix_tree.learn(table, depth=2, divergence=0.0)
+    kept = {name.rsplit("/", 2)[-2] for name in model.fitted.inputFiles()}
+    assert listed() - before == kept
+    assert model.group(0).levels
