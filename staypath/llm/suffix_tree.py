@@ -128,9 +128,10 @@ def _sequence_blocks(size, shared, ranges):
                 text = np.repeat(np.arange(len(at) - 1), np.diff(at))
                 here = np.flatnonzero(good[:-1] & good[1:] & (text[:len(found) - size + 1] == text[size - 1:]))
                 grams.add(found[here[:, None] + np.arange(size)])
-            if grams.known + grams.waiting >= HELD_SEQUENCES:
-                yield block(grams)
-                grams = Grams(size)
+                # a batch holds many chunks: send what is held after each, so no more than one chunk goes past the limit
+                if grams.known + grams.waiting >= HELD_SEQUENCES:
+                    yield block(grams)
+                    grams = Grams(size)
         if grams.known + grams.waiting:
             yield block(grams)
     return run

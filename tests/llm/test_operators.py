@@ -658,3 +658,20 @@ def test_learn_leaves_only_the_fitted_parts_staged(spark):
     kept = {name.rsplit("/", 2)[-2] for name in model.fitted.inputFiles()}
     assert listed() - before == kept
     assert model.group(0).levels
+
+
+def test_sequence_blocks_send_what_is_held_after_each_chunk(monkeypatch):
+    import types
+    import pyarrow as pa
+    from staypath.llm.phrases import BITS
+    monkeypatch.setattr(suffix_tree, "HELD_SEQUENCES", 1)
+    rng = random.Random(7)
+    texts = [" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(1500)) for _ in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    chunked = [len(starts) - 1 for _, _, starts in words.chunks(batch.column("text"))]
+    assert len(chunked) > 1
+    shared = types.SimpleNamespace(value=np.full(1 << (BITS - 3), 255, dtype=np.uint8))
+    sent = list(suffix_tree._sequence_blocks(3, shared, 16)([batch]))
+    held = [sum(len(w) for w in b.column("words").to_pylist()) // 24 for b in sent]
+    assert sum(held) == sum(1500 - 1 for _ in texts)
+    assert max(held) <= max(chunked) * (1500 - 1)
